@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, functions as F
 
 from marketlake.functions.rounding import rounded
@@ -32,13 +30,17 @@ def exact_dollar_volume(price: Column, volume: Column) -> Column:
 _MILLIONTHS = 1_000_000.0
 
 
-def mean_price(price: Column, over: Callable[[Column], Column] = lambda c: c) -> Column:
-    """Average price that does not depend on row order.
+def price_units(price: Column) -> Column:
+    """A price as whole millionths. Doubles add up differently in every partitioning, which
+    shows when a mean falls on a rounding boundary; long integers add up exactly, whatever
+    the row order, and cheaper than decimals."""
+    return F.floor(price * _MILLIONTHS + 0.5)
+
+
+def mean_of_units(total: Column, count: Column) -> Column:
+    return F.try_divide(total.cast("double") / _MILLIONTHS, count.cast("double"))
+
 
-    Doubles add up differently in every partitioning, which shows when a mean falls on a
-    rounding boundary. Prices are therefore summed as whole millionths: exact, and cheaper
-    than decimals. ``over`` places the two aggregates in a window.
-    """
-    units = F.floor(price * _MILLIONTHS + 0.5)
-    total, priced = over(F.sum(units)), over(F.count(price))
-    return F.try_divide(total.cast("double") / _MILLIONTHS, priced.cast("double"))
+def mean_price(price: Column) -> Column:
+    """Average price as an aggregate, independent of row order."""
+    return mean_of_units(F.sum(price_units(price)), F.count(price))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from marketlake.functions.prices import mean_price
+from marketlake.functions.prices import mean_of_units, mean_price, price_units
 from marketlake.functions.rounding import rounded
 
 DEFAULT_WINDOWS = (90, 365)
@@ -33,12 +33,26 @@ def trailing_baselines(
 
 
 def rolling_averages(fact: DataFrame, windows: tuple[int, ...] = DEFAULT_WINDOWS) -> DataFrame:
-    """Averages over the ``n`` calendar days up to and including each bar."""
+    """Averages over the ``n`` calendar days up to and including each bar.
+
+    A window of n days is the running total up to the bar minus the running total up to n
+    days before. Running frames only ever grow, so each bar is added once per frame,
+    whereas a sliding frame adds up all its bars again for every row; integer totals make
+    the difference exact.
+    """
     by_day = Window.partitionBy("ticker").orderBy(F.unix_date("trade_date"))
 
+    def running(aggregate: Column, days_before: int) -> Column:
+        return aggregate.over(by_day.rangeBetween(Window.unboundedPreceding, -days_before))
+
+    total, priced = F.sum(price_units(F.col("close_price"))), F.count("close_price")
+
     def average(days: int) -> Column:
-        frame = by_day.rangeBetween(1 - days, 0)
-        mean = mean_price(F.col("close_price"), over=lambda aggregate: aggregate.over(frame))
-        return rounded(mean, 4).alias(f"avg_{days}d")
+        before = F.coalesce(running(total, days), F.lit(0))
+        return mean_of_units(
+            running(total, 0) - before, running(priced, 0) - running(priced, days)
+        )
 
-    return fact.select("ticker", "trade_date", *(average(n) for n in windows))
+    return fact.select(
+        "ticker", "trade_date", *(rounded(average(n), 4).alias(f"avg_{n}d") for n in windows)
+    )

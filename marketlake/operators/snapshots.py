@@ -14,8 +14,18 @@ from pyspark.sql import types as T
 
 
 class Snapshots:
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keep: int = 3):
-        self.spark, self.path, self.schema, self.keep = spark, path, schema, keep
+    """``keep`` versions stay on disk for readers that started before a newer one. With a
+    ``view`` name, that view always shows the newest version."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        keep: int = 3,
+        view: str | None = None,
+    ):
+        self.spark, self.path, self.schema, self.keep, self.view = spark, path, schema, keep, view
 
     def _folder(self, version: int) -> str:
         return f"{self.path}/version={version}"
@@ -42,6 +52,10 @@ class Snapshots:
     def write(self, version: int, rows: DataFrame) -> DataFrame:
         by_name = rows.select(*self.schema.fieldNames())
         by_name.write.mode("overwrite").parquet(self._folder(version))
+        if self.view:
+            self.spark.sql(
+                f"CREATE OR REPLACE VIEW {self.view} AS SELECT * FROM parquet.`{self._folder(version)}`"
+            )
         self._drop_old(version)
         return self.spark.read.schema(self.schema).parquet(self._folder(version))
 

@@ -144,9 +144,20 @@ def normalize_ticker(spark, d):
 @query
 def wide_to_long_bars(spark, d):
     """Places of the wide frames turn back into tickers: 5 x block + place."""
-    long = wide.melt_bars(s.wide_frames(spark, d), keep=("block",))
+    return _unblocked(wide.melt_bars(s.wide_frames(spark, d), keep=("block",)))
+
+
+def _unblocked(rows: DataFrame) -> DataFrame:
     ticker = F.col("block") * s.SYMBOLS_PER_FRAME + F.col("ticker").cast("bigint")
-    return long.withColumn("ticker", ticker.cast("string")).drop("block")
+    return rows.withColumn("ticker", ticker.cast("string")).drop("block")
+
+
+@query
+def wide_to_current_day(spark, d):
+    """One-minute frames on New York's clock -> the last complete bar of each ticker."""
+    frames = s.intraday_frames(spark, d)
+    records = _unblocked(wide.melt_intraday(frames, "America/New_York", keep=("block",)))
+    return latest_per_key(records, ["ticker"], "last_updated_ts")
 
 
 @query
@@ -372,11 +383,22 @@ def _register_top_moves() -> None:
 _register_top_moves()
 
 
+@query
+def filtered_moves(spark, d):
+    """The list above the last close, of some sectors and market-cap classes only."""
+    listed = reports.filter_details(
+        s.tickers(spark, d), sectors=("BUILDING", "MACHINERY"), cap_classes=("Mega Cap", "Large Cap")
+    )
+    moves = reports.of_tickers(_metrics(spark, d), listed)
+    return reports.top_moves(moves, "m_price_change_last_day_pct", above=True)
+
+
 # --- reports -------------------------------------------------------------------------------
 
 
 def _edges(spark, d) -> DataFrame:
-    return reports.first_last_close(s.bars(spark, d), s.first_day(spark, d), s.last_day(spark, d))
+    first, last = s.first_day(spark, d), s.last_day(spark, d)
+    return reports.first_last_close(s.bars(spark, d, days=(first, last)), first, last)
 
 
 @query

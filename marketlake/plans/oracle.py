@@ -171,6 +171,16 @@ BODIES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM customer""",
     ),
     "wide_to_long_bars": (("staging",), "SELECT * FROM staging"),
+    "wide_to_current_day": (
+        ("feed",),
+        """SELECT ticker, trade_date, arg_max(last_price, last_updated_ts) AS last_price,
+            arg_min(last_price, last_updated_ts) AS open_price, max(last_price) AS high_price,
+            min(last_price) AS low_price, count(*) AS volume,
+            minute + INTERVAL 5 HOUR AS last_updated_ts
+        FROM (SELECT *, date_trunc('minute', last_updated_ts) AS minute FROM feed)
+        GROUP BY ticker, trade_date, minute
+        QUALIFY minute = max(minute) OVER (PARTITION BY ticker)""",
+    ),
     "drop_incomplete_bars": (
         ("staging",),
         "SELECT * FROM staging WHERE day(snapshot_date) NOT IN (9, 10)",
@@ -294,6 +304,14 @@ BODIES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM longbase LEFT JOIN tickers USING (ticker)""",
     ),
     "price_change_metrics": (("moves",), "SELECT * FROM moves"),
+    "filtered_moves": (
+        ("moves", "tickers"),
+        """SELECT m.ticker, current_price, m_price_change_last_day_pct AS pct
+        FROM moves m JOIN tickers t ON t.ticker = m.ticker
+        WHERE m_price_change_last_day_pct > 0 AND t.sector IN ('BUILDING', 'MACHINERY')
+            AND t.market_cap_description IN ('Mega Cap', 'Large Cap')
+        ORDER BY pct DESC, m.ticker LIMIT 50""",
+    ),
     "first_last_close": (("ends",), "SELECT * FROM ends"),
     "sector_performance": (
         ("gains",),

@@ -75,6 +75,11 @@ def filter_details(
     return details
 
 
+def of_tickers(rows: DataFrame, details: DataFrame) -> DataFrame:
+    """Rows of the tickers that are left in (filtered) details."""
+    return rows.join(details.select("ticker"), "ticker", "left_semi")
+
+
 def market_trend(fact: DataFrame) -> DataFrame:
     return fact.groupBy("trade_date").agg(rounded(mean_price(F.col("close_price")), 4).alias("avg_close"))
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from marketlake import schemas
 from marketlake.functions.market_cap import market_cap_class
@@ -15,8 +18,15 @@ SYMBOLS_PER_DOCUMENT = 500
 SYMBOLS_PER_FRAME = 5
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. Its schema is read from a file footer once, not by every query."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _id(column: str) -> Column:
@@ -47,8 +57,17 @@ def _bars_of(events: DataFrame) -> DataFrame:
     return daily.withColumn("ticker", _id("user_id")).select(*schemas.FACT.fieldNames())
 
 
-def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bars_of(table(spark, sf_dir, "events"))
+def bars(spark: SparkSession, sf_dir: str, days: tuple[Column, ...] = ()) -> DataFrame:
+    """All bars, or those of some days. Days become ranges on ``ts``, which skip row groups
+    in the scan; a comparison of the derived date could not."""
+    events = table(spark, sf_dir, "events")
+    if days:
+        events = events.where(reduce(or_, (_within(F.col("ts"), day) for day in days)))
+    return _bars_of(events)
+
+
+def _within(ts: Column, day: Column) -> Column:
+    return (ts >= day.cast("timestamp_ntz")) & (ts < F.date_add(day, 1).cast("timestamp_ntz"))
 
 
 def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,20 +113,28 @@ def staging_loaded_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def wide_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BARS as wide frames: block b holds tickers 5b .. 5b + 4, one row per date with a
     ``<place>_<Field>`` column for each of the five places, so any number of tickers fits."""
+    return _blocked(bars(spark, sf_dir).withColumnRenamed("trade_date", "Date"), "Date")
+
+
+def _blocked(rows: DataFrame, time: str) -> DataFrame:
+    """Bars -> wide frames with one shuffle; the places are known, so no pivot is needed."""
     number = F.col("ticker").cast("bigint")
-    placed = (
-        bars(spark, sf_dir)
-        .withColumn("block", F.floor(number / SYMBOLS_PER_FRAME))
-        .withColumn("place", F.pmod(number, F.lit(SYMBOLS_PER_FRAME)).cast("string"))
+    placed = rows.withColumn("block", F.floor(number / SYMBOLS_PER_FRAME)).withColumn(
+        "place", F.pmod(number, F.lit(SYMBOLS_PER_FRAME))
     )
     fields = {
-        "Open": "open_price", "High": "high_price", "Low": "low_price",
-        "Close": "close_price", "Volume": "volume",
+        "Open": "open_price",
+        "High": "high_price",
+        "Low": "low_price",
+        "Close": "close_price",
+        "Volume": "volume",
     }
-    return (
-        placed.groupBy("block", F.col("trade_date").alias("Date"))
-        .pivot("place", [str(i) for i in range(SYMBOLS_PER_FRAME)])
-        .agg(*(F.max(c).alias(f) for f, c in fields.items()))
+    return placed.groupBy("block", time).agg(
+        *(
+            F.max(F.when(F.col("place") == place, F.col(column))).alias(f"{place}_{field}")
+            for place in range(SYMBOLS_PER_FRAME)
+            for field, column in fields.items()
+        )
     )
 
 
@@ -172,14 +199,14 @@ _STORED: dict[tuple[str, str], str] = {}
 
 
 def longbars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    money = "decimal(18,2)"
+    cents = F.floor(F.col("l_extendedprice") * 100 + 0.5)
     unit = F.col("l_extendedprice") / F.col("l_quantity")
     daily = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_suppkey", F.to_date("l_shipdate").alias("trade_date"))
         .agg(
-            F.sum(F.col("l_extendedprice").cast(money)).alias("paid"),
-            F.sum(F.col("l_quantity").cast(money)).alias("pieces"),
+            F.sum(cents).alias("cents"),
+            F.sum(F.floor("l_quantity")).alias("pieces"),
             F.max(unit).alias("high_price"),
             F.min(unit).alias("low_price"),
         )
@@ -187,8 +214,8 @@ def longbars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         daily.withColumn("ticker", _id("l_suppkey"))
         .withColumn("open_price", F.col("low_price"))
-        .withColumn("close_price", F.col("paid").cast("double") / F.col("pieces").cast("double"))
-        .withColumn("volume", F.col("pieces").cast("bigint"))
+        .withColumn("close_price", F.col("cents").cast("double") / 100 / F.col("pieces").cast("double"))
+        .withColumn("volume", F.col("pieces"))
         .select(*schemas.FACT.fieldNames())
     )
 
@@ -246,7 +273,7 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price records of the last date. The range on ``ts`` reaches the parquet scan."""
     last = last_day(spark, sf_dir)
-    today = table(spark, sf_dir, "events").where(F.col("ts") >= last.cast("timestamp_ntz"))
+    today = table(spark, sf_dir, "events").where(_within(F.col("ts"), last))
     price = F.col("value")
     return today.select(
         _id("user_id").alias("ticker"),
@@ -259,8 +286,21 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def current_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BARS of the last date as current-day rows."""
-    last = last_day(spark, sf_dir)
-    return as_current_day(bars(spark, sf_dir).where(F.col("trade_date") == last))
+    return as_current_day(bars(spark, sf_dir, days=(last_day(spark, sf_dir),)))
+
+
+def intraday_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FEED as wide one-minute frames, blocked like ``wide_frames``; a ticker without a
+    trade in a minute has NULLs there."""
+    minute = F.date_trunc("minute", F.col("last_updated_ts")).cast("timestamp_ntz")
+    bars = feed(spark, sf_dir).groupBy("ticker", minute.alias("Datetime")).agg(
+        F.min_by("last_price", "last_updated_ts").alias("open_price"),
+        F.max("last_price").alias("high_price"),
+        F.min("last_price").alias("low_price"),
+        F.max_by("last_price", "last_updated_ts").alias("close_price"),
+        F.count(F.lit(1)).alias("volume"),
+    )
+    return _blocked(bars, "Datetime")
 
 
 def pack_bars(prices: DataFrame, document_keys: list[str], price: str) -> DataFrame:

@@ -22,6 +22,7 @@ def local_session(cores: int | str = 8, app: str = "marketlake", memory: str = "
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from marketlake import schemas
+from marketlake.functions.symbols import canonical_symbol
+from marketlake.functions.times import wall_clock_to_utc
 from marketlake.operators.cleaning import drop_incomplete
 
 FIELDS = ("open", "high", "low", "close", "volume")
@@ -17,26 +19,47 @@ def symbols_in(df: DataFrame) -> list[str]:
     return [s for s in found if all(f"{s.lower()}_{f}" in names for f in FIELDS)]
 
 
-def melt_bars(df: DataFrame, keep: tuple[str, ...] = (), places: int | None = 4) -> DataFrame:
-    """Wide -> one row per (ticker, date), incomplete bars left out.
+def _melt(df: DataFrame, keep: list[Column], places: int | None) -> DataFrame:
+    """Wide -> one row per symbol, incomplete bars left out.
 
     Each input row expands in place (``inline`` over an array of structs), so there is
     no shuffle, unlike an unpivot that has to be grouped back into bars.
     """
     lower = df.toDF(*(c.lower() for c in df.columns))
 
-    def price(symbol: str, field: str):
+    def price(symbol: str, field: str) -> Column:
         value = F.col(f"`{symbol.lower()}_{field}`").cast("double")
         return value if places is None else F.round(value, places)
 
     bars = [
         F.struct(
-            F.lit(symbol).alias("ticker"),
+            canonical_symbol(F.lit(symbol)).alias("ticker"),
             *(price(symbol, f).alias(f) for f in FIELDS[:-1]),
             F.col(f"`{symbol.lower()}_volume`").cast("bigint").alias("volume"),
         )
         for symbol in symbols_in(df)
     ]
+    return drop_incomplete(lower.select(*keep, F.inline(F.array(*bars))))
+
+
+def melt_bars(df: DataFrame, keep: tuple[str, ...] = (), places: int | None = 4) -> DataFrame:
+    """Daily frames (column ``Date``) -> staging rows; ``keep`` carries further columns."""
     date = F.col("date").cast("date").alias("snapshot_date")
-    rows = lower.select(*keep, date, F.inline(F.array(*bars)))
-    return drop_incomplete(rows).select(*keep, *schemas.STAGING.fieldNames())
+    rows = _melt(df, [*map(F.col, keep), date], places)
+    return rows.select(*keep, *schemas.STAGING.fieldNames())
+
+
+def melt_intraday(
+    df: DataFrame, zone: str | None = None, keep: tuple[str, ...] = (), places: int | None = 4
+) -> DataFrame:
+    """Intraday frames (column ``Datetime``, wall clock of ``zone``) -> current-day records.
+    The trade date is the local one, the update time is UTC."""
+    local = F.col("datetime").cast("timestamp_ntz")
+    times = [
+        local.cast("date").alias("trade_date"),
+        wall_clock_to_utc(local, zone).alias("last_updated_ts"),
+    ]
+    rows = _melt(df, [*map(F.col, keep), *times], places).withColumnsRenamed(
+        {"close": "last_price", **{f: f"{f}_price" for f in ("open", "high", "low")}}
+    )
+    return rows.select(*keep, *schemas.CURRENT_DAY.fieldNames())
