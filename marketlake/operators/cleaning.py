@@ -11,8 +11,10 @@ def drop_incomplete(df: DataFrame) -> DataFrame:
 
 
 def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key out of repeated loads: the greatest in column order, so that the
-    choice does not depend on the order of arrival. Copies collapse before the shuffle."""
+    """One row per key out of repeated loads, the one with the greatest hash of its values:
+    the choice does not depend on the order of arrival. Copies collapse before the shuffle,
+    in a hash aggregate (the maximum of a struct would have to sort the whole input)."""
     rest = [c for c in df.columns if c not in keys]
-    kept = df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("kept"))
-    return kept.select(*keys, "kept.*").select(*df.columns)
+    marked = df.withColumn("_mark", F.xxhash64(*rest))
+    kept = marked.groupBy(*keys).agg(*(F.max_by(c, "_mark").alias(c) for c in rest))
+    return kept.select(*df.columns)
