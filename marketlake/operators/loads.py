@@ -10,16 +10,27 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from marketlake import schemas
+from marketlake import files, schemas
+from marketlake.operators.snapshots import Snapshots
 
 
 def create_table(
-    spark: SparkSession, name: str, schema: T.StructType, partitioned_by: tuple[str, ...] = ()
+    spark: SparkSession,
+    name: str,
+    schema: T.StructType,
+    partitioned_by: tuple[str, ...] = (),
+    location: str | None = None,
 ) -> str:
+    """Create a parquet table if it is missing. With a location it is external, and an
+    application with a fresh catalog takes up the rows that are there."""
+    if spark.catalog.tableExists(name):
+        return name
     layout = f" PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({schemas.columns_ddl(schema)}) USING parquet{layout}"
-    )
+    place = f" LOCATION '{location}'" if location else ""
+    columns = schemas.columns_ddl(schema)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{layout}{place}")
+    if partitioned_by and location and files.exists(spark, location):
+        spark.sql(f"MSCK REPAIR TABLE {name}")
     return name
 
 
@@ -36,9 +47,15 @@ class Lake:
                 f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer} LOCATION '{self.root}/{layer}'"
             )
         for name, (schema, partitioned_by) in schemas.TABLES.items():
-            create_table(self.spark, self.prefix + name, schema, partitioned_by)
+            location = f"{self.root}/{name.replace('.', '/')}"
+            create_table(self.spark, self.name(name), schema, partitioned_by, location)
         return self
 
+    def live(self, table: str, ds: str) -> Snapshots:
+        """One session's snapshots of a live table; its view has the table's name."""
+        path = f"{self.root}/live/{table}/session={ds}"
+        return Snapshots(self.spark, path, schemas.LIVE_TABLES[table], view=self.name(table))
+
     def name(self, table: str) -> str:
         return self.prefix + table
 

@@ -50,6 +50,11 @@ def load_profile(staging: DataFrame) -> DataFrame:
     )
 
 
+def preview(df: DataFrame, rows: int = 10) -> DataFrame:
+    """Some rows to look at, in no particular order."""
+    return df.limit(rows)
+
+
 def quality_report(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """All batch checks as rows (check_name, passed, observed, expected): the fact is read
     once for the null checks and the distinct tickers, the dimension once for its rows."""

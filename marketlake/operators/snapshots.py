@@ -12,6 +12,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from marketlake import files
+
 
 class Snapshots:
     """``keep`` versions stay on disk for readers that started before a newer one. With a
@@ -31,16 +33,10 @@ class Snapshots:
         return f"{self.path}/version={version}"
 
     def versions(self) -> list[int]:
-        """Complete versions, oldest first. Lists at most ``keep`` + 1 folders."""
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        names = [status.getPath().getName() for status in fs.listStatus(root)]
-        found = [int(m.group(1)) for m in map(re.compile(r"version=(-?\d+)$").match, names) if m]
-        done = [v for v in found if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self._folder(v)}/_SUCCESS"))]
-        return sorted(done)
+        """Complete versions, oldest first. There are never more than ``keep`` + 1 folders."""
+        named = map(re.compile(r"version=(-?\d+)$").match, files.names_in(self.spark, self.path))
+        found = [int(match.group(1)) for match in named if match]
+        return sorted(v for v in found if files.exists(self.spark, f"{self._folder(v)}/_SUCCESS"))
 
     def read(self, before: int | None = None) -> DataFrame:
         """Newest complete version, or the newest one older than ``before``."""
@@ -60,8 +56,5 @@ class Snapshots:
         return self.spark.read.schema(self.schema).parquet(self._folder(version))
 
     def _drop_old(self, newest: int) -> None:
-        jvm = self.spark._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for version in [v for v in self.versions() if v <= newest][: -self.keep]:
-            folder = jvm.org.apache.hadoop.fs.Path(self._folder(version))
-            folder.getFileSystem(conf).delete(folder, True)
+            files.delete(self.spark, self._folder(version))

@@ -55,6 +55,12 @@ def staging_to_fact(spark, d):
     return loads.staging_to_fact(s.staging(spark, d), LOAD_DAY)
 
 
+@query
+def staging_to_fact_all(spark, d):
+    """The same without a date: the first load."""
+    return loads.staging_to_fact(s.staging(spark, d))
+
+
 @query
 def staging_dedup(spark, d):
     return one_per_key(s.staging_loaded_twice(spark, d), ["ticker", "snapshot_date"])

@@ -150,6 +150,7 @@ BODIES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM bars GROUP BY ticker""",
     ),
     "staging_to_fact": (("bars",), "SELECT * FROM bars WHERE trade_date = DATE '2024-01-15'"),
+    "staging_to_fact_all": (("bars",), "SELECT * FROM bars"),
     "staging_dedup": (("staging",), "SELECT * FROM staging"),
     "fact_load_day": (("bars",), "SELECT * FROM bars"),
     "append_staging": (("staging",), "SELECT * FROM staging"),

@@ -64,8 +64,12 @@ TABLES = {
     "marts.cumulative_stock_price": (CUMULATIVE, ()),
     "marts.dim_daily_stock_price": (DIM_DAILY, ()),
     "marts.dim_ticker_details": (DETAILS, ()),
-    "marts.current_day_stock_price": (CURRENT_DAY, ()),
-    "marts.current_day_metrics": (METRICS, ()),
+}
+
+# Tables that micro-batches rewrite: kept as snapshots and served through a view.
+LIVE_TABLES = {
+    "marts.current_day_stock_price": CURRENT_DAY,
+    "marts.current_day_metrics": METRICS,
 }
 
 

@@ -9,11 +9,11 @@ from pathlib import Path
 import duckdb
 
 SPARK_KINDS = {
-    "string": "text", "double": "float", "bigint": "int", "int": "int", "boolean": "bool",
+    "string": "text", "double": "float", "bigint": "long", "int": "int", "boolean": "bool",
     "date": "date", "timestamp_ntz": "timestamp", "array<double>": "floats",
 }
 DUCK_KINDS = {
-    "VARCHAR": "text", "DOUBLE": "float", "BIGINT": "int", "INTEGER": "int", "BOOLEAN": "bool",
+    "VARCHAR": "text", "DOUBLE": "float", "BIGINT": "long", "INTEGER": "int", "BOOLEAN": "bool",
     "DATE": "date", "TIMESTAMP": "timestamp", "DOUBLE[]": "floats",
 }
 

@@ -105,6 +105,18 @@ def test_daily_batch_survives_a_retried_load(spark):
     assert {(r.ticker, r.latest_price) for r in lake.table(daily.DIM).collect()} == {("A", 3.0), ("B", 2.0), ("BRK.B", 6.0)}
 
 
+def test_a_fresh_catalog_finds_the_rows(spark):
+    root = fresh_path(spark, "lake")
+    lake = Lake(spark, root, prefix=f"t{root[-8:]}_").create()
+    loads.overwrite(loads.staging_to_fact(staged(spark, [("A", DAY, 1.0), ("A", NEXT, 2.0)])), lake.name(daily.FACT))
+    for name in schemas.TABLES:
+        spark.sql(f"DROP TABLE {lake.name(name)}")
+    lake.create()
+    assert closes(lake.table(daily.FACT)) == [("A", "2024-01-05", 1.0), ("A", "2024-01-06", 2.0)]
+    loads.replace_day(loads.staging_to_fact(staged(spark, []), DAY), lake.name(daily.FACT), DAY)
+    assert closes(lake.table(daily.FACT)) == [("A", "2024-01-06", 2.0)]
+
+
 def test_lagged_load_takes_the_day_before(spark):
     root = fresh_path(spark, "lake")
     lake = Lake(spark, root, prefix=f"t{root[-8:]}_").create()
