@@ -63,31 +63,28 @@ class Lake:
         return self.spark.table(self.name(table))
 
 
-def _partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+def _insert(df: DataFrame, table: str, by: tuple[str, ...], overwrite: bool) -> int:
+    """Insert by name and return the row count, observed during the write itself.
 
-
-def _insert(df: DataFrame, table: str, overwrite: bool) -> int:
-    """Insert by name and return the row count, observed during the write itself."""
-    spark = df.sparkSession
+    ``by`` names the table's partition columns: rows are then gathered into few files per
+    partition, and adaptive execution splits partitions that are too large for a task.
+    """
     written = Observation()
-    rows = df.select(*spark.table(table).columns)
-    parts = _partition_columns(spark, table)
-    if parts:
-        # Few files per partition; adaptive execution splits partitions that are too large.
-        rows = rows.hint("rebalance", *parts)
+    rows = df.select(*df.sparkSession.table(table).columns)
+    if by:
+        rows = rows.hint("rebalance", *by)
     rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
     rows.write.insertInto(table, overwrite=overwrite)
     return written.get["rows"]
 
 
-def append(df: DataFrame, table: str) -> int:
-    return _insert(df, table, overwrite=False)
+def append(df: DataFrame, table: str, by: tuple[str, ...] = ()) -> int:
+    return _insert(df, table, by, overwrite=False)
 
 
-def overwrite(df: DataFrame, table: str) -> int:
+def overwrite(df: DataFrame, table: str, by: tuple[str, ...] = ()) -> int:
     """Replace the whole table. The rows must not be read from the table itself."""
-    return _insert(df, table, overwrite=True)
+    return _insert(df, table, by, overwrite=True)
 
 
 def create_as(df: DataFrame, table: str) -> None:
@@ -95,18 +92,18 @@ def create_as(df: DataFrame, table: str) -> None:
     df.write.mode("overwrite").format("parquet").saveAsTable(table)
 
 
-def replace_day(df: DataFrame, table: str, day: dt.date) -> None:
-    """Delete one day's partition and insert its rows, as one static partition overwrite.
+def replace_day(df: DataFrame, table: str, by: str, day: dt.date) -> None:
+    """Delete one day's partition (column ``by``) and insert its rows, as one static
+    partition overwrite.
 
     Repeating it gives the same table, and an empty day empties the partition, which a
     dynamic partition overwrite would leave alone.
     """
     spark = df.sparkSession
-    (part,) = _partition_columns(spark, table)
-    columns = ", ".join(c for c in spark.table(table).columns if c != part)
+    columns = ", ".join(c for c in spark.table(table).columns if c != by)
     spark.sql(
-        f"INSERT OVERWRITE {table} PARTITION ({part} = DATE '{day.isoformat()}') "
-        f"SELECT {columns} FROM {{rows}} WHERE {part} = DATE '{day.isoformat()}'",
+        f"INSERT OVERWRITE {table} PARTITION ({by} = DATE '{day.isoformat()}') "
+        f"SELECT {columns} FROM {{rows}} WHERE {by} = DATE '{day.isoformat()}'",
         rows=df,
     )
 

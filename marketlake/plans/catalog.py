@@ -71,10 +71,10 @@ def fact_load_day(spark, d):
     """All dates loaded, then one date replaced twice by a run for the day after it."""
     fact = loads.create_table(spark, fresh_table(spark, "fact"), schemas.FACT, ("trade_date",))
     staged = s.staging(spark, d)
-    loads.overwrite(loads.staging_to_fact(staged), fact)
+    loads.overwrite(loads.staging_to_fact(staged), fact, by=("trade_date",))
     day = loads.target_day(LOAD_DAY + dt.timedelta(days=1), lag_days=1)
     for _ in range(2):
-        loads.replace_day(loads.staging_to_fact(staged, day), fact, day)
+        loads.replace_day(loads.staging_to_fact(staged, day), fact, "trade_date", day)
     return spark.table(fact)
 
 
@@ -82,8 +82,8 @@ def fact_load_day(spark, d):
 def append_staging(spark, d):
     raw = loads.create_table(spark, fresh_table(spark, "staging"), schemas.STAGING, ("snapshot_date",))
     rows, last = s.staging(spark, d), s.last_day(spark, d)
-    loads.append(rows.where(F.col("snapshot_date") < last), raw)
-    loads.append(rows.where(F.col("snapshot_date") == last), raw)
+    loads.append(rows.where(F.col("snapshot_date") < last), raw, by=("snapshot_date",))
+    loads.append(rows.where(F.col("snapshot_date") == last), raw, by=("snapshot_date",))
     return spark.table(raw)
 
 

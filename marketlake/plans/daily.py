@@ -22,9 +22,9 @@ BAR_KEY = ["ticker", "snapshot_date"]
 
 def load_history(lake: Lake, landing: str) -> int:
     """First load: the full history replaces raw and fact. Returns the raw row count."""
-    rows = loads.overwrite(read_bars(lake.spark, landing), lake.name(RAW))
+    rows = loads.overwrite(read_bars(lake.spark, landing), lake.name(RAW), by=("snapshot_date",))
     unique = one_per_key(lake.table(RAW), BAR_KEY)
-    loads.overwrite(loads.staging_to_fact(unique), lake.name(FACT))
+    loads.overwrite(loads.staging_to_fact(unique), lake.name(FACT), by=("trade_date",))
     return rows
 
 
@@ -34,10 +34,10 @@ def load_day(lake: Lake, landing: str, ds: str, lag_days: int = 0) -> int:
     A retry appends the same rows again; they are reduced to one per bar on the way to
     the fact. Only the target date's partition of raw is read.
     """
-    rows = loads.append(read_bars(lake.spark, landing, ds), lake.name(RAW))
+    rows = loads.append(read_bars(lake.spark, landing, ds), lake.name(RAW), by=("snapshot_date",))
     day = loads.target_day(ds, lag_days)
     unique = one_per_key(lake.table(RAW).where(F.col("snapshot_date") == F.lit(day)), BAR_KEY)
-    loads.replace_day(loads.staging_to_fact(unique), lake.name(FACT), day)
+    loads.replace_day(loads.staging_to_fact(unique), lake.name(FACT), "trade_date", day)
     return rows
 
 

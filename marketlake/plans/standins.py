@@ -292,7 +292,8 @@ def current_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 def intraday_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FEED as wide one-minute frames, blocked like ``wide_frames``; a ticker without a
     trade in a minute has NULLs there."""
-    minute = F.date_trunc("minute", F.col("last_updated_ts")).cast("timestamp_ntz")
+    ts = F.col("last_updated_ts")
+    minute = ts - F.make_dt_interval(secs=F.extract(F.lit("SECOND"), ts))
     bars = feed(spark, sf_dir).groupBy("ticker", minute.alias("Datetime")).agg(
         F.min_by("last_price", "last_updated_ts").alias("open_price"),
         F.max("last_price").alias("high_price"),
@@ -306,10 +307,10 @@ def intraday_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pack_bars(prices: DataFrame, document_keys: list[str], price: str) -> DataFrame:
     """Price rows -> payload documents, one per key combination. Callers choose keys that
     bound a document's size; symbols take the feed's spelling, times whole seconds."""
-    second = F.date_trunc("second", F.col("last_updated_ts").cast("timestamp_ntz")).cast("timestamp_ntz")
+    second = F.substring(F.col("last_updated_ts").cast("string"), 1, 19)
     bar = F.struct(
         F.col(price).alias("c"),
-        F.concat(F.translate(F.substring(second.cast("string"), 1, 19), " ", "T"), F.lit("Z")).alias("t"),
+        F.concat(F.translate(second, " ", "T"), F.lit("Z")).alias("t"),
     )
     entry = F.struct(feed_symbol(F.col("ticker")).alias("symbol"), bar.alias("bar"))
     body = F.struct(F.map_from_entries(F.collect_list(entry)).alias("bars"))

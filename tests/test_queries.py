@@ -20,5 +20,17 @@ def test_query(spark, sf_dir, con, key):
     assert_same(entry_point.queries()[key](spark, sf_dir), con, entry_point.oracle_sql()[key])
 
 
+@pytest.mark.parametrize(
+    "key", ["json_bars_explode", "wide_to_current_day", "session_utc", "exchange_time_utc", "merge_upsert", "dim_daily"]
+)
+def test_results_do_not_depend_on_the_session_zone(spark, sf_dir, con, key):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert_same(entry_point.queries()[key](spark, sf_dir), con, entry_point.oracle_sql()[key])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0

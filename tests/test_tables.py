@@ -40,19 +40,19 @@ def fact_table(spark):
 def test_replacing_a_day_is_idempotent_and_leaves_other_days(spark, fact_table):
     new = loads.staging_to_fact(staged(spark, [("A", DAY, 9.0), ("A", NEXT, 8.0)]))
     for _ in range(2):
-        loads.replace_day(new, fact_table, DAY)
+        loads.replace_day(new, fact_table, "trade_date", DAY)
         assert closes(spark.table(fact_table)) == [("A", "2024-01-05", 9.0), ("A", "2024-01-06", 3.0)]
 
 
 def test_an_empty_day_empties_its_partition(spark, fact_table):
-    loads.replace_day(loads.staging_to_fact(staged(spark, []), DAY), fact_table, DAY)
+    loads.replace_day(loads.staging_to_fact(staged(spark, []), DAY), fact_table, "trade_date", DAY)
     assert closes(spark.table(fact_table)) == [("A", "2024-01-06", 3.0)]
 
 
 def test_inserts_match_columns_by_name(spark, fact_table):
     shuffled = spark.table(fact_table).select(*reversed(spark.table(fact_table).columns))
     name = loads.create_table(spark, fresh_table(spark, "copy"), schemas.FACT, ("trade_date",))
-    assert loads.append(shuffled, name) == 3
+    assert loads.append(shuffled, name, by=("trade_date",)) == 3
     assert closes(spark.table(name)) == closes(spark.table(fact_table))
 
 
@@ -113,7 +113,7 @@ def test_a_fresh_catalog_finds_the_rows(spark):
         spark.sql(f"DROP TABLE {lake.name(name)}")
     lake.create()
     assert closes(lake.table(daily.FACT)) == [("A", "2024-01-05", 1.0), ("A", "2024-01-06", 2.0)]
-    loads.replace_day(loads.staging_to_fact(staged(spark, []), DAY), lake.name(daily.FACT), DAY)
+    loads.replace_day(loads.staging_to_fact(staged(spark, []), DAY), lake.name(daily.FACT), "trade_date", DAY)
     assert closes(lake.table(daily.FACT)) == [("A", "2024-01-06", 2.0)]
 
 
