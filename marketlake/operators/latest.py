@@ -6,11 +6,27 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 
 def latest_per_key(df: DataFrame, keys: list[str], by: str) -> DataFrame:
-    """The row with the greatest ``by`` per key; a missing ``by`` ranks last.
+    """The row with the greatest ``by`` per key; a missing ``by`` counts as the smallest.
 
-    Spark turns rank-one filters into a group limit on both sides of the shuffle, so
-    each task sends at most one row per key and a hot key stays small.
+    One hash aggregate without a sort: rows shrink to one per key and task before the
+    shuffle, however hot a key is. Every column follows the same comparisons, so all values
+    of a result come from one row.
     """
+    newest = F.max(by)
+    rest = [c for c in df.columns if c not in (*keys, by)]
+    latest = df.groupBy(*keys).agg(
+        newest.alias(by),
+        *(
+            F.when(newest.isNull(), F.any_value(c)).otherwise(F.max_by(c, by)).alias(c)
+            for c in rest
+        ),
+    )
+    return latest.select(*df.columns)
+
+
+def ranked_latest(df: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """The same by a row number, for rows with text columns, which a hash aggregate cannot
+    hold. Spark turns the rank-one filter into a limit on both sides of the shuffle."""
     newest_first = Window.partitionBy(*keys).orderBy(F.col(by).desc_nulls_last())
     ranked = df.withColumn("_rank", F.row_number().over(newest_first))
     return ranked.where(F.col("_rank") == 1).drop("_rank")

@@ -16,7 +16,7 @@ from marketlake.operators import loads, quality
 from marketlake.operators.baselines import rolling_averages, trailing_baselines
 from marketlake.operators.cleaning import drop_incomplete, one_per_key
 from marketlake.operators.history import cumulative_prices, dim_daily
-from marketlake.operators.latest import latest_per_key, session_bars
+from marketlake.operators.latest import latest_per_key, ranked_latest, session_bars
 from marketlake.operators.loads import Lake
 from marketlake.operators.merge import merge_update, merge_upsert
 from marketlake.operators.snapshots import Snapshots
@@ -239,7 +239,7 @@ def exchange_time_utc(spark, d):
 
 @query
 def latest_bar_per_ticker(spark, d):
-    return latest_per_key(s.bars(spark, d), ["ticker"], "trade_date")
+    return ranked_latest(s.bars(spark, d), ["ticker"], "trade_date")
 
 
 @query

@@ -11,7 +11,7 @@ from marketlake.operators import quality
 from marketlake.operators.baselines import rolling_averages, trailing_baselines
 from marketlake.operators.cleaning import drop_incomplete, one_per_key
 from marketlake.operators.history import cumulative_prices, dim_daily
-from marketlake.operators.latest import latest_per_key, session_bars
+from marketlake.operators.latest import latest_per_key, ranked_latest, session_bars
 from marketlake.operators.merge import merge_update, merge_upsert
 from marketlake.plans import reports
 from marketlake.plans.marts import init_current_day, init_metrics, on_date
@@ -52,12 +52,22 @@ def test_one_per_key_is_deterministic_and_keeps_every_key(spark):
     assert sorted(row[0] for row in kept[0]) == ["A", "B"]
 
 
-def test_latest_per_key_ranks_missing_times_last(spark):
+@pytest.mark.parametrize("latest_of", [latest_per_key, ranked_latest])
+def test_latest_per_key_ranks_missing_times_last(spark, latest_of):
     df = fact(spark, [("A", None, 1.0), ("A", D(2024, 1, 1), 2.0), ("B", None, 3.0)])
-    got = {(r.ticker, r.close_price) for r in latest_per_key(df, ["ticker"], "trade_date").collect()}
+    got = {(r.ticker, r.close_price) for r in latest_of(df, ["ticker"], "trade_date").collect()}
     assert got == {("A", 2.0), ("B", 3.0)}
 
 
+def test_latest_rows_stay_whole_when_times_tie(spark):
+    at = dt.date(2024, 1, 1)
+    df = spark.range(1000, numPartitions=8).select(
+        (F.col("id") % 3).alias("k"), F.lit(at).alias("day"), F.col("id").alias("a"), (-F.col("id")).alias("b")
+    )
+    rows = latest_per_key(df, ["k"], "day").collect()
+    assert len(rows) == 3 and all(r.a == -r.b and r.a % 3 == r.k for r in rows)
+
+
 def test_drop_incomplete_counts_nan_as_missing(spark):
     df = spark.createDataFrame([(1, 1.0), (2, None), (3, float("nan"))], "id int, x double")
     assert [r.id for r in drop_incomplete(df).collect()] == [1]

@@ -42,9 +42,15 @@ def test_no_broadcast_without_a_size_check(spark, smallest_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-@pytest.mark.parametrize("key", ["latest_bar_per_ticker", "init_current_day", "latest_snapshot", "merge_upsert"])
-def test_latest_rows_are_limited_before_the_shuffle(spark, smallest_dir, key):
-    assert "WindowGroupLimit" in plan_of(entry_point.queries()[key](spark, smallest_dir))
+@pytest.mark.parametrize("key", ["init_current_day", "latest_snapshot", "merge_upsert", "staging_dedup"])
+def test_one_row_per_key_needs_no_sort_to_aggregate(spark, smallest_dir, key):
+    plan = plan_of(entry_point.queries()[key](spark, smallest_dir))
+    assert "partial_max_by" in plan and "SortAggregate" not in plan
+
+
+def test_ranked_rows_are_limited_before_the_shuffle(spark, smallest_dir):
+    plan = plan_of(entry_point.queries()["latest_bar_per_ticker"](spark, smallest_dir))
+    assert plan.count("WindowGroupLimit (") >= 2
 
 
 @pytest.mark.parametrize(
