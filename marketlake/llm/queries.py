@@ -4,17 +4,73 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import fingerprint
+from marketlake.llm import bpe, fingerprint, reply_trees, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_pairs(spark, _table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_document_fingerprints,)}
+def op7_token_counts(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    return token_count.count_tokens(_table(spark, sf_dir, "documents"), model or _vocabulary("piece_bpe_32k.model"))
+
+
+def op8_bpe_round_trip(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary or _vocabulary("byte_bpe_50k.json"))
+
+
+#: Conversation -7 of op10: both turns say what looks like control strings.
+ODD_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.createDataFrame(ODD_TURNS, "conv_id long, turn long, role string, text string")
+    return reply_trees.conversation_digests(given.unionByName(odd))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_document_fingerprints,
+        op7_token_counts,
+        op8_bpe_round_trip,
+        op10_chat_formatting,
+    )
+}
+
+
+def _escaped(text: str) -> str:
+    """SQL for a text with its backslashes doubled and its control strings broken."""
+    sql = f"replace({text}, chr(92), chr(92) || chr(92))"
+    for control in reply_trees.CONTROL:
+        sql = f"replace({sql}, '{control}', '{control[0]}' || chr(92) || '{control[1:]}')"
+    return sql
+
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_chat_formatting": f"""
+        with given as (
+            select conv_id, turn, role, coalesce(text, '') as text from conversations
+            union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
+            union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        )
+        select conv_id,
+               count(*) as n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+               coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+               sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+               sum(length('<s>' || role || chr(10) || {_escaped("text")} || '</s>'))::bigint as formatted_chars
+        from given group by conv_id
+    """,
+}
