@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import bpe, fingerprint, reply_trees, token_count
+from marketlake.llm import bpe, decontaminate, fingerprint, reply_trees, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_pairs(spark, _table(spark, sf_dir, "documents"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
     return token_count.count_tokens(_table(spark, sf_dir, "documents"), model or _vocabulary("piece_bpe_32k.model"))
 
@@ -43,6 +47,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_document_fingerprints,
+        op4_benchmark_decontamination,
         op7_token_counts,
         op8_bpe_round_trip,
         op10_chat_formatting,
@@ -58,7 +63,24 @@ def _escaped(text: str) -> str:
     return sql
 
 
+def _shingled(table: str, key: str) -> str:
+    """SQL for the distinct five-word shingles of a table's texts."""
+    return f"""
+        select distinct {key}, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) as shingle
+        from (select {key}, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') as w from {table}) where len(w) >= 5
+    """
+
+
+LEAKS_SQL = f"""
+    select doc_id, item_id, count(*)::bigint as shared, max(n)::bigint as n_item, count(*)::double / max(n) as containment
+    from ({_shingled("documents", "doc_id")}) d
+    join ({_shingled("benchmark", "item_id")}) i using (shingle)
+    join (select item_id, count(*) as n from ({_shingled("benchmark", "item_id")}) group by item_id) using (item_id)
+    group by doc_id, item_id having count(*) >= ceil(max(n) * 0.8 - 1e-9)
+"""
+
 ORACLE: dict[str, str] = {
+    "op4_benchmark_decontamination": LEAKS_SQL,
     "op10_chat_formatting": f"""
         with given as (
             select conv_id, turn, role, coalesce(text, '') as text from conversations
