@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import bpe, decontaminate, fingerprint, reply_trees, token_count
+from marketlake.llm import bpe, decontaminate, fingerprint, reply_trees, token_count, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str, vocabulary: str | None
     return bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary or _vocabulary("byte_bpe_50k.json"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 #: Conversation -7 of op10: both turns say what looks like control strings.
 ODD_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
@@ -50,6 +54,7 @@ QUERIES = {
         op4_benchmark_decontamination,
         op7_token_counts,
         op8_bpe_round_trip,
+        op9_toxicity,
         op10_chat_formatting,
     )
 }
