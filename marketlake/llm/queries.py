@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import bpe, decontaminate, fingerprint, reply_trees, token_count, toxicity
+from marketlake.llm import bpe, decontaminate, fingerprint, personal_data, reply_trees, token_count, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.span_digests(_table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
     return token_count.count_tokens(_table(spark, sf_dir, "documents"), model or _vocabulary("piece_bpe_32k.model"))
 
@@ -52,6 +56,7 @@ QUERIES = {
     for f in (
         op1_document_fingerprints,
         op4_benchmark_decontamination,
+        op6_personal_data,
         op7_token_counts,
         op8_bpe_round_trip,
         op9_toxicity,
