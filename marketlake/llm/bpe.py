@@ -18,10 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.merge_automaton import MergeAutomaton
+from marketlake.llm.merge_automaton import MergeAutomaton, path
 from marketlake.llm.shipping import ship
 
 CACHE = 400_000
+#: Texts that are prepared together.
+ROWS = 2_000
 
 #: Fixed: the pattern by which byte-level vocabularies split text.
 PATTERN = (
@@ -86,7 +88,26 @@ class ByteBpe:
     def _part(self, lead: str, part: str) -> tuple[int, ...]:
         if not part or part[0].isspace() or part[-1].isspace():
             raise Entangled
-        return tuple([i for word in self.split(lead + part) for i in self._word(word)])
+        return tuple([i for word in self.split(lead + part) for i in self.words[word]])
+
+    def prepare(self, texts: list[str | None]) -> None:
+        """Encode the new words of many texts in one pass, in order, so that common beginnings are read once."""
+        parts: set[str] = set()
+        for text in texts:
+            if text:
+                parts.update(text.split(" "))
+        parts.difference_update(self.spaced)
+        new = {word for part in parts for word in self.split(" " + part)}
+        new.difference_update(self.words)
+        spelled = {word.encode("utf-8").decode("latin-1"): word for word in new if len(word) <= 64}
+        if len(self.words) + len(spelled) > CACHE:
+            self.words.clear()
+        ids, words = self.ids, self.words
+
+        def keep(symbols: str, lasts: list, counts: list[int]) -> None:
+            words[spelled[symbols]] = tuple([ids[p] for p in path(symbols, lasts)])
+
+        self.automaton.read_sorted(sorted(spelled), keep)
 
     def _plain(self, text: str) -> list[int]:
         if not text:
@@ -121,49 +142,54 @@ def tokenizer(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
-def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+def encode_documents(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
     """All columns of `docs` but the text, and `ids`, the text's token ids; nothing is shuffled."""
     ship(docs.sparkSession)
     kept = [c for c in docs.columns if c not in (text, "ids")]
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(path).encode
+        bpe = tokenizer(vocabulary)
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                ids = pa.array([encode(t) if t else [] for t in part.column(text).to_pylist()], type=pa.list_(pa.int32()))
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                texts = part.column(text).to_pylist()
+                bpe.prepare(texts)
+                ids = pa.array([bpe.encode(t) if t else [] for t in texts], type=pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), ids], names=[*kept, "ids"])
 
     schema = docs.select(*kept).schema.add("ids", "array<int>")
     return docs.select(*kept, text).mapInArrow(encoded, schema)
 
 
-def decode_documents(tokens: DataFrame, path: str) -> DataFrame:
+def decode_documents(tokens: DataFrame, vocabulary: str) -> DataFrame:
     """All columns of `tokens` but `ids`, and the decoded `text`."""
     ship(tokens.sparkSession)
     kept = [c for c in tokens.columns if c not in ("ids", "text")]
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decode = tokenizer(path).decode
+        decode = tokenizer(vocabulary).decode
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
                 texts = pa.array([decode(ids or []) for ids in part.column("ids").to_pylist()], type=pa.string())
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), texts], names=[*kept, "text"])
 
     return tokens.select(*kept, "ids").mapInArrow(decoded, tokens.select(*kept).schema.add("text", "string"))
 
 
-def round_trip(docs: DataFrame, path: str) -> DataFrame:
+def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of what they decode to, for every row."""
     ship(docs.sparkSession)
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = tokenizer(path)
+        bpe = tokenizer(vocabulary)
         digit = {i: str(i) for i in bpe.labels}
         for batch in batches:
             counts, ids_sha, text_sha = [], [], []
-            for text in batch.column("text").to_pylist():
+            texts = batch.column("text").to_pylist()
+            for at, text in enumerate(texts):
+                if at % ROWS == 0:
+                    bpe.prepare(texts[at : at + ROWS])
                 ids = bpe.encode(text) if text else []
                 counts.append(len(ids))
                 ids_sha.append(hashlib.sha256(",".join([digit[i] for i in ids]).encode("ascii")).hexdigest())

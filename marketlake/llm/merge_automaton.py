@@ -139,38 +139,80 @@ class MergeAutomaton:
     def count(self, word: str) -> int:
         """Number of pieces; a symbol outside the alphabet counts one."""
         table, state, total = self.table, 0, 0
-        for symbol in word:
+        for at, symbol in enumerate(word):
             found = table[state].get(symbol)
             if found is None:
                 if len(self._states) >= self.max_states:
-                    return len(self.pieces(word))
+                    return total + self._count_on(state, word, at)
                 found = self.step(state, symbol)
             state, _, change = found
             total += change
         return total
 
-    def pieces(self, word: str) -> list[str]:
-        """The pieces of a word; a symbol outside the alphabet stands for itself."""
-        time, longest, follows = self.time, self.longest, self.follows
-        lasts: list[str | None] = [APART]
-        ends: list[str] = []
-        apart = 0
-        for stop, symbol in enumerate(word, 1):
-            if symbol not in time:
+    def _count_on(self, state: int, word: str, at: int) -> int:
+        """What the symbols from `at` on add to the count, read from the arcs behind a state."""
+        suffix, known_lasts, known_counts = self._states[state]
+        word = suffix + word[at:]
+        lasts, counts = list(known_lasts), list(known_counts)
+        self._read(word, len(suffix), lasts, counts)
+        return counts[-1]
+
+    def _read(self, word: str, done: int, lasts: list, counts: list[int]) -> None:
+        """Append the last arc and the number of arcs at each position of `word` behind `done`."""
+        time, arcs, follows, longest = self.time, self._arcs, self.follows, self.longest
+        apart = done
+        while apart and lasts[apart] is not APART:
+            apart -= 1
+        for stop in range(done + 1, len(word) + 1):
+            if word[stop - 1] not in time:
                 apart = stop
                 lasts.append(APART)
-                ends.append(symbol)
+                counts.append(counts[-1] + 1)
                 continue
-            for start in range(max(apart, stop - longest), stop):
+            start = stop - 1
+            low = max(apart, stop - longest)
+            while start >= low:
                 arc = word[start:stop]
-                if arc in time and (lasts[start] is APART or follows(lasts[start], arc)):
-                    lasts.append(arc)
-                    ends.append(arc)
+                if arc in time:
+                    last = lasts[start]
+                    if last is APART:
+                        break
+                    known = arcs.get((last, arc))
+                    if known or (known is None and follows(last, arc)):
+                        break
+                start -= 1
+            else:
+                raise ValueError("no arc fits")
+            lasts.append(arc)
+            counts.append(counts[start] + 1)
+
+    def read_sorted(self, words: Iterable[str], found: Callable[[str, list, list[int]], None]) -> None:
+        """Read words in ascending order, each from where it leaves the one before, and hand over its positions."""
+        lasts, counts, before = [APART], [0], ""
+        for word in words:
+            same = 0
+            for a, b in zip(before, word):
+                if a != b:
                     break
-        out: list[str] = []
-        at = len(word)
-        while at:
-            out.append(ends[at - 1])
-            at -= len(out[-1])
-        out.reverse()
-        return out
+                same += 1
+            del lasts[same + 1 :], counts[same + 1 :]
+            self._read(word, same, lasts, counts)
+            found(word, lasts, counts)
+            before = word
+
+    def pieces(self, word: str) -> list[str]:
+        """The pieces of a word; a symbol outside the alphabet stands for itself."""
+        lasts: list[str | None] = [APART]
+        self._read(word, 0, lasts, [0])
+        return path(word, lasts)
+
+
+def path(word: str, lasts: list) -> list[str]:
+    """The pieces of a word from the last arcs at its positions."""
+    out: list[str] = []
+    at = len(word)
+    while at:
+        out.append(lasts[at] or word[at - 1])
+        at -= len(out[-1])
+    out.reverse()
+    return out
