@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import bpe, decontaminate, fingerprint, personal_data, reply_trees, token_count, toxicity
+from marketlake.llm import bpe, decontaminate, fingerprint, html_template, personal_data, reply_trees, token_count, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.extract(_table(spark, sf_dir, "pages"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.span_digests(_table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES = {
     for f in (
         op1_document_fingerprints,
         op4_benchmark_decontamination,
+        op5_html_extraction,
         op6_personal_data,
         op7_token_counts,
         op8_bpe_round_trip,
