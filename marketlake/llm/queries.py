@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import bpe, decontaminate, fingerprint, html_template, personal_data, reply_trees, token_count, toxicity
+from marketlake.llm import bpe, decontaminate, fingerprint, html_template, lm_trie, personal_data, reply_trees, token_count, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_pairs(spark, _table(spark, sf_dir, "documents"))
 
 
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_trie.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -59,6 +63,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_document_fingerprints,
+        op2_lm_scores,
         op4_benchmark_decontamination,
         op5_html_extraction,
         op6_personal_data,
