@@ -32,12 +32,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.elias_fano import EliasFano
+from marketlake.llm.packed import pack, pack_sorted, unpack, unpack_sorted
 from marketlake.llm.shipping import ship
 from marketlake.llm.words import filled, mix, slices, word_hashes
 
 BLOCK_BYTES = 16 << 20
 ORDERS = 3
-MU = {2: 30.0, 3: 3.0}
+MU = {2: 1000.0, 3: 10.0}
 STEP = 1024.0
 
 _BEGIN, _END = np.uint64(0x5BD1E9955BD1E995), np.uint64(0x27D4EB2F165667C5)
@@ -99,40 +100,6 @@ class Block:
         ]
 
 
-def _planes(values: np.ndarray, width: int) -> bytes:
-    """Integers byte by byte, the first bytes of all, then the second: steps and small counts pack well."""
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
-
-
-def _unplanes(raw: bytes, width: int) -> np.ndarray:
-    part = np.frombuffer(raw, dtype=np.uint8).reshape(width, -1)
-    whole = np.zeros((part.shape[1], 8), dtype=np.uint8)
-    whole[:, :width] = part.T
-    return whole.view("<u8").reshape(-1).astype(np.uint64)
-
-
-def _width(values: np.ndarray) -> int:
-    return max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
-
-
-def _pack(values: np.ndarray) -> bytes:
-    width = _width(values)
-    return bytes([width]) + _planes(values, width)
-
-
-def _unpack(raw: bytes) -> np.ndarray:
-    return _unplanes(raw[1:], raw[0])
-
-
-def _pack_sorted(keys: np.ndarray, drop: int) -> bytes:
-    steps = np.diff(keys >> np.uint64(drop), prepend=np.uint64(0))
-    return _pack(steps)
-
-
-def _unpack_sorted(raw: bytes, drop: int) -> np.ndarray:
-    return np.cumsum(_unpack(raw), dtype=np.uint64) << np.uint64(drop)
-
-
 _DROP = [0, 8, 8]
 
 
@@ -152,7 +119,7 @@ def _requests(table: pa.Table, shards: int) -> pa.Table:
         keys, counts = keys[by], counts[by]
         cuts = [0, *np.searchsorted(keys, limits, side="left"), len(keys)]
         rows += [
-            (shard, number, order, _pack_sorted(keys[a:b], _DROP[order]), _pack(counts[a:b]))
+            (shard, number, order, pack_sorted(keys[a:b], _DROP[order]), pack(counts[a:b]))
             for shard, (a, b) in enumerate(zip(cuts, cuts[1:]))
         ]
     return pa.Table.from_arrays([pa.array(c) for c in zip(*rows)], names=["shard", "block", "ngram", "keys", "counts"]).cast(_REQUEST)
@@ -170,14 +137,14 @@ def _answers(table: pa.Table) -> pa.Table:
     rows: list[tuple] = []
     for order in range(ORDERS):
         chosen = [i for i, o in enumerate(ngrams) if o == order]
-        asked = [_unpack_sorted(keys[i].as_py(), _DROP[order]) for i in chosen]
-        given = [_unpack(counts[i].as_py()) for i in chosen]
+        asked = [unpack_sorted(keys[i].as_py(), _DROP[order]) for i in chosen]
+        given = [unpack(counts[i].as_py()) for i in chosen]
         _, place = np.unique(np.concatenate(asked), return_inverse=True)
         sums = np.bincount(place, weights=np.concatenate(given).astype(np.float64)).astype(np.int64)
         tokens, types = (int(sums.sum()), int(np.count_nonzero(sums))) if order == 0 else (0, 0)
         at = 0
         for i, part in zip(chosen, asked):
-            rows.append((blocks[i], shard, order, _pack(sums[place[at : at + len(part)]]), tokens, types))
+            rows.append((blocks[i], shard, order, pack(sums[place[at : at + len(part)]]), tokens, types))
             at += len(part)
     return pa.Table.from_arrays([pa.array(c) for c in zip(*rows)], names=_ANSWER.names).cast(_ANSWER)
 
@@ -318,7 +285,7 @@ def _scores(texts: pa.Table, answers: pa.Table) -> pa.Table:
     parts: list[list[np.ndarray]] = [[] for _ in range(ORDERS)]
     raw = answers.column("counts")
     for order, _, i in rows:
-        parts[order].append(_unpack(raw[i].as_py()))
+        parts[order].append(unpack(raw[i].as_py()))
     # a shard's sums stand in its answer to the single words, of which every block has one from each shard
     tokens, types = sum(answers.column("tokens").to_pylist()), sum(answers.column("types").to_pylist())
     counts = []

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import bpe, decontaminate, fingerprint, html_template, lm_trie, personal_data, reply_trees, token_count, toxicity
+from marketlake.llm import bpe, decontaminate, fingerprint, html_template, jaccard_join, lm_trie, personal_data, reply_trees, token_count, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_trie.score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked(_table(spark, sf_dir, "documents"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -64,6 +68,7 @@ QUERIES = {
     for f in (
         op1_document_fingerprints,
         op2_lm_scores,
+        op3_ngram_jaccard_join,
         op4_benchmark_decontamination,
         op5_html_extraction,
         op6_personal_data,
