@@ -17,6 +17,7 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from marketlake.llm.merge_automaton import MergeAutomaton, path
 from marketlake.llm.shipping import ship
@@ -157,7 +158,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, text: str = "text") -> Da
                 ids = pa.array([bpe.encode(t) if t else [] for t in texts], type=pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), ids], names=[*kept, "ids"])
 
-    schema = docs.select(*kept).schema.add("ids", "array<int>")
+    schema = docs.select(*kept).schema.add("ids", ArrayType(IntegerType()))
     return docs.select(*kept, text).mapInArrow(encoded, schema)
 
 
@@ -174,7 +175,7 @@ def decode_documents(tokens: DataFrame, vocabulary: str) -> DataFrame:
                 texts = pa.array([decode(ids or []) for ids in part.column("ids").to_pylist()], type=pa.string())
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), texts], names=[*kept, "text"])
 
-    return tokens.select(*kept, "ids").mapInArrow(decoded, tokens.select(*kept).schema.add("text", "string"))
+    return tokens.select(*kept, "ids").mapInArrow(decoded, tokens.select(*kept).schema.add("text", StringType()))
 
 
 def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:

@@ -217,7 +217,10 @@ def redacted_text(text: str, added: list | None) -> str:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """The documents with all their columns, their texts without personal data; null texts stay."""
+    """The documents with all their columns, their texts without personal data; null texts stay.
+
+    A column n_chars is counted anew.
+    """
     added = stored(_listed(discovered(stored(scan(docs), "pii_scan"))), "pii_added")
 
     @F.pandas_udf("string")
@@ -227,4 +230,8 @@ def redact(docs: DataFrame) -> DataFrame:
     names = docs.columns
     found = added.select(F.col("row_key").alias("__row_key"), F.col("added").alias("__added"))
     joined = docs.withColumn("__key", _row_key("doc_id", "text")).join(_few(found), F.col("__key") == F.col("__row_key"), "left")
-    return joined.select(*[redacted(F.col("text"), F.col("__added")).alias("text") if c == "text" else F.col(c) for c in names])
+    new = joined.withColumn("text", redacted(F.col("text"), F.col("__added")))
+    if "n_chars" in names:
+        kind = docs.schema["n_chars"].dataType
+        new = new.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind)))
+    return new.select(*names)
