@@ -27,6 +27,8 @@ from marketlake.llm.shipping import ship
 MARK = "▁"
 CHUNK = 1 << 16
 CACHE = 400_000
+#: Texts that are prepared together.
+ROWS = 2_000
 LIMIT = 4096
 _BORDER = re.compile(f"(?<=[^{MARK}]){MARK}")
 _RUNS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -76,7 +78,7 @@ class TokenCounter:
             for n in range(1, len(piece))
         )
         ranks = self.rank
-        symbols = {c for piece in ranks for c in piece}
+        self.symbols = symbols = {c for piece in ranks for c in piece}
         self.automaton = MergeAutomaton(symbols, merges, lambda a, b: ranks.get(a + b))
         self._close()
         for piece in ranks:
@@ -100,11 +102,27 @@ class TokenCounter:
 
     def _count(self, word: str) -> int:
         total = self.automaton.count(word)
-        for symbol in word:
-            if symbol not in self.rank:  # such a symbol is spelled in bytes, one token each
-                total += len(symbol.encode("utf-8")) - 1
+        if not self.symbols.issuperset(word):  # such a symbol is spelled in bytes, one token each
+            total += sum(len(c.encode("utf-8")) - 1 for c in word if c not in self.symbols)
         return total
 
+    def prepare(self, texts: list[str | None]) -> None:
+        """Count the new words of many texts in one pass, in order, so that common beginnings are read once."""
+        parts: set[str] = set()
+        for text in texts:
+            if text:
+                parts.update(text.replace("\n", " ").split(" "))
+        parts.difference_update(self.whole)
+        new = sorted(p for p in parts if len(p) <= 64 and MARK not in p and self.symbols.issuperset(p))
+        if len(self.whole) + len(new) > CACHE:
+            self.whole.clear()
+        whole = self.whole
+
+        def keep(word: str, lasts: list, counts: list[int]) -> None:
+            whole[word[1:]] = counts[-1]
+
+        self.automaton.read_sorted((MARK + p for p in new), keep)
+
     def _line(self, line: str) -> int:
         """Tokens of a line that begins at a border; it may begin with a word's end or a mark."""
         if MARK + MARK in line or line.startswith(MARK):
@@ -167,15 +185,18 @@ def counter(path: str) -> TokenCounter:
     return TokenCounter(path)
 
 
-def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
+def count_tokens(docs: DataFrame, model: str, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens and whether that is over the limit, for every row; nothing is shuffled."""
     ship(docs.sparkSession)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = counter(path).tokens
+        tokens = counter(model)
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            n_tokens = [tokens(t) if t else 0 for t in texts]
+            n_tokens = []
+            for start in range(0, len(texts), ROWS):
+                tokens.prepare(texts[start : start + ROWS])
+                n_tokens += [tokens.tokens(t) if t else 0 for t in texts[start : start + ROWS]]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
