@@ -21,6 +21,18 @@ def names_in(spark: SparkSession, folder: str) -> list[str]:
     return [entry.getPath().getName() for entry in fs.listStatus(target)] if fs.exists(target) else []
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    fs, target = _open(spark, path)
+    fs.create(target, True).close()
+
+
+def delete_at_end(spark: SparkSession, folder: str) -> None:
+    """Remove a folder when this application's file systems are closed."""
+    fs, target = _open(spark, folder)
+    fs.deleteOnExit(target)
+
+
 def delete(spark: SparkSession, folder: str) -> None:
     fs, target = _open(spark, folder)
     fs.delete(target, True)

@@ -23,24 +23,22 @@ def change_vs_baseline(now: Column, baseline: Column) -> Column:
 
 
 def exact_dollar_volume(price: Column, volume: Column) -> Column:
-    """price x volume as a decimal, so that a total does not depend on row order."""
-    return price.cast("decimal(18,4)") * volume.cast("decimal(19,0)")
+    """price x volume as a decimal of ten places, so that a total does not depend on row
+    order. NULL for a price that is not finite."""
+    return price.try_cast("decimal(22,10)") * volume.try_cast("decimal(15,0)")
 
 
-_MILLIONTHS = 1_000_000.0
+def exact(value: Column) -> Column:
+    """A double as a decimal of twelve places, NULL when it is not finite. Doubles add up
+    differently in every partitioning, which shows when a mean falls on a rounding boundary;
+    decimals add up exactly, whatever the row order."""
+    return value.try_cast("decimal(30,12)")
 
 
-def price_units(price: Column) -> Column:
-    """A price as whole millionths. Doubles add up differently in every partitioning, which
-    shows when a mean falls on a rounding boundary; long integers add up exactly, whatever
-    the row order, and cheaper than decimals."""
-    return F.floor(price * _MILLIONTHS + 0.5)
+def mean_of(total: Column, count: Column) -> Column:
+    return F.try_divide(total.cast("double"), count.cast("double"))
 
 
-def mean_of_units(total: Column, count: Column) -> Column:
-    return F.try_divide(total.cast("double") / _MILLIONTHS, count.cast("double"))
-
-
-def mean_price(price: Column) -> Column:
-    """Average price as an aggregate, independent of row order."""
-    return mean_of_units(F.sum(price_units(price)), F.count(price))
+def exact_mean(value: Column) -> Column:
+    """Average of the finite values as an aggregate, independent of row order."""
+    return mean_of(F.sum(exact(value)), F.count(exact(value)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from marketlake.functions.prices import mean_of_units, mean_price, price_units
+from marketlake.functions.prices import exact, exact_mean, mean_of
 from marketlake.functions.rounding import rounded
 
 DEFAULT_WINDOWS = (90, 365)
@@ -18,15 +18,25 @@ def trailing_baselines(
     fact: DataFrame,
     windows: tuple[int, ...] = DEFAULT_WINDOWS,
     as_of: Column | None = None,
+    closes: DataFrame | None = None,
 ) -> DataFrame:
     """Last close, and averages over the ``n`` calendar days that end at ``as_of``
-    (default: the last date of the fact). One aggregation with partial sums."""
+    (default: the last date of the fact). One aggregation with partial sums.
+
+    ``closes`` (ticker, close_price_last_day) gives the last closes where a mart has them:
+    then only the dates of the longest window are read from the fact.
+    """
     end = fact.agg(F.max("trade_date")).scalar() if as_of is None else as_of
-    age = fact.where(F.col("trade_date") <= end).withColumn("_age", F.datediff(end, "trade_date"))
+    within = F.col("trade_date") <= end
+    if closes is not None:
+        within &= F.col("trade_date") > F.date_sub(end, max(windows))
+    age = fact.where(within).withColumn("_age", F.datediff(end, "trade_date"))
     averages = [
-        rounded(mean_price(F.when(F.col("_age") < n, F.col("close_price"))), 4).alias(average_name(n))
+        rounded(exact_mean(F.when(F.col("_age") < n, F.col("close_price"))), 4).alias(average_name(n))
         for n in windows
     ]
+    if closes is not None:
+        return closes.join(age.groupBy("ticker").agg(*averages), "ticker", "left")
     return age.groupBy("ticker").agg(
         F.max_by("close_price", "trade_date").alias("close_price_last_day"), *averages
     )
@@ -37,7 +47,7 @@ def rolling_averages(fact: DataFrame, windows: tuple[int, ...] = DEFAULT_WINDOWS
 
     A window of n days is the running total up to the bar minus the running total up to n
     days before. Running frames only ever grow, so each bar is added once per frame,
-    whereas a sliding frame adds up all its bars again for every row; integer totals make
+    whereas a sliding frame adds up all its bars again for every row; decimal totals make
     the difference exact.
     """
     by_day = Window.partitionBy("ticker").orderBy(F.unix_date("trade_date"))
@@ -45,11 +55,12 @@ def rolling_averages(fact: DataFrame, windows: tuple[int, ...] = DEFAULT_WINDOWS
     def running(aggregate: Column, days_before: int) -> Column:
         return aggregate.over(by_day.rangeBetween(Window.unboundedPreceding, -days_before))
 
-    total, priced = F.sum(price_units(F.col("close_price"))), F.count("close_price")
+    close = exact(F.col("close_price"))
+    total, priced = F.sum(close), F.count(close)
 
     def average(days: int) -> Column:
         before = F.coalesce(running(total, days), F.lit(0))
-        return mean_of_units(
+        return mean_of(
             running(total, 0) - before, running(priced, 0) - running(priced, days)
         )
 

@@ -23,6 +23,22 @@ def cumulative_prices(fact: DataFrame) -> DataFrame:
     )
 
 
+def append_day(dim: DataFrame, day: DataFrame) -> DataFrame:
+    """The daily dimension after one more date, later than all that it holds: one row per
+    ticker is joined with one partition of the fact instead of aggregating every history."""
+    bars = day.select("ticker", "close_price", "trade_date", F.lit(True).alias("_new"))
+    close = F.when(F.col("_new"), F.array("close_price"))
+    none = F.array().cast("array<double>")
+    return dim.join(bars, "ticker", "full_outer").select(
+        "ticker",
+        F.concat(F.coalesce("price_history", none), F.coalesce(close, none)).alias("price_history"),
+        F.when(F.col("_new"), F.col("close_price")).otherwise(F.col("latest_price")).alias("latest_price"),
+        F.least("historic_low", "close_price").alias("historic_low"),
+        F.greatest("historic_high", "close_price").alias("historic_high"),
+        F.coalesce("trade_date", "last_updated").alias("last_updated"),
+    )
+
+
 def dim_daily(fact: DataFrame) -> DataFrame:
     """History, latest close, range and last date, all in one pass and one sort."""
     return fact.groupBy("ticker").agg(

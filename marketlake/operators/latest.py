@@ -2,32 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from marketlake.operators.cleaning import value_mark
+
+
+def _newest(df: DataFrame, by: str) -> Column:
+    """A total order of rows by one number: the time, then a hash of all values, which tells
+    NULLs apart. A decimal fits the fixed-width buffers of a hash aggregate; a struct does not."""
+    kind = df.schema[by].dataType
+    if isinstance(kind, T.DateType):
+        time = F.unix_date(by)
+    elif isinstance(kind, T.TimestampNTZType):
+        since = F.col(by) - F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")  # free of the session zone
+        time = since.cast("interval second").cast("decimal(18,6)") * 1_000_000
+    elif isinstance(kind, T.TimestampType):
+        time = F.unix_micros(by)
+    else:
+        time = F.col(by)
+    whole = F.coalesce(time.cast("decimal(19,0)"), F.lit(-(10**18)).cast("decimal(19,0)"))
+    mark = F.shiftright(value_mark(df.columns), 4).cast("decimal(19,0)")  # below 10**18
+    return whole * F.lit(10**18).cast("decimal(19,0)") + mark
 
 
 def latest_per_key(df: DataFrame, keys: list[str], by: str) -> DataFrame:
-    """The row with the greatest ``by`` per key; a missing ``by`` counts as the smallest.
+    """The row with the greatest ``by`` per key; a missing ``by`` counts as the smallest,
+    and among rows of one time a hash of the values decides, so that the choice does not
+    depend on partitioning or on the order of arrival.
 
     One hash aggregate without a sort: rows shrink to one per key and task before the
     shuffle, however hot a key is. Every column follows the same comparisons, so all values
     of a result come from one row.
     """
-    newest = F.max(by)
-    rest = [c for c in df.columns if c not in (*keys, by)]
-    latest = df.groupBy(*keys).agg(
-        newest.alias(by),
-        *(
-            F.when(newest.isNull(), F.any_value(c)).otherwise(F.max_by(c, by)).alias(c)
-            for c in rest
-        ),
-    )
-    return latest.select(*df.columns)
+    rest = [c for c in df.columns if c not in keys]
+    order = "_newest"
+    marked = df.withColumn(order, _newest(df, by))
+    return marked.groupBy(*keys).agg(*(F.max_by(c, order).alias(c) for c in rest)).select(*df.columns)
 
 
 def ranked_latest(df: DataFrame, keys: list[str], by: str) -> DataFrame:
     """The same by a row number, for rows with text columns, which a hash aggregate cannot
     hold. Spark turns the rank-one filter into a limit on both sides of the shuffle."""
-    newest_first = Window.partitionBy(*keys).orderBy(F.col(by).desc_nulls_last())
+    newest_first = Window.partitionBy(*keys).orderBy(F.col(by).desc_nulls_last(), value_mark(df.columns).desc())
     ranked = df.withColumn("_rank", F.row_number().over(newest_first))
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
@@ -35,10 +51,10 @@ def ranked_latest(df: DataFrame, keys: list[str], by: str) -> DataFrame:
 def session_bars(records: DataFrame) -> DataFrame:
     """One bar per ticker and day from its intraday bars: first open, highest high,
     lowest low, last price, total volume, last time. Partial aggregates throughout."""
-    ts = "last_updated_ts"
-    return records.groupBy("ticker", "trade_date").agg(
-        F.max_by("last_price", ts).alias("last_price"),
-        F.min_by("open_price", ts).alias("open_price"),
+    ts, order = "last_updated_ts", "_newest"
+    return records.withColumn(order, _newest(records, ts)).groupBy("ticker", "trade_date").agg(
+        F.max_by("last_price", order).alias("last_price"),
+        F.min_by("open_price", order).alias("open_price"),
         F.max("high_price").alias("high_price"),
         F.min("low_price").alias("low_price"),
         F.sum("volume").alias("volume"),

@@ -49,8 +49,21 @@ class Lake:
         for name, (schema, partitioned_by) in schemas.TABLES.items():
             location = f"{self.root}/{name.replace('.', '/')}"
             create_table(self.spark, self.name(name), schema, partitioned_by, location)
+        for name in schemas.LIVE_TABLES:
+            if not self.spark.catalog.tableExists(self.name(name)):
+                self._show_last_session(name)
         return self
 
+    def _show_last_session(self, table: str) -> None:
+        """The view of a live table: its newest session's rows, before the first one no rows."""
+        sessions = files.names_in(self.spark, f"{self.root}/live/{table}")
+        days = sorted(n.removeprefix("session=") for n in sessions if n.startswith("session="))
+        if not any(self.live(table, day).show_newest() for day in reversed(days)):
+            columns = ", ".join(
+                f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in schemas.LIVE_TABLES[table]
+            )
+            self.spark.sql(f"CREATE VIEW {self.name(table)} AS SELECT {columns} WHERE false")
+
     def live(self, table: str, ds: str) -> Snapshots:
         """One session's snapshots of a live table; its view has the table's name."""
         path = f"{self.root}/live/{table}/session={ds}"
@@ -63,8 +76,12 @@ class Lake:
         return self.spark.table(self.name(table))
 
 
-def _insert(df: DataFrame, table: str, by: tuple[str, ...], overwrite: bool) -> int:
-    """Insert by name and return the row count, observed during the write itself.
+_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+def _insert(df: DataFrame, table: str, by: tuple[str, ...], overwrite: bool, mode: str = "STATIC") -> int:
+    """Insert by name and return the row count, observed during the write itself. What an
+    overwrite replaces is said here, whatever the session's setting is.
 
     ``by`` names the table's partition columns: rows are then gathered into few files per
     partition, and adaptive execution splits partitions that are too large for a task.
@@ -74,7 +91,13 @@ def _insert(df: DataFrame, table: str, by: tuple[str, ...], overwrite: bool) ->
     if by:
         rows = rows.hint("rebalance", *by)
     rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
-    rows.write.insertInto(table, overwrite=overwrite)
+    conf = df.sparkSession.conf
+    before = conf.get(_MODE)
+    conf.set(_MODE, mode)
+    try:
+        rows.write.insertInto(table, overwrite=overwrite)
+    finally:
+        conf.set(_MODE, before)
     return written.get["rows"]
 
 
@@ -87,6 +110,11 @@ def overwrite(df: DataFrame, table: str, by: tuple[str, ...] = ()) -> int:
     return _insert(df, table, by, overwrite=True)
 
 
+def overwrite_partitions(df: DataFrame, table: str, by: tuple[str, ...]) -> int:
+    """Replace the partitions that the rows fall into and leave all others."""
+    return _insert(df, table, by, overwrite=True, mode="DYNAMIC")
+
+
 def create_as(df: DataFrame, table: str) -> None:
     """Create the table from the rows, replacing one that is there."""
     df.write.mode("overwrite").format("parquet").saveAsTable(table)

@@ -78,7 +78,9 @@ def quality_report(fact: DataFrame, dim: DataFrame) -> DataFrame:
 
 def require(verdicts: DataFrame, passed: str = "passed") -> DataFrame:
     """Raise when a verdict row failed. Only the failed rows of a check travel."""
-    failed = verdicts.where(~F.col(passed)).take(10)
+    wrong = verdicts.where(~F.col(passed))
+    failed = wrong.take(10)
     if failed:
-        raise ValueError(f"data-quality check failed: {[row.asDict() for row in failed]}")
+        shown = [row.asDict() for row in failed]
+        raise ValueError(f"{wrong.count()} data-quality checks failed, among them: {shown}")
     return verdicts

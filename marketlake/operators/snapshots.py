@@ -1,19 +1,25 @@
 """Whole-table snapshots for tables that are rewritten by every micro-batch.
 
-Each version is its own parquet folder, written in full before it counts (its _SUCCESS
-marker), so a reader sees the old rows or the new ones and a failed write is ignored.
-Versions are batch ids: replaying a batch starts from the version before it.
+Each version is its own parquet folder. It counts from the moment its marker is there, which
+is set after the files are complete and the checks have passed, so a reader sees the old rows
+or the new ones, and a failed write is ignored. Versions are batch ids: replaying a batch
+starts from the version before it and writes a further attempt beside the first, whose files
+stay for those who are reading them.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from marketlake import files
 
+_FOLDER = re.compile(r"version=(-?\d+)\.(\d+)$")
+_MARKER = "_PUBLISHED"
+
 
 class Snapshots:
     """``keep`` versions stay on disk for readers that started before a newer one. With a
@@ -29,32 +35,64 @@ class Snapshots:
     ):
         self.spark, self.path, self.schema, self.keep, self.view = spark, path, schema, keep, view
 
-    def _folder(self, version: int) -> str:
-        return f"{self.path}/version={version}"
+    def _folder(self, version: int, attempt: int) -> str:
+        return f"{self.path}/version={version}.{attempt}"
+
+    def _attempts(self) -> list[tuple[int, int]]:
+        """All folders as (version, attempt), oldest first."""
+        named = map(_FOLDER.match, files.names_in(self.spark, self.path))
+        return sorted((int(m.group(1)), int(m.group(2))) for m in named if m)
+
+    def _published(self) -> dict[int, int]:
+        """The last published attempt of every version."""
+        return {
+            v: a for v, a in self._attempts() if files.exists(self.spark, f"{self._folder(v, a)}/{_MARKER}")
+        }
 
     def versions(self) -> list[int]:
-        """Complete versions, oldest first. There are never more than ``keep`` + 1 folders."""
-        named = map(re.compile(r"version=(-?\d+)$").match, files.names_in(self.spark, self.path))
-        found = [int(match.group(1)) for match in named if match]
-        return sorted(v for v in found if files.exists(self.spark, f"{self._folder(v)}/_SUCCESS"))
+        """Published versions, oldest first."""
+        return sorted(self._published())
 
     def read(self, before: int | None = None) -> DataFrame:
-        """Newest complete version, or the newest one older than ``before``."""
-        usable = [v for v in self.versions() if before is None or v < before]
+        """Newest published version, or the newest one older than ``before``."""
+        published = self._published()
+        usable = [v for v in published if before is None or v < before]
         if not usable:
             raise ValueError(f"no snapshot in {self.path}")
-        return self.spark.read.schema(self.schema).parquet(self._folder(usable[-1]))
+        return self._rows(max(usable), published[max(usable)])
+
+    def _rows(self, version: int, attempt: int) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self._folder(version, attempt))
 
-    def write(self, version: int, rows: DataFrame) -> DataFrame:
-        by_name = rows.select(*self.schema.fieldNames())
-        by_name.write.mode("overwrite").parquet(self._folder(version))
+    def write(
+        self, version: int, rows: DataFrame, check: Callable[[DataFrame], object] | None = None
+    ) -> DataFrame:
+        """Write a further attempt at a version, check it, and only then publish it."""
+        attempt = 1 + max((a for v, a in self._attempts() if v == version), default=-1)
+        folder = self._folder(version, attempt)
+        rows.select(*self.schema.fieldNames()).write.parquet(folder)
+        written = self._rows(version, attempt)
+        if check is not None:
+            check(written)
+        files.touch(self.spark, f"{folder}/{_MARKER}")
         if self.view:
-            self.spark.sql(
-                f"CREATE OR REPLACE VIEW {self.view} AS SELECT * FROM parquet.`{self._folder(version)}`"
-            )
+            show(self.spark, self.view, folder)
         self._drop_old(version)
-        return self.spark.read.schema(self.schema).parquet(self._folder(version))
+        return written
+
+    def show_newest(self) -> bool:
+        """Point the view at the newest version, if there is one: for a fresh catalog."""
+        published = self._published()
+        if published and self.view:
+            show(self.spark, self.view, self._folder(max(published), published[max(published)]))
+        return bool(published)
 
     def _drop_old(self, newest: int) -> None:
-        for version in [v for v in self.versions() if v <= newest][: -self.keep]:
-            files.delete(self.spark, self._folder(version))
+        old = [v for v in self.versions() if v <= newest][: -self.keep]
+        for version, attempt in self._attempts():
+            if version in old:
+                files.delete(self.spark, self._folder(version, attempt))
+
+
+def show(spark: SparkSession, view: str, folder: str) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{folder}`")

@@ -15,7 +15,7 @@ from marketlake.functions.casting import typed
 from marketlake.operators import loads, quality
 from marketlake.operators.baselines import rolling_averages, trailing_baselines
 from marketlake.operators.cleaning import drop_incomplete, one_per_key
-from marketlake.operators.history import cumulative_prices, dim_daily
+from marketlake.operators.history import append_day, cumulative_prices, dim_daily
 from marketlake.operators.latest import latest_per_key, ranked_latest, session_bars
 from marketlake.operators.loads import Lake
 from marketlake.operators.merge import merge_update, merge_upsert
@@ -50,6 +50,13 @@ def dim_daily_(spark, d):
     return dim_daily(s.bars(spark, d))
 
 
+@query
+def dim_daily_incremental(spark, d):
+    """The dimension of all dates but the last, and the last date appended."""
+    last, bars = s.last_day(spark, d), s.bars(spark, d)
+    return append_day(dim_daily(bars.where(F.col("trade_date") < last)), bars.where(F.col("trade_date") == last))
+
+
 @query
 def staging_to_fact(spark, d):
     return loads.staging_to_fact(s.staging(spark, d), LOAD_DAY)
@@ -140,6 +147,12 @@ def typed_cast(spark, d):
     return typed(s.staging_text(spark, d), schemas.STAGING)
 
 
+@query
+def non_finite_fields(spark, d):
+    """NaN and infinities are missing values on every path."""
+    return typed(s.staging_non_finite(spark, d), schemas.STAGING)
+
+
 @query
 def normalize_ticker(spark, d):
     return s.class_share_names(spark, d).select(
@@ -177,8 +190,7 @@ def union_bars(spark, d):
     path = fresh_path(spark, "parts")
     rows = s.staging(spark, d).withColumn("part", F.weekday("snapshot_date"))
     rows.hint("rebalance", "part").write.partitionBy("part").parquet(path)
-    parts = [f"{path}/part={weekday}" for weekday in range(7)]
-    return spark.read.schema(schemas.STAGING).parquet(*parts)
+    return spark.read.parquet(path).select(*schemas.STAGING.fieldNames())
 
 
 @query
@@ -252,9 +264,18 @@ def latest_snapshot(spark, d):
     return latest_per_key(s.feed(spark, d), ["ticker"], "last_updated_ts")
 
 
+@query
+def latest_of_ties(spark, d):
+    """Records of one time: the choice is by their values, whatever the partitioning."""
+    tied = s.tied_records(spark, d)
+    latest = latest_per_key(tied.repartition(7), CURRENT_KEYS, "last_updated_ts")
+    other = latest_per_key(tied.repartition(3, "last_price"), CURRENT_KEYS, "last_updated_ts")
+    return latest.intersect(other).select(*CURRENT_KEYS, "last_updated_ts")
+
+
 @query
 def session_snapshot(spark, d):
-    return session_bars(s.feed(spark, d)).select(*schemas.CURRENT_DAY.fieldNames())
+    return session_bars(s.all_records(spark, d)).select(*schemas.CURRENT_DAY.fieldNames())
 
 
 @query
@@ -283,20 +304,21 @@ def merge_upsert_(spark, d):
     return _upserted(spark, d)
 
 
-def _three_batches(paths: int) -> int:
-    return max(1, -(-paths // 3))
+#: Landing files of one micro-batch; a rate that does not depend on how many have landed.
+FILES_PER_BATCH = 10
 
 
 @query
 def stream_current_day(spark, d):
-    """FEED as landing files, drained in three micro-batches. Files of a batch may hold any
-    hours, so only newer records replace stored ones."""
+    """FEED as landing files, one per hour, drained in micro-batches. Files of a batch may
+    hold any hours, so only newer records replace stored ones."""
     landing, state, checkpoint = (fresh_path(spark, n) for n in ("landing", "state", "checkpoint"))
-    s.feed(spark, d).withColumn("hour", F.hour("last_updated_ts")).write.partitionBy("hour").parquet(landing)
-    files = len(spark.read.parquet(landing).inputFiles())
+    s.feed(spark, d).withColumn("hour", F.hour("last_updated_ts")).hint("rebalance", "hour").write.partitionBy(
+        "hour"
+    ).parquet(landing)
     table = Snapshots(spark, state, schemas.CURRENT_DAY)
     table.write(live.SEED_VERSION, s.base(spark, d))
-    records = live.price_records(spark, landing, _three_batches(files))
+    records = live.price_records(spark, landing, FILES_PER_BATCH)
     live.start_upserts(records, table, checkpoint, newer_only=True, min_rows=1).awaitTermination()
     return table.read()
 
@@ -305,9 +327,10 @@ def stream_current_day(spark, d):
 def stream_current_day_metrics(spark, d):
     """LONGFEED as payload documents, merged into the seeded metrics table."""
     landing, state, checkpoint = (fresh_path(spark, n) for n in ("landing", "state", "checkpoint"))
-    s.longfeed_documents(spark, d).write.text(landing)
+    fact = s.stored_longbars(spark, d)
+    s.longfeed_documents(fact).write.text(landing)
     table = Snapshots(spark, state, schemas.METRICS)
-    table.write(live.SEED_VERSION, marts.init_metrics(s.longbase(spark, d), s.tickers(spark, d)))
+    table.write(live.SEED_VERSION, marts.init_metrics(s.longbase(fact), s.tickers(spark, d)))
     live.start_metrics(live.price_documents(spark, landing), table, checkpoint).awaitTermination()
     return table.read()
 
@@ -358,13 +381,13 @@ def rolling_averages_(spark, d):
 @query
 def init_metrics_table(spark, d):
     name = loads.create_table(spark, fresh_table(spark, "metrics"), schemas.METRICS)
-    loads.overwrite(marts.init_metrics(s.longbase(spark, d), s.tickers(spark, d)), name)
+    loads.overwrite(marts.init_metrics(s.longbase(s.stored_longbars(spark, d)), s.tickers(spark, d)), name)
     return spark.table(name)
 
 
 def _metrics(spark, d) -> DataFrame:
-    prices = s.longfeed(spark, d).drop("trade_date")
-    return metrics.price_change_metrics(prices, s.longbase(spark, d))
+    fact = s.stored_longbars(spark, d)
+    return metrics.price_change_metrics(s.longfeed(fact).drop("trade_date"), s.longbase(fact))
 
 
 @query
@@ -442,6 +465,24 @@ def top_volume(spark, d):
     return reports.top_volume(s.bars(spark, d))
 
 
+FILTERS = {"sectors": ("BUILDING", "MACHINERY"), "cap_classes": ("Mega Cap", "Large Cap")}
+
+
+@query
+def filtered_trend(spark, d):
+    return reports.market_trend(reports.of_tickers(s.bars(spark, d), reports.filter_details(s.tickers(spark, d), **FILTERS)))
+
+
+@query
+def filtered_volume(spark, d):
+    return reports.top_volume(reports.of_tickers(s.bars(spark, d), reports.filter_details(s.tickers(spark, d), **FILTERS)))
+
+
+@query
+def filtered_distribution(spark, d):
+    return reports.market_cap_distribution(reports.filter_details(s.tickers(spark, d), **FILTERS))
+
+
 @query
 def market_cap_class_(spark, d):
     return s.tickers(spark, d).select(
@@ -491,6 +532,21 @@ def dq_report(spark, d):
     return quality.quality_report(fact, dim_daily(fact))
 
 
+@query
+def dq_report_spoiled(spark, d):
+    """The same checks where they must fail: closes are missing on one day of the month, and
+    the dimension lacks the tickers that had no bar on the last date."""
+    fact = loads.staging_to_fact(s.staging_with_gaps(spark, d))
+    dim = dim_daily(fact).where(F.col("last_updated") == s.last_day(spark, d))
+    return quality.quality_report(fact, dim)
+
+
+@query
+def dq_dim_lacks_tickers(spark, d):
+    fact = s.bars(spark, d)
+    return quality.dim_matches_fact(dim_daily(fact).where(F.col("last_updated") == s.last_day(spark, d)), fact)
+
+
 @query
 def current_day_sanity(spark, d):
     return quality.current_day_sanity(_upserted(spark, d), s.last_day(spark, d), min_rows=100)

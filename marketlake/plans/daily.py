@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, functions as F
 
+from marketlake import schemas
 from marketlake.operators import loads
 from marketlake.operators.cleaning import one_per_key
-from marketlake.operators.history import dim_daily
+from marketlake.operators.history import append_day, dim_daily
 from marketlake.operators.loads import Lake
-from marketlake.operators.quality import quality_report, require
+from marketlake.operators.quality import quality_report, require, row_counts
+from marketlake.session import fresh_path
 from marketlake.sources.csv_files import read_bars, read_details
 
 RAW = "raw.staging_daily_stock_price"
@@ -16,25 +20,33 @@ FACT = "stg.fact_daily_stock_price"
 CUMULATIVE = "marts.cumulative_stock_price"
 DIM = "marts.dim_daily_stock_price"
 DETAILS = "marts.dim_ticker_details"
+CURRENT_DAY = "marts.current_day_stock_price"
 
 BAR_KEY = ["ticker", "snapshot_date"]
 
 
+def _dated(rows: DataFrame) -> DataFrame:
+    """Rows that name a bar. The others are counted by ``rejected_rows``."""
+    return rows.where(F.col("ticker").isNotNull() & F.col("snapshot_date").isNotNull())
+
+
 def load_history(lake: Lake, landing: str) -> int:
-    """First load: the full history replaces raw and fact. Returns the raw row count."""
-    rows = loads.overwrite(read_bars(lake.spark, landing), lake.name(RAW), by=("snapshot_date",))
+    """First load: the full history replaces raw, and its dates those of the fact; later
+    dates that the fact has from daily files stay. Returns the raw row count."""
+    rows = loads.overwrite(_dated(read_bars(lake.spark, landing)), lake.name(RAW), by=("snapshot_date",))
     unique = one_per_key(lake.table(RAW), BAR_KEY)
-    loads.overwrite(loads.staging_to_fact(unique), lake.name(FACT), by=("trade_date",))
+    loads.overwrite_partitions(loads.staging_to_fact(unique), lake.name(FACT), by=("trade_date",))
     return rows
 
 
 def load_day(lake: Lake, landing: str, ds: str, lag_days: int = 0) -> int:
-    """Append the file of ``ds`` to raw, then replace the target date of the fact.
+    """Replace the dates of the file of ``ds`` in raw, then the target date of the fact.
 
-    A retry appends the same rows again; they are reduced to one per bar on the way to
-    the fact. Only the target date's partition of raw is read.
+    A retry or a corrected file takes the place of what an earlier one brought. Rows that a
+    file repeats are reduced to one per bar on the way to the fact.
     """
-    rows = loads.append(read_bars(lake.spark, landing, ds), lake.name(RAW), by=("snapshot_date",))
+    bars = _dated(read_bars(lake.spark, landing, ds))
+    rows = loads.overwrite_partitions(bars, lake.name(RAW), by=("snapshot_date",))
     day = loads.target_day(ds, lag_days)
     unique = one_per_key(lake.table(RAW).where(F.col("snapshot_date") == F.lit(day)), BAR_KEY)
     loads.replace_day(loads.staging_to_fact(unique), lake.name(FACT), "trade_date", day)
@@ -48,11 +60,52 @@ def load_details(lake: Lake, path: str) -> int:
 def rebuild_marts(lake: Lake) -> None:
     """Both per-ticker marts. The history is aggregated from the fact once; the cumulative
     table is a projection of the daily dimension, so it needs no second shuffle."""
-    loads.overwrite(dim_daily(lake.table(FACT)), lake.name(DIM))
+    _publish_marts(lake, dim_daily(lake.table(FACT)))
+
+
+def update_marts(lake: Lake, day: dt.date) -> None:
+    """Both marts after a load of ``day``: one more date is appended; a date that is not
+    later than all others, a correction, makes them anew."""
+    dim = lake.table(DIM)
+    newest = dim.agg(F.max("last_updated")).first()[0]
+    if newest is None or newest >= day:
+        rebuild_marts(lake)
+        return
+    bars = lake.table(FACT).where(F.col("trade_date") == F.lit(day))
+    path = fresh_path(lake.spark, "dim_daily")  # the table can't be read while it is replaced
+    append_day(dim, bars).write.parquet(path)
+    _publish_marts(lake, lake.spark.read.schema(schemas.DIM_DAILY).parquet(path))
+
+
+def _publish_marts(lake: Lake, dim: DataFrame) -> None:
+    loads.overwrite(dim, lake.name(DIM))
     history = lake.table(DIM).select("ticker", "price_history", "last_updated")
     loads.overwrite(history, lake.name(CUMULATIVE))
 
 
-def check(lake: Lake, strict: bool = False) -> DataFrame:
+def rejected_rows(lake: Lake, landing: str, ds: str | None = None) -> DataFrame:
+    """A check row: how many rows of a file name no bar, for a missing or unreadable date or
+    ticker, and were not loaded."""
+    bars = read_bars(lake.spark, landing, ds)
+    lost = F.count_if(F.col("ticker").isNull() | F.col("snapshot_date").isNull())
+    return bars.agg(lost.alias("observed")).select(
+        F.lit("rejected rows").alias("check_name"),
+        (F.col("observed") == 0).alias("passed"),
+        "observed",
+        F.lit(0).cast("bigint").alias("expected"),
+    )
+
+
+def counts(lake: Lake) -> DataFrame:
+    """Rows of the six tables."""
+    return row_counts({name: lake.table(name) for name in (RAW, FACT, CUMULATIVE, DIM, DETAILS, CURRENT_DAY)})
+
+
+def check(
+    lake: Lake, strict: bool = False, landing: str | None = None, ds: str | None = None
+) -> DataFrame:
+    """All batch checks; with a landing folder also that of the rejected rows of its file."""
     report = quality_report(lake.table(FACT), lake.table(DIM))
+    if landing is not None:
+        report = report.unionByName(rejected_rows(lake, landing, ds))
     return require(report) if strict else report

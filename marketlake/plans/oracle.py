@@ -188,10 +188,23 @@ BODIES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "union_bars": (("staging",), "SELECT * FROM staging"),
     "json_bars_explode": (
+        (),
+        """SELECT CAST(user_id AS VARCHAR) AS ticker, arg_max(value, ts) AS current_price,
+            max(ts) AS last_updated_ts
+        FROM events GROUP BY user_id, CAST(ts AS DATE), hour(ts)""",
+    ),
+    "non_finite_fields": (
+        ("staging",),
+        """SELECT ticker, snapshot_date, CASE WHEN day(snapshot_date) NOT IN (5, 6) THEN open END AS open,
+            CASE WHEN day(snapshot_date) <> 6 THEN high END AS high, low,
+            CASE WHEN day(snapshot_date) NOT IN (8, 11) THEN close END AS close,
+            CASE WHEN day(snapshot_date) <> 12 THEN volume END AS volume
+        FROM staging""",
+    ),
+    "latest_of_ties": (
         ("feed",),
-        """SELECT ticker, arg_max(last_price, last_updated_ts) AS current_price,
-            date_trunc('second', max(last_updated_ts)) AS last_updated_ts
-        FROM feed GROUP BY ticker, hour(last_updated_ts)""",
+        """SELECT ticker, trade_date, max(date_trunc('hour', last_updated_ts)) AS last_updated_ts
+        FROM feed GROUP BY ticker, trade_date""",
     ),
     "json_details_flatten": (
         ("tickers",),
@@ -235,12 +248,12 @@ BODIES: dict[str, tuple[tuple[str, ...], str]] = {
     "init_current_day": (("base",), "SELECT * FROM base"),
     "latest_snapshot": (("snap",), "SELECT * FROM snap"),
     "session_snapshot": (
-        ("today", "bars", "feed"),
-        """SELECT t.ticker, t.trade_date, t.last_price, t.open_price, b.high_price, b.low_price,
-            t.volume, u.last_updated_ts
-        FROM today t JOIN bars b USING (ticker, trade_date)
-        JOIN (SELECT ticker, max(last_updated_ts) AS last_updated_ts FROM feed GROUP BY ticker) u
-            USING (ticker)""",
+        ("bars",),
+        """SELECT b.ticker, b.trade_date, b.close_price AS last_price, b.open_price, b.high_price,
+            b.low_price, b.volume, u.last_updated_ts
+        FROM bars b JOIN (SELECT CAST(user_id AS VARCHAR) AS ticker, CAST(ts AS DATE) AS trade_date,
+                max(ts) AS last_updated_ts FROM events GROUP BY user_id, CAST(ts AS DATE)) u
+            USING (ticker, trade_date)""",
     ),
     "merge_update_only": (
         ("base", "snap"),
@@ -267,7 +280,7 @@ BODIES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "dollar_volume_total": (
         ("today",),
-        """SELECT CAST(sum(CAST(last_price AS DECIMAL(18,4)) * CAST(volume AS DECIMAL(19,0))) AS DOUBLE)
+        """SELECT CAST(sum(CAST(last_price AS DECIMAL(22,10)) * CAST(volume AS DECIMAL(15,0))) AS DOUBLE)
             AS dollar_volume FROM today""",
     ),
     "trailing_baselines": (
@@ -287,9 +300,9 @@ BODIES: dict[str, tuple[tuple[str, ...], str]] = {
     "rolling_averages": (
         ("longbars",),
         """SELECT ticker, trade_date,
-            round(CAST(sum(CAST(close_price AS DECIMAL(18,6))) OVER quarter AS DOUBLE)
+            round(CAST(sum(CAST(close_price AS DECIMAL(30,12))) OVER quarter AS DOUBLE)
                 / count(*) OVER quarter, 4) AS avg_90d,
-            round(CAST(sum(CAST(close_price AS DECIMAL(18,6))) OVER year AS DOUBLE)
+            round(CAST(sum(CAST(close_price AS DECIMAL(30,12))) OVER year AS DOUBLE)
                 / count(*) OVER year, 4) AS avg_365d
         FROM longbars WINDOW
             quarter AS (PARTITION BY ticker ORDER BY trade_date
@@ -383,7 +396,43 @@ BODIES: dict[str, tuple[tuple[str, ...], str]] = {
             max(snapshot_date) AS last_date, count(DISTINCT ticker) AS tickers FROM staging""",
     ),
 }
-BODIES["daily_batch"] = BODIES["dim_daily"]
+BODIES["daily_batch"] = BODIES["dim_daily_incremental"] = BODIES["dim_daily"]
+_CHOSEN = (
+    "SELECT ticker FROM tickers WHERE sector IN ('BUILDING', 'MACHINERY')"
+    " AND market_cap_description IN ('Mega Cap', 'Large Cap')"
+)
+BODIES |= {
+    "filtered_trend": (
+        ("bars", "tickers"),
+        f"""SELECT trade_date, {{mean:close_price}} AS avg_close FROM bars
+        WHERE ticker IN ({_CHOSEN}) GROUP BY trade_date""",
+    ),
+    "filtered_volume": (
+        ("bars", "tickers"),
+        f"""SELECT ticker, CAST(sum(volume) AS BIGINT) AS total_volume FROM bars
+        WHERE ticker IN ({_CHOSEN}) GROUP BY ticker ORDER BY total_volume DESC, ticker LIMIT 20""",
+    ),
+    "filtered_distribution": (
+        ("tickers",),
+        f"""SELECT market_cap_description, count(*) AS cnt FROM tickers
+        WHERE ticker IN ({_CHOSEN}) GROUP BY market_cap_description""",
+    ),
+    "dq_report_spoiled": (
+        ("bars", "edge"),
+        """SELECT unnest(['ticker not null', 'close_price not null', 'trade_date not null',
+                'dim rows match tickers']) AS check_name,
+            unnest([true, gaps = 0, true, present = n]) AS passed,
+            unnest([0, gaps, 0, present]) AS observed, unnest([0, 0, 0, n]) AS expected
+        FROM (SELECT count(*) FILTER (WHERE day(trade_date) = 9) AS gaps, count(DISTINCT ticker) AS n,
+                count(DISTINCT ticker) FILTER (WHERE trade_date = hi) AS present FROM bars, edge)""",
+    ),
+    "dq_dim_lacks_tickers": (
+        ("bars", "edge"),
+        """SELECT present AS dim_rows, n AS tickers, present = n AS matches
+        FROM (SELECT count(DISTINCT ticker) AS n,
+                count(DISTINCT ticker) FILTER (WHERE trade_date = hi) AS present FROM bars, edge)""",
+    ),
+}
 for _short, _span in {"last": "day", "90d": "90_days", "365d": "365_days"}.items():
     for _side, _test, _order in (("above", "> 0", "DESC"), ("below", "< 0", "ASC")):
         BODIES[f"top_{_side}_{_short}"] = (
@@ -401,8 +450,9 @@ def _needed(names: tuple[str, ...], seen: list[str]) -> list[str]:
     return seen
 
 
-# Averages are exact sums over counts, so that they do not depend on the order of rows.
-_MEAN = r"round(CAST(sum(CAST(\1 AS DECIMAL(18,6))) AS DOUBLE) / count(\1), 4)"
+# Exact sums at a precision that covers the prices: sums of doubles, which depend on the order of
+# rows, differ where a mean falls on a rounding boundary.
+_MEAN = r"round(CAST(sum(CAST(\1 AS DECIMAL(30,12))) AS DOUBLE) / count(\1), 4)"
 
 
 def _written_out(text: str) -> str:

@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marketlake.functions.prices import exact_dollar_volume, mean_price, pct_return
+from marketlake.functions.casting import finite
+from marketlake.functions.prices import exact_dollar_volume, exact_mean, pct_return
 from marketlake.functions.rounding import rounded
 
 
@@ -35,12 +36,12 @@ def first_last_close(
 
 
 def _returns(edges: DataFrame, details: DataFrame) -> DataFrame:
-    change = pct_return(F.col("latest_close"), F.col("earliest_close"))
+    change = finite(pct_return(F.col("latest_close"), F.col("earliest_close")))
     return details.join(edges, "ticker").withColumn("return_pct", change)
 
 
 def sector_performance(edges: DataFrame, details: DataFrame) -> DataFrame:
-    average = rounded(F.avg("return_pct"), 2).alias("avg_return_pct")
+    average = rounded(exact_mean(F.col("return_pct")), 2).alias("avg_return_pct")
     by_sector = _returns(edges, details.select("ticker", "sector")).groupBy("sector").agg(average)
     return by_sector.orderBy(F.desc("avg_return_pct"), "sector")
 
@@ -81,7 +82,7 @@ def of_tickers(rows: DataFrame, details: DataFrame) -> DataFrame:
 
 
 def market_trend(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("trade_date").agg(rounded(mean_price(F.col("close_price")), 4).alias("avg_close"))
+    return fact.groupBy("trade_date").agg(rounded(exact_mean(F.col("close_price")), 4).alias("avg_close"))
 
 
 def top_volume(fact: DataFrame, limit: int = 20) -> DataFrame:
@@ -95,7 +96,7 @@ def market_cap_distribution(details: DataFrame) -> DataFrame:
 
 def top_moves(metrics: DataFrame, metric: str, above: bool, limit: int = 50) -> DataFrame:
     """Largest moves above, or below, a baseline by a percent metric."""
-    pct = F.col(metric)
+    pct = finite(F.col(metric))
     side = metrics.where(pct > 0 if above else pct < 0)
     order = F.desc(metric) if above else F.asc(metric)
     return side.orderBy(order, "ticker").limit(limit).select("ticker", "current_price", pct.alias("pct"))

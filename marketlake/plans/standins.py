@@ -10,12 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from marketlake import schemas
 from marketlake.functions.market_cap import market_cap_class
 from marketlake.functions.symbols import feed_symbol
+from marketlake.functions.times import micros_text
 from marketlake.operators.baselines import trailing_baselines
 from marketlake.plans.marts import as_current_day, init_current_day
 from marketlake.session import fresh_path
 
 SYMBOLS_PER_DOCUMENT = 500
-SYMBOLS_PER_FRAME = 5
+SYMBOLS_PER_FRAME = 500
 
 
 _SCHEMAS: dict[str, T.StructType] = {}
@@ -94,6 +95,21 @@ def staging_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def staging_non_finite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STAGING as text in which some prices are no finite numbers."""
+    day = F.dayofmonth("snapshot_date")
+    spoiled = {
+        "open": F.when(day == 5, F.lit("NaN")).when(day == 6, F.lit("Infinity")),
+        "high": F.when(day == 6, F.lit("inf")),
+        "close": F.when(day == 8, F.lit("-Infinity")).when(day == 11, F.lit("nan")),
+        "volume": F.when(day == 12, F.lit("NaN")),
+    }
+    rows = staging(spark, sf_dir)
+    return rows.select(
+        *(F.coalesce(spoiled.get(c, F.lit(None)), F.col(c).cast("string")).alias(c) for c in rows.columns)
+    )
+
+
 def staging_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STAGING in which the close is NULL on one day of the month and the open NaN on another."""
     day = F.dayofmonth("snapshot_date")
@@ -111,13 +127,15 @@ def staging_loaded_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """BARS as wide frames: block b holds tickers 5b .. 5b + 4, one row per date with a
-    ``<place>_<Field>`` column for each of the five places, so any number of tickers fits."""
+    """BARS as wide frames: block b holds tickers 500b .. 500b + 499, one row per date with a
+    ``<place>_<Field>`` column for each place, so any number of tickers fits. Volumes are
+    doubles, NaN where a ticker has no bar, as such frames come."""
     return _blocked(bars(spark, sf_dir).withColumnRenamed("trade_date", "Date"), "Date")
 
 
 def _blocked(rows: DataFrame, time: str) -> DataFrame:
-    """Bars -> wide frames with one shuffle; the places are known, so no pivot is needed."""
+    """Bars -> wide frames with one shuffle: a block's bars of one time, at most 500, become a
+    map by place, and every column looks its place up."""
     number = F.col("ticker").cast("bigint")
     placed = rows.withColumn("block", F.floor(number / SYMBOLS_PER_FRAME)).withColumn(
         "place", F.pmod(number, F.lit(SYMBOLS_PER_FRAME))
@@ -129,12 +147,24 @@ def _blocked(rows: DataFrame, time: str) -> DataFrame:
         "Close": "close_price",
         "Volume": "volume",
     }
-    return placed.groupBy("block", time).agg(
-        *(
-            F.max(F.when(F.col("place") == place, F.col(column))).alias(f"{place}_{field}")
-            for place in range(SYMBOLS_PER_FRAME)
-            for field, column in fields.items()
-        )
+    bar = F.struct("place", *fields.values())
+    listed = placed.groupBy("block", time).agg(F.array_agg(bar).alias("bars"))
+    places = F.sequence(F.lit(0), F.lit(SYMBOLS_PER_FRAME - 1))
+    by_place = F.map_from_entries(F.transform("bars", lambda b: F.struct(b["place"].cast("int"), b)))
+    framed = listed.select("block", time, by_place.alias("by_place")).select(
+        "block", time, F.transform(places, lambda i: F.try_element_at("by_place", i)).alias("bars")
+    )
+
+    def value(place: int, field: str, column: str) -> Column:
+        found = F.col("bars")[place][column]
+        if field == "Volume":
+            found = F.coalesce(found.cast("double"), F.lit(float("nan")))
+        return found.alias(f"{place}_{field}")
+
+    return framed.select(
+        "block",
+        time,
+        *(value(p, field, column) for p in range(SYMBOLS_PER_FRAME) for field, column in fields.items()),
     )
 
 
@@ -195,18 +225,16 @@ def constituent_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- seven years of bars out of lineitem --------------------------------------------------
 
-_STORED: dict[tuple[str, str], str] = {}
-
 
 def longbars(spark: SparkSession, sf_dir: str) -> DataFrame:
     cents = F.floor(F.col("l_extendedprice") * 100 + 0.5)
-    unit = F.col("l_extendedprice") / F.col("l_quantity")
+    unit = F.try_divide("l_extendedprice", "l_quantity")
     daily = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_suppkey", F.to_date("l_shipdate").alias("trade_date"))
         .agg(
             F.sum(cents).alias("cents"),
-            F.sum(F.floor("l_quantity")).alias("pieces"),
+            F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("pieces"),
             F.max(unit).alias("high_price"),
             F.min(unit).alias("low_price"),
         )
@@ -214,8 +242,8 @@ def longbars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         daily.withColumn("ticker", _id("l_suppkey"))
         .withColumn("open_price", F.col("low_price"))
-        .withColumn("close_price", F.col("cents").cast("double") / 100 / F.col("pieces").cast("double"))
-        .withColumn("volume", F.col("pieces"))
+        .withColumn("close_price", F.try_divide(F.col("cents").cast("double") / 100, F.col("pieces").cast("double")))
+        .withColumn("volume", F.col("pieces").cast("bigint"))
         .select(*schemas.FACT.fieldNames())
     )
 
@@ -225,39 +253,34 @@ def last_ship_day(spark: SparkSession, sf_dir: str) -> Column:
 
 
 def stored_longbars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """LONGBARS written once per application to the shared folder, as the fact of a lake
-    is: feed, baselines and as-of date each read a few of its columns, instead of
-    aggregating all line items three times."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORED:
-        path = fresh_path(spark, "longbars")
-        longbars(spark, sf_dir).write.parquet(path)
-        _STORED[key] = path
-    return spark.read.schema(schemas.FACT).parquet(_STORED[key])
-
-
-def longfeed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latest LONGBARS record per ticker, as an incoming price."""
-    latest = stored_longbars(spark, sf_dir).groupBy("ticker").agg(
+    """LONGBARS written to the shared folder, as the fact of a lake is: within a query feed,
+    baselines and as-of date each read a few of its columns, instead of aggregating all line
+    items three times. Every query writes, and pays for, its own."""
+    path = fresh_path(spark, "longbars")
+    longbars(spark, sf_dir).write.parquet(path)
+    return spark.read.schema(schemas.FACT).parquet(path)
+
+
+def longfeed(fact: DataFrame) -> DataFrame:
+    """Latest record per ticker of LONGBARS, as an incoming price."""
+    latest = fact.groupBy("ticker").agg(
         F.max("trade_date").alias("trade_date"),
         F.max_by("close_price", "trade_date").alias("current_price"),
     )
     return latest.withColumn("last_updated_ts", F.col("trade_date").cast("timestamp_ntz"))
 
 
-def longbase(spark: SparkSession, sf_dir: str) -> DataFrame:
+def longbase(fact: DataFrame) -> DataFrame:
     """90- and 365-day baselines over LONGBARS without the LONGFEED records."""
-    feed = longfeed(spark, sf_dir).select("ticker", F.col("trade_date").alias("feed_date"))
-    history = stored_longbars(spark, sf_dir).select("ticker", "trade_date", "close_price")
+    feed = longfeed(fact).select("ticker", F.col("trade_date").alias("feed_date"))
+    history = fact.select("ticker", "trade_date", "close_price")
     earlier = history.join(feed, "ticker").where(F.col("trade_date") < F.col("feed_date"))
     return trailing_baselines(earlier)
 
 
-def longfeed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def longfeed_documents(fact: DataFrame) -> DataFrame:
     """LONGFEED as payload documents of at most 500 symbols."""
-    prices = longfeed(spark, sf_dir).withColumn(
-        "block", F.floor(F.col("ticker").cast("bigint") / SYMBOLS_PER_DOCUMENT)
-    )
+    prices = longfeed(fact).withColumn("block", F.floor(F.col("ticker").cast("bigint") / SYMBOLS_PER_DOCUMENT))
     return pack_bars(prices, ["block"], "current_price")
 
 
@@ -273,9 +296,23 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price records of the last date. The range on ``ts`` reaches the parquet scan."""
     last = last_day(spark, sf_dir)
-    today = table(spark, sf_dir, "events").where(_within(F.col("ts"), last))
+    return _records(table(spark, sf_dir, "events").where(_within(F.col("ts"), last)))
+
+
+def all_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of all dates as price records."""
+    return _records(table(spark, sf_dir, "events"))
+
+
+def tied_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FEED in which all records of an hour have one time, as a feed of whole hours has."""
+    ts = F.col("last_updated_ts")
+    return feed(spark, sf_dir).withColumn("last_updated_ts", F.date_trunc("hour", ts).cast("timestamp_ntz"))
+
+
+def _records(events: DataFrame) -> DataFrame:
     price = F.col("value")
-    return today.select(
+    return events.select(
         _id("user_id").alias("ticker"),
         F.to_date("ts").alias("trade_date"),
         *(price.alias(f"{p}_price") for p in ("last", "open", "high", "low")),
@@ -306,29 +343,28 @@ def intraday_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pack_bars(prices: DataFrame, document_keys: list[str], price: str) -> DataFrame:
     """Price rows -> payload documents, one per key combination. Callers choose keys that
-    bound a document's size; symbols take the feed's spelling, times whole seconds."""
-    second = F.substring(F.col("last_updated_ts").cast("string"), 1, 19)
+    bound a document's size; symbols take the feed's spelling, times all six digits."""
     bar = F.struct(
         F.col(price).alias("c"),
-        F.concat(F.translate(second, " ", "T"), F.lit("Z")).alias("t"),
+        F.concat(F.translate(micros_text(F.col("last_updated_ts")), " ", "T"), F.lit("Z")).alias("t"),
     )
     entry = F.struct(feed_symbol(F.col("ticker")).alias("symbol"), bar.alias("bar"))
     body = F.struct(F.map_from_entries(F.collect_list(entry)).alias("bars"))
     return prices.groupBy(*document_keys).agg(F.to_json(body).alias("payload")).select("payload")
 
 
-def hourly_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FEED reduced to the latest record per ticker and hour."""
-    hourly = feed(spark, sf_dir).withColumn("hour", F.hour("last_updated_ts"))
-    return hourly.groupBy("ticker", "hour").agg(
+def hourly_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records reduced to the latest per ticker, date and hour."""
+    hourly = all_records(spark, sf_dir).withColumn("hour", F.hour("last_updated_ts"))
+    return hourly.groupBy("ticker", "trade_date", "hour").agg(
         F.max_by("last_price", "last_updated_ts").alias("last_price"),
         F.max("last_updated_ts").alias("last_updated_ts"),
     )
 
 
 def bars_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly FEED as payload documents: one per hour and block of 500 symbols."""
-    rows = hourly_feed(spark, sf_dir).withColumn(
+    """Hourly records as payload documents: one per date, hour and block of 500 symbols."""
+    rows = hourly_records(spark, sf_dir).withColumn(
         "block", F.floor(F.col("ticker").cast("bigint") / SYMBOLS_PER_DOCUMENT)
     )
-    return pack_bars(rows, ["hour", "block"], "last_price")
+    return pack_bars(rows, ["trade_date", "hour", "block"], "last_price")

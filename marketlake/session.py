@@ -8,7 +8,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from marketlake import files
+
 _LOCAL_DIRS: dict[str, str] = {}
+_SCRATCH: set[str] = set()
 
 
 def local_session(cores: int | str = 8, app: str = "marketlake", memory: str = "8g") -> SparkSession:
@@ -47,10 +50,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app]
 
 
+def _scratch(spark: SparkSession) -> str:
+    """This application's folder under the shared one; it goes when the application ends."""
+    folder = f"{shared_dir(spark)}/marketlake/{spark.sparkContext.applicationId}"
+    if folder not in _SCRATCH:
+        _SCRATCH.add(folder)
+        files.delete_at_end(spark, folder)
+    return folder
+
+
 def fresh_path(spark: SparkSession, stem: str) -> str:
     """A new, unused path under the shared folder, grouped by application id."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/marketlake/{app}/{stem}_{uuid.uuid4().hex[:12]}"
+    return f"{_scratch(spark)}/{stem}_{uuid.uuid4().hex[:12]}"
 
 
 def fresh_table(spark: SparkSession, stem: str) -> str:
@@ -59,6 +70,6 @@ def fresh_table(spark: SparkSession, stem: str) -> str:
     database = "marketlake_" + re.sub(r"\W", "_", app)
     spark.sql(
         f"CREATE DATABASE IF NOT EXISTS {database} "
-        f"LOCATION '{shared_dir(spark)}/marketlake/{app}/{database}.db'"
+        f"LOCATION '{_scratch(spark)}/{database}.db'"
     )
     return f"{database}.{stem}_{uuid.uuid4().hex[:12]}"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from marketlake import schemas
+from marketlake.functions.casting import finite
 from marketlake.functions.market_cap import market_cap_class
 from marketlake.functions.symbols import canonical_symbol
 from marketlake.functions.times import parse_iso
@@ -25,7 +26,7 @@ def explode_bars(docs: DataFrame, column: str = "payload") -> DataFrame:
     bars = docs.select(F.from_json(column, BARS_SCHEMA)["bars"].alias("bars"))
     return bars.select(F.explode("bars").alias("symbol", "bar")).select(
         canonical_symbol(F.col("symbol")).alias("ticker"),
-        F.col("bar.c").alias("current_price"),
+        finite(F.col("bar.c")).alias("current_price"),
         parse_iso(F.col("bar.t")).alias("last_updated_ts"),
     )
 
@@ -42,7 +43,7 @@ def flatten_company(docs: DataFrame, column: str = "payload") -> DataFrame:
         text("shortName").alias("company_name"),
         text("sector").alias("sector"),
         text("industry").alias("industry"),
-        F.col("marketCap").alias("market_cap"),
+        finite(F.col("marketCap")).alias("market_cap"),
         market_cap_class(F.col("marketCap")).alias("market_cap_description"),
         text("exchange").alias("exchange"),
         text("country").alias("country"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from marketlake import schemas
+from marketlake.functions.casting import finite
+from marketlake.functions.rounding import rounded
 from marketlake.functions.symbols import canonical_symbol
 from marketlake.functions.times import wall_clock_to_utc
 from marketlake.operators.cleaning import drop_incomplete
@@ -22,24 +24,33 @@ def symbols_in(df: DataFrame) -> list[str]:
 def _melt(df: DataFrame, keep: list[Column], places: int | None) -> DataFrame:
     """Wide -> one row per symbol, incomplete bars left out.
 
-    Each input row expands in place (``inline`` over an array of structs), so there is
-    no shuffle, unlike an unpivot that has to be grouped back into bars.
+    Each input row expands in place: one array for each field, zipped and inlined, so there
+    is no shuffle, unlike an unpivot that has to be grouped back into bars. Casts and rounding
+    follow once per bar, and the plan stays as small for 500 symbols as for five.
     """
     lower = df.toDF(*(c.lower() for c in df.columns))
+    symbols = symbols_in(df)
 
-    def price(symbol: str, field: str) -> Column:
-        value = F.col(f"`{symbol.lower()}_{field}`").cast("double")
-        return value if places is None else F.round(value, places)
+    def values(field: str) -> Column:
+        return F.array(*(F.col(f"`{symbol.lower()}_{field}`").cast("double") for symbol in symbols))
 
-    bars = [
-        F.struct(
-            canonical_symbol(F.lit(symbol)).alias("ticker"),
-            *(price(symbol, f).alias(f) for f in FIELDS[:-1]),
-            F.col(f"`{symbol.lower()}_volume`").cast("bigint").alias("volume"),
+    names = F.array(*map(F.lit, symbols)) if symbols else F.array().cast("array<string>")
+    zipped = F.arrays_zip(names.alias("ticker"), *(values(f).alias(f) for f in FIELDS))
+    rows = lower.select(*keep, F.inline(zipped))
+
+    def price(field: str) -> Column:
+        value = finite(F.col(field))
+        return value if places is None else rounded(value, places)
+
+    carried = [c for c in rows.columns if c not in ("ticker", *FIELDS)]
+    return drop_incomplete(
+        rows.select(
+            *carried,
+            canonical_symbol(F.col("ticker")).alias("ticker"),
+            *(price(f).alias(f) for f in FIELDS[:-1]),
+            finite(F.col("volume")).try_cast("bigint").alias("volume"),
         )
-        for symbol in symbols_in(df)
-    ]
-    return drop_incomplete(lower.select(*keep, F.inline(F.array(*bars))))
+    )
 
 
 def melt_bars(df: DataFrame, keep: tuple[str, ...] = (), places: int | None = 4) -> DataFrame:

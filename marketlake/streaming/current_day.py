@@ -79,20 +79,22 @@ def start_upserts(
 ) -> StreamingQuery:
     """Upsert the latest record per ticker and date of each batch into ``table``, which
     holds a seed snapshot. By default the last batch wins; ``newer_only`` keeps a stored
-    row that is newer than the incoming one. ``min_rows`` checks the date after each batch.
+    row that is newer than the incoming one. ``min_rows`` checks the date
+    before a batch's snapshot is published.
     """
     keys, ts = ["ticker", "trade_date"], "last_updated_ts"
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         latest = latest_per_key(batch, keys, ts)
         target = table.read(before=batch_id)
-        merged = table.write(
-            batch_id, merge_upsert(target, latest, keys, newer_only=ts if newer_only else None)
-        )
-        if min_rows is not None:
+
+        def enough(merged: DataFrame) -> None:
             day = batch.agg(F.max("trade_date")).scalar()
             require(current_day_sanity(merged, day, min_rows))
 
+        merged = merge_upsert(target, latest, keys, newer_only=ts if newer_only else None)
+        table.write(batch_id, merged, check=None if min_rows is None else enough)
+
     return _start(records, upsert, checkpoint, interval)
 
 

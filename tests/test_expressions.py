@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marketlake import schemas
 from marketlake.functions.casting import typed
 from marketlake.functions.market_cap import market_cap_class
-from marketlake.functions.prices import change_vs_baseline, mean_price, pct_return, pct_vs_baseline
+from marketlake.functions.prices import change_vs_baseline, exact_mean, pct_return, pct_vs_baseline
 from marketlake.functions.rounding import rounded
 from marketlake.functions.symbols import canonical_symbol, feed_symbol
 from marketlake.functions.times import in_session, micros_text, parse_iso, wall_clock_to_utc
@@ -50,11 +50,11 @@ def test_rounding_halves_away_from_zero(spark):
     assert [r[0] for r in df.select(rounded(F.col("x"), 2)).collect()] == [0.13, -0.13, 1.0, 2.5]
 
 
-def test_mean_price_does_not_depend_on_partitioning(spark):
+def test_exact_mean_does_not_depend_on_partitioning(spark):
     df = spark.range(100_000).select((F.col("id") % 977 / 100 + 0.01).alias("p"))
-    means = {df.repartition(n).agg(mean_price(F.col("p"))).first()[0] for n in (1, 3, 8)}
+    means = {df.repartition(n).agg(exact_mean(F.col("p"))).first()[0] for n in (1, 3, 8)}
     assert len(means) == 1
-    empty = df.where("p < 0").agg(mean_price(F.col("p"))).first()[0]
+    empty = df.where("p < 0").agg(exact_mean(F.col("p"))).first()[0]
     assert empty is None
 
 

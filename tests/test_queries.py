@@ -4,6 +4,7 @@ import pytest
 from compare import assert_same, connect
 
 import __spark_entry__ as entry_point
+from marketlake.plans import catalog, oracle
 
 
 @pytest.fixture(scope="module")
@@ -12,10 +13,10 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(catalog.QUERIES) == set(oracle.statements())
 
 
-@pytest.mark.parametrize("key", sorted(entry_point.queries()))
+@pytest.mark.parametrize("key", sorted(catalog.QUERIES))
 def test_query(spark, sf_dir, con, key):
     assert_same(entry_point.queries()[key](spark, sf_dir), con, entry_point.oracle_sql()[key])
 
