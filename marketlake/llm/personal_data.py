@@ -216,6 +216,13 @@ def redacted_text(text: str, added: list | None) -> str:
     return "".join([*out, text[at:]]) if out else text
 
 
+def _unused(names: list[str], name: str) -> str:
+    """A column name that no column begins with."""
+    while any(n.startswith(name) for n in names):
+        name = "_" + name
+    return name
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with all their columns, their texts without personal data; null texts stay.
 
@@ -228,9 +235,10 @@ def redact(docs: DataFrame) -> DataFrame:
         return pd.Series([t if t is None else redacted_text(t, s) for t, s in zip(texts, spans)], dtype=object)
 
     names = docs.columns
-    found = added.select(F.col("row_key").alias("__row_key"), F.col("added").alias("__added"))
-    joined = docs.withColumn("__key", _row_key("doc_id", "text")).join(_few(found), F.col("__key") == F.col("__row_key"), "left")
-    new = joined.withColumn("text", redacted(F.col("text"), F.col("__added")))
+    key, other = (_unused(names, c) for c in ("row_key", "added"))
+    found = added.select(F.col("row_key").alias(key + "_"), F.col("added").alias(other))
+    joined = docs.withColumn(key, _row_key("doc_id", "text")).join(_few(found), F.col(key) == F.col(key + "_"), "left")
+    new = joined.withColumn("text", redacted(F.col("text"), F.col(other)))
     if "n_chars" in names:
         kind = docs.schema["n_chars"].dataType
         new = new.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind)))
