@@ -150,7 +150,7 @@ def test_snapshots_keep_a_few_versions_and_ignore_unfinished_ones(spark):
     assert table.read().first().price_history == [2.0]
     assert table.read(before=2).first().price_history == [1.0]
     assert spark.table(view).first().price_history == [2.0]
-    rows(7.0).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{table.path}/version=3")
+    rows(7.0).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{table.path}/version=3.0")
     assert table.read().first().price_history == [2.0]
 
 
