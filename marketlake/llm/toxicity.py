@@ -30,6 +30,7 @@ from marketlake.llm.words import filled, slices
 
 SAMPLE_ROWS = 6_000
 SUPPORT = 3
+RUN = 40
 FEATURES = 400
 RIDGE = 0.2
 BEGINNINGS = range(3, 8)
@@ -140,12 +141,18 @@ class Restorer:
                 self.known[word] = found
         return found
 
+    def _apart(self, letters: list[str]) -> Iterator[str]:
+        """What letters set apart spell, `RUN` at a time where there are very many."""
+        for start in range(0, len(letters), RUN):
+            yield self.decode(_ENDS.sub("", " ".join(letters[start : start + RUN])))
+
     def words(self, text: str) -> set[str]:
         """The distinct restored words of a text; letters set apart by spaces are one word as well."""
         parts = text.lower().split()
         found = set(map(self.restore, set(parts)))
-        for run in _SPACED.finditer("".join(["1" if len(p) == 1 else "0" for p in parts])):
-            found.add(self.decode(" ".join(parts[run.start() : run.end()])[:80]))
+        single = ["1" if len(p) == 1 or (len(p) == 2 and not p[1].isalnum()) else "0" for p in parts]
+        for run in _SPACED.finditer("".join(single)):
+            found.update(self._apart(parts[run.start() : run.end()]))
         return found
 
 
