@@ -1,10 +1,11 @@
 """Language-model scores from an Elias-Fano n-gram trie.
 
-**Counting.** Documents are dealt into blocks by a hash of id and text. Every block sends its distinct
-n-grams, as sorted hashes with the counts of its training documents, to shards by hash range;
-a shard adds the counts of all blocks up and answers each block in the order of its request. So every
-n-gram of the corpus is counted, a frequent one crosses the network once for each block, and a block
-receives just the part of the model that it needs. No task holds more than a block or a shard.
+**Counting.** Documents are taken in blocks of some megabytes as they are read. Every block sends its
+distinct n-grams, as sorted hashes with the counts of its training documents, to shards by hash
+range; a shard adds the counts of all blocks up and answers each block in the order of its request. So
+every n-gram of the corpus is counted, a frequent one crosses the network once for each block, and a
+block, whose texts move as word numbers, receives just the part of the model that it needs. No task
+holds more than a block or a shard.
 
 **The trie.** A block lays its part out as levels in one memory-mapped file: words, then the
 successors of every word, then of every pair. Pointers from a level to the next and the successors of
@@ -18,16 +19,18 @@ the first word of the context where there is none.
 
 Words are runs outside white space, A-Z lower-cased; every document has one end, which counts as a
 token, and begins behind two marks that don't. Null and empty texts are the end alone. A null id is not
-held out. Words are told apart by 64-bit hashes, longer n-grams by 56.
+held out. Words are told apart by 64-bit hashes, longer n-grams by 48.
 """
 
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +39,8 @@ from marketlake.llm.packed import pack, pack_sorted, unpack, unpack_sorted
 from marketlake.llm.shipping import ship
 from marketlake.llm.words import filled, mix, slices, word_hashes
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+SHARD_BYTES = 8 << 20
 ORDERS = 3
 MU = {2: 1000.0, 3: 10.0}
 STEP = 1024.0
@@ -48,30 +52,17 @@ _JOIN = np.uint64(0x9FB21C651E98DF25)
 class Block:
     """The distinct n-grams of some documents, and where their tokens are among them."""
 
-    def __init__(self, texts: pa.Array) -> None:
-        texts = filled(texts)
-        hashes, lengths = [], []
-        for start, stop in slices(texts):
-            h, bounds = word_hashes(texts.slice(start, stop - start), lower=True)
-            hashes.append(h)
-            lengths.append(np.diff(bounds))
-        self.lengths = np.concatenate(lengths) + 1 if lengths else np.zeros(0, dtype=np.int64)
-        n_docs, n_words = len(self.lengths), int(self.lengths.sum()) - len(self.lengths)
-        # two begin marks, the words, one end
-        line = np.full(n_words + 3 * n_docs, _BEGIN, dtype=np.uint64)
-        starts = np.concatenate(([0], np.cumsum(self.lengths + 2)))[:-1].astype(np.int64)
-        token = np.ones(len(line), dtype=bool)
+    def __init__(self, words: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """`ids` are places among `words`, line after line: two begin marks, the words, one end; `lengths` count words and end."""
+        self.words, self.ids, self.lengths = words, ids, lengths
+        n_docs, n = len(lengths), len(words)
+        starts = np.concatenate(([0], np.cumsum(lengths + 2)))[:-1].astype(np.int64)
+        token = np.ones(len(ids), dtype=bool)
         token[starts] = token[starts + 1] = False
-        line[starts + self.lengths + 1] = _END
-        word = token.copy()
-        word[starts + self.lengths + 1] = False
-        line[word] = np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64)
-        self.words, ids = np.unique(line, return_inverse=True)
         at = np.flatnonzero(token)
-        self.doc_starts = np.concatenate(([0], np.cumsum(self.lengths)))[:-1].astype(np.int64)
-        n = len(self.words)
+        self.doc_starts = np.concatenate(([0], np.cumsum(lengths)))[:-1].astype(np.int64)
         now, one, two = ids[at], ids[at - 1], ids[at - 2]
-        self.begin = int(np.searchsorted(self.words, _BEGIN)) if n_docs else 0
+        self.begin = int(np.searchsorted(words, _BEGIN)) if n_docs else 0
         # the pair of begin marks is a context as well, though no token ends it
         pairs = np.concatenate((ids[starts] * n + ids[starts], one * n + now))
         self.pairs, pair = np.unique(pairs, return_inverse=True)
@@ -80,6 +71,29 @@ class Block:
         self.tokens = [now, pair[n_docs:], triple]
         self.n = n
 
+    @classmethod
+    def of_texts(cls, texts: pa.Array) -> Block:
+        hashes, lengths = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
+        for start, stop in slices(texts):
+            h, bounds = word_hashes(texts.slice(start, stop - start), lower=True)
+            hashes.append(h)
+            lengths.append(np.diff(bounds) + 1)
+        lengths = np.concatenate(lengths)
+        line = np.full(int(lengths.sum()) + 2 * len(lengths), _BEGIN, dtype=np.uint64)
+        starts = np.concatenate(([0], np.cumsum(lengths + 2)))[:-1].astype(np.int64)
+        word = np.ones(len(line), dtype=bool)
+        word[starts] = word[starts + 1] = word[starts + lengths + 1] = False
+        line[starts + lengths + 1] = _END
+        line[word] = np.concatenate(hashes)
+        return cls(*np.unique(line, return_inverse=True), lengths)
+
+    def state(self) -> tuple[bytes, bytes, bytes]:
+        return pack_sorted(self.words), pack(self.ids), pack(self.lengths)
+
+    @classmethod
+    def of_state(cls, words: bytes, ids: bytes, lengths: bytes) -> Block:
+        return cls(unpack_sorted(words), unpack(ids).astype(np.int64), unpack(lengths).astype(np.int64))
+
     def keys(self) -> list[np.ndarray]:
         """A hash for each distinct n-gram, by order."""
         n = self.n
@@ -88,7 +102,7 @@ class Block:
         pairs = mix(first * _JOIN + second + np.uint64(2))
         parent, last = self.triples // n, self.triples % n
         triples = mix((first[parent] * _JOIN + second[parent]) * _JOIN + words[last] + np.uint64(3))
-        low = np.uint64(0xFF)
+        low = np.uint64(0xFFFF)
         return [mix(words + np.uint64(1)), pairs & ~low, triples & ~low]
 
     def counts(self, counted: np.ndarray) -> list[np.ndarray]:
@@ -100,7 +114,7 @@ class Block:
         ]
 
 
-_DROP = [0, 8, 8]
+_DROP = [0, 16, 16]
 
 
 def _limits(shards: int) -> np.ndarray:
@@ -108,25 +122,48 @@ def _limits(shards: int) -> np.ndarray:
     return np.array([(i << 64) // shards for i in range(1, shards)], dtype=np.uint64)
 
 
-def _requests(table: pa.Table, shards: int) -> pa.Table:
-    block = Block(table.column("text"))
-    counted = np.asarray(table.column("counted").combine_chunks().to_numpy(zero_copy_only=False), dtype=bool)
-    rows: list[tuple] = []
-    number = table.column("block")[0].as_py()
-    limits = _limits(shards)
-    for order, (keys, counts) in enumerate(zip(block.keys(), block.counts(counted))):
-        by = np.argsort(keys, kind="stable")
-        keys, counts = keys[by], counts[by]
-        cuts = [0, *np.searchsorted(keys, limits, side="left"), len(keys)]
-        rows += [
-            (shard, number, order, pack_sorted(keys[a:b], _DROP[order]), pack(counts[a:b]))
-            for shard, (a, b) in enumerate(zip(cuts, cuts[1:]))
-        ]
-    return pa.Table.from_arrays([pa.array(c) for c in zip(*rows)], names=["shard", "block", "ngram", "keys", "counts"]).cast(_REQUEST)
+def _blocks(batch: pa.RecordBatch, limit: int) -> Iterator[tuple[int, pa.RecordBatch, Block]]:
+    """The blocks of a batch of documents, each with a number that follows from its ids and texts."""
+    texts = filled(batch.column("text"))
+    for start, stop in slices(texts, limit):
+        part, own = batch.slice(start, stop - start), texts.slice(start, stop - start)
+        offsets = np.frombuffer(own.buffers()[1], dtype=np.int64)[own.offset : own.offset + len(own) + 1]
+        mark = xxhash.xxh64(repr(part.column("doc_id").to_pylist()).encode("ascii"))
+        mark.update((offsets - offsets[0]).tobytes())
+        if offsets[-1] > offsets[0]:
+            mark.update(memoryview(own.buffers()[2])[offsets[0] : offsets[-1]])
+        yield mark.intdigest() - (1 << 63), part, Block.of_texts(own)
 
 
-_REQUEST = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("ngram", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
-_ANSWER = pa.schema([("block", pa.int32()), ("shard", pa.int32()), ("ngram", pa.int32()), ("counts", pa.binary()), ("tokens", pa.int64()), ("types", pa.int64())])
+def _requests(batches: Iterator[pa.RecordBatch], shards: int, limit: int) -> Iterator[pa.RecordBatch]:
+    limits = _limits(shards)
+    for batch in batches:
+        for number, part, block in _blocks(batch, limit):
+            counted = np.array(part.column("counted").to_pylist(), dtype=bool)
+            rows: list[tuple] = []
+            for order, (keys, counts) in enumerate(zip(block.keys(), block.counts(counted))):
+                by = np.argsort(keys, kind="stable")
+                keys, counts = keys[by], counts[by]
+                cuts = [0, *np.searchsorted(keys, limits, side="left"), len(keys)]
+                rows += [
+                    (shard, number, order, pack_sorted(keys[a:b], _DROP[order]), pack(counts[a:b]))
+                    for shard, (a, b) in enumerate(zip(cuts, cuts[1:]))
+                ]
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), _REQUEST)], schema=_REQUEST)
+
+
+def _states(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for number, part, block in _blocks(batch, limit):
+            row = (number, *block.state(), part.column("doc_id").to_pylist(), part.column("counted").to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(row, _STATE)], schema=_STATE)
+
+
+_REQUEST = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("ngram", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+_STATE = pa.schema(
+    [("block", pa.int64()), ("words", pa.binary()), ("ids", pa.binary()), ("lengths", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("counted", pa.list_(pa.bool_()))]
+)
+_ANSWER = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("ngram", pa.int32()), ("counts", pa.binary()), ("tokens", pa.int64()), ("types", pa.int64())])
 
 
 def _answers(table: pa.Table) -> pa.Table:
@@ -187,7 +224,8 @@ class Trie:
         node2 = np.full(len(block.pairs), -1, dtype=np.int64)
         node2[level2] = np.arange(len(level2))
         starts2 = np.searchsorted(first[level2], np.arange(n + 1))
-        level3 = np.flatnonzero(threes > 0)
+        # a triple that only another's equal hash has counted is left out: its pairs are not there
+        level3 = np.flatnonzero((threes > 0) & (node2[parent] >= 0) & (node2[shorter] >= 0))
         parents3 = node2[parent[level3]]
         starts3 = np.searchsorted(parents3, np.arange(len(level2) + 1))
         relative = node2[shorter[level3]] - starts2[second[parent[level3]]]
@@ -277,17 +315,22 @@ _SCORED = pa.schema(
 )
 
 
-def _scores(texts: pa.Table, answers: pa.Table) -> pa.Table:
-    if not texts.num_rows:
-        return pa.Table.from_batches([], schema=_SCORED)
-    block = Block(texts.column("text"))
-    rows = sorted(zip(answers.column("ngram").to_pylist(), answers.column("shard").to_pylist(), range(answers.num_rows)))
+def _scores(states: pa.Table, answers: pa.Table) -> pa.Table:
+    """Score the documents of a block; blocks that repeat each other have the same answers, once each."""
+    made = [_score(state, answers) for state in states.to_pylist()]
+    return pa.concat_tables(made) if made else _SCORED.empty_table()
+
+
+def _score(state: dict, answers: pa.Table) -> pa.Table:
+    block = Block.of_state(state["words"], state["ids"], state["lengths"])
+    place = {(o, s): i for i, (o, s) in enumerate(zip(answers.column("ngram").to_pylist(), answers.column("shard").to_pylist()))}
+    raw, sums, kinds = answers.column("counts"), answers.column("tokens"), answers.column("types")
     parts: list[list[np.ndarray]] = [[] for _ in range(ORDERS)]
-    raw = answers.column("counts")
-    for order, _, i in rows:
+    tokens = types = 0
+    for (order, _), i in sorted(place.items()):
         parts[order].append(unpack(raw[i].as_py()))
-    # a shard's sums stand in its answer to the single words, of which every block has one from each shard
-    tokens, types = sum(answers.column("tokens").to_pylist()), sum(answers.column("types").to_pylist())
+        # a shard's sums stand in its answer to the single words, of which every block has one from each shard
+        tokens, types = tokens + sums[i].as_py(), types + kinds[i].as_py()
     counts = []
     for keys, part in zip(block.keys(), parts):
         by = np.argsort(keys, kind="stable")
@@ -303,11 +346,11 @@ def _scores(texts: pa.Table, answers: pa.Table) -> pa.Table:
     seen = counts[0][now]
     add = lambda values: np.add.reduceat(values, block.doc_starts)
     base = np.log10((seen + 1.0) / (tokens + types + 1.0))
-    ids, held = texts.column("doc_id").combine_chunks(), texts.column("counted").to_pylist()
+    ids = pa.array(state["doc_ids"], type=pa.int64())
     return pa.Table.from_arrays(
         [
-            ids.cast(pa.int64()),
-            pa.array([not c for c in held]),
+            ids,
+            pa.array([not c for c in state["counted"]]),
             pa.array(block.lengths),
             pa.array(add((seen > 0).astype(np.int64))),
             pa.array(np.full(len(ids), tokens, dtype=np.int64)),
@@ -322,18 +365,23 @@ def training_row(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 7 != 2, F.lit(True))
 
 
-def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Base and model log10 probabilities of every text, learned from the training rows."""
     spark = docs.sparkSession
     ship(spark)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // block_bytes))
-    dealt = docs.select(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"),
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // shard_bytes))
+    read = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
         training_row(F.col("doc_id")).alias("counted"),
     )
-    requests = dealt.groupBy("block").applyInArrow(lambda t: _requests(t, blocks), "shard int, block int, ngram int, keys binary, counts binary")
-    answers = requests.groupBy("shard").applyInArrow(_answers, "block int, shard int, ngram int, counts binary, tokens long, types long")
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scores, _SCORES)
+    states = read.mapInArrow(
+        lambda batches: _states(batches, block_bytes),
+        "block long, words binary, ids binary, lengths binary, doc_ids array<long>, counted array<boolean>",
+    )
+    requests = read.mapInArrow(
+        lambda batches: _requests(batches, shards, block_bytes), "shard int, block long, ngram int, keys binary, counts binary"
+    )
+    answers = requests.groupBy("shard").applyInArrow(_answers, "block long, shard int, ngram int, counts binary, tokens long, types long")
+    return states.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scores, _SCORES)
