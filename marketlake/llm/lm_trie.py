@@ -39,7 +39,7 @@ from marketlake.llm.packed import pack, pack_sorted, unpack, unpack_sorted
 from marketlake.llm.shipping import ship
 from marketlake.llm.words import filled, mix, slices, word_hashes
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 SHARD_BYTES = 8 << 20
 ORDERS = 3
 MU = {2: 1000.0, 3: 10.0}
@@ -68,7 +68,7 @@ class Block:
         self.pairs, pair = np.unique(pairs, return_inverse=True)
         context = np.searchsorted(self.pairs, two * n + one)
         self.triples, triple = np.unique(context * n + now, return_inverse=True)
-        self.tokens = [now, pair[n_docs:], triple]
+        self.tokens = [now.astype(np.int32), pair[n_docs:].astype(np.int32), triple.astype(np.int32)]
         self.n = n
 
     @classmethod
@@ -218,14 +218,17 @@ class Trie:
             of_pair[np.searchsorted(block.pairs, block.begin * n + block.begin)] = documents
         parent, last = (block.triples // n, block.triples % n) if n else (block.triples, block.triples)
         shorter = np.searchsorted(block.pairs, second[parent] * n + last)
-        p3_all = (threes + mu[3] * p2_all[shorter]) / (of_pair[parent] + mu[3])
+        p3_all = threes
+        p3_all += mu[3] * p2_all[shorter]
+        p3_all /= of_pair[parent] + mu[3]
+        known3 = counts[2] > 0
         # nodes of the second level: seen pairs, and the marks' pair where there are documents
         level2 = np.flatnonzero((twos > 0) | ((of_pair > 0) & (first == second) & (first == block.begin)))
         node2 = np.full(len(block.pairs), -1, dtype=np.int64)
         node2[level2] = np.arange(len(level2))
         starts2 = np.searchsorted(first[level2], np.arange(n + 1))
         # a triple that only another's equal hash has counted is left out: its pairs are not there
-        level3 = np.flatnonzero((threes > 0) & (node2[parent] >= 0) & (node2[shorter] >= 0))
+        level3 = np.flatnonzero(known3 & (node2[parent] >= 0) & (node2[shorter] >= 0))
         parents3 = node2[parent[level3]]
         starts3 = np.searchsorted(parents3, np.arange(len(level2) + 1))
         relative = node2[shorter[level3]] - starts2[second[parent[level3]]]
@@ -260,9 +263,11 @@ class Trie:
         next2, next3 = self["next2"].values(), self["next3"].values()
         shorter = _successors(next2, starts2, second, third)
         context = _successors(next2, starts2, first, second)
+        del next2
         known = (context >= 0) & (shorter >= 0)
         found = np.full(len(third), -1, dtype=np.int64)
         found[known] = _successors(next3, starts3, context[known], shorter[known] - starts2[second[known]])
+        del next3, starts3
         p1, b1, p2, b2, p3 = (self[name] for name in ("p1", "b1", "p2", "b2", "p3"))
         out = np.where(shorter >= 0, _taken(p2, shorter), p1[third].astype(np.int64) + b1[second])
         out = out + np.where(context >= 0, _taken(b2, context), 0)
