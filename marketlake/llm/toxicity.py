@@ -212,17 +212,29 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     ).repartition(12)
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        restorer, total = Restorer(letters), Counter()
+        restorer, seen, bad = Restorer(letters), Counter(), Counter()
         for batch in batches:
-            for text in batch["text"]:
-                total.update(document_features(restorer.words(text or "")))
-        yield pd.DataFrame({"feature": list(total), "n": list(total.values())}).astype({"feature": "object", "n": "int64"})
-
-    often = (
-        sample.where("__toxic = 1").select("text").mapInPandas(counted, "feature string, n long")
-        .groupBy("feature").agg(F.sum("n").alias("n")).where(F.col("n") >= SUPPORT)
+            for text, toxic in zip(batch["text"], batch["__toxic"]):
+                found = document_features(restorer.words(text or ""))
+                seen.update(found)
+                if toxic:
+                    bad.update(found)
+        names = list(seen)
+        yield pd.DataFrame({"feature": names, "seen": [seen[f] for f in names], "bad": [bad[f] for f in names]}).astype(
+            {"feature": "object", "seen": "int64", "bad": "int64"}
+        )
+
+    often = stored(
+        sample.select("text", "__toxic")
+        .mapInPandas(counted, "feature string, seen long, bad long")
+        .groupBy("feature")
+        .agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad"))
+        .where(F.col("bad") >= SUPPORT),
+        "toxicity_features",
     )
-    names = sorted(r[0] for r in often.select("feature").collect())
+    tried = often.count()
+    # only features that mostly stand in toxic texts come to the driver
+    names = sorted(r[0] for r in often.where(2 * F.col("bad") >= F.col("seen")).select("feature").collect())
     place = {f: i for i, f in enumerate(names)}
 
     def matrix(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -238,10 +250,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     flat = math.log(share / (1.0 - share))
     if not 0 < toxic.sum() < len(toxic):
         return Model(letters, {}, flat)
-    return _weighted(letters, names, [r["hits"] for r in rows], toxic, flat)
+    return _weighted(letters, names, tried, [r["hits"] for r in rows], toxic, flat)
 
 
-def _weighted(letters: np.ndarray, names: list[str], hits: list[list[int]], toxic: np.ndarray, start: float) -> Model:
+def _weighted(letters: np.ndarray, names: list[str], tried: int, hits: list[list[int]], toxic: np.ndarray, start: float) -> Model:
     """Choose the features that go with the toxic class and fit the logistic weights."""
     n, positive = len(toxic), toxic.sum()
     seen, bad = np.zeros(len(names)), np.zeros(len(names))
@@ -252,7 +264,7 @@ def _weighted(letters: np.ndarray, names: list[str], hits: list[list[int]], toxi
     with np.errstate(divide="ignore", invalid="ignore"):
         cells = [(bad, expected), (seen - bad, seen - expected), (positive - bad, positive - expected), (n - seen - positive + bad, n - seen - positive + expected)]
         gain = 2 * sum(np.where(o > 0, o * np.log(o / e), 0.0) for o, e in cells)
-    good = np.flatnonzero((bad > expected) & (gain >= 2.0 * math.log(max(2, len(names)))) & (bad / np.maximum(seen, 1) >= 0.5))
+    good = np.flatnonzero((bad > expected) & (gain >= 2.0 * math.log(max(2, tried))) & (bad / np.maximum(seen, 1) >= 0.5))
     good = good[np.lexsort((good, -gain[good]))]
     rows_of: dict[int, list[int]] = {int(f): [] for f in good}
     for i, row in enumerate(hits):
