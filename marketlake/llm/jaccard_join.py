@@ -5,12 +5,13 @@ share a token among their first ones in a common order (prefix filter), in lists
 by token, size and position; entries whose size or position rules a pair out are skipped. The order puts
 tokens that many documents hold last, by a count in a table of fixed size over all documents.
 
-Answers are derived from each other (set-relation skipping). In every list each set is
-compared with the list's centre only, the set with most copies. Where a centre's answers are computed,
-the differences of its sets from it are known, and from these the overlap of two of them follows without
-reading them again: sets that miss the centre are tried on those that it links. Linked sets then
-stand for each other: a second round compares just the pairs of a list that are still in different
-components, which finds every link that could still join two groups.
+Answers are derived from each other (set-relation skipping). Every list has a centre, the set with most
+copies, and all sets of fitting size in a centre's lists are read once, as their differences from
+the centre; from these the overlaps of all of them with each other follow by two matrix products. What a
+group finds connected is passed on as a tree, not as all its links. A centre with very many sets
+has several groups; then the sets that its groups left apart from it meet all other groups as well. A last
+round takes the pairs of a list that no centre's group held together and that are still in different
+components, if the tokens that they share leave room for a link.
 
 `share` is in hundredths: sets link when 100 * overlap >= share * union. Rows without words have
 an empty set, link with nothing and are their own component. Null ids: such a row shares the component
@@ -42,8 +43,10 @@ CELLS = 1 << 20
 CHUNK = 1 << 12
 #: Lists of tokens from this class on are split.
 SPLIT_CLASS = 8
-#: Sets compared with one centre in one group.
-GROUP = 500
+#: Sets of one group, and cells of its table of differences.
+GROUP = 2_000
+GROUP_CELLS = 20_000_000
+COLUMNS = 4_096
 BROADCAST_ROWS = 300_000
 
 _CELL_SHIFT = np.uint64(44)
@@ -94,8 +97,8 @@ def prefix(shingles: np.ndarray, classes: np.ndarray, share: int = SHARE) -> np.
     return tokens[np.lexsort((shingles, tokens & _CLASS_BITS))][:length].view(np.int64)
 
 
-def _sets(texts: DataFrame, classes: np.ndarray, width: int, share: int) -> DataFrame:
-    """(doc_id, n_shingles, set, tokens) for every row."""
+def _sets(texts: DataFrame, width: int, share: int, classes: np.ndarray | None = None) -> DataFrame:
+    """(doc_id, n_shingles, set) for every row, and with token classes also its first tokens."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,13 +106,14 @@ def _sets(texts: DataFrame, classes: np.ndarray, width: int, share: int) -> Data
             for shingles in shingle_sets(filled(batch.column("text")), width, lower=True):
                 sizes.append(len(shingles))
                 ids.append(set_id(shingles))
-                tokens.append(prefix(shingles, classes, share))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, type=pa.int64()), pa.array(ids, type=pa.int64()), pa.array(tokens, type=pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "set", "tokens"],
-            )
+                if classes is not None:
+                    tokens.append(prefix(shingles, classes, share))
+            columns = {"doc_id": batch.column("doc_id"), "n_shingles": pa.array(sizes, type=pa.int64()), "set": pa.array(ids, type=pa.int64())}
+            if classes is not None:
+                columns["tokens"] = pa.array(tokens, type=pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    return texts.mapInArrow(made, "doc_id long, n_shingles long, set long, tokens array<long>")
+    return texts.mapInArrow(made, "doc_id long, n_shingles long, set long" + ("" if classes is None else ", tokens array<long>"))
 
 
 def _contents(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -129,68 +133,121 @@ def _contents(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return chosen.select("wanted", "text").mapInArrow(made, "set long, content binary")
 
 
-def _possible(n: Column, pos: Column, other_n: Column, other_pos: Column, share: int) -> Column:
-    """Whether sizes and positions in a list leave room for a link."""
-    most = F.least(pos, other_pos) + F.least(n - pos, other_n - other_pos)
-    return (100 * F.least(n, other_n) >= share * F.greatest(n, other_n)) & ((100 + share) * most >= share * (n + other_n))
+def _sizes_fit(n: Column, other_n: Column, share: int) -> Column:
+    return 100 * F.least(n, other_n) >= share * F.greatest(n, other_n)
 
 
-def _star(share: int):
-    """Compare one centre with a group of sets, and those that miss it with those that it links."""
+def _most(n: Column, pos: Column, other_n: Column, other_pos: Column) -> Column:
+    """The largest overlap of two sets that share a token at these positions."""
+    return F.least(pos, other_pos) + F.least(n - pos, other_n - other_pos)
+
+
+def _enough(overlap: Column, n: Column, other_n: Column, share: int) -> Column:
+    return (100 + share) * overlap >= share * (n + other_n)
+
 
-    def similar(overlap: int, a: int, b: int) -> bool:
-        return 100 * overlap >= share * (a + b - overlap)
+def _star(share: int):
+    """Connect the sets of a group, from their differences to its centre."""
 
     def compared(table: pa.Table) -> pa.Table:
         centre = table.column("centre")[0].as_py()
-        contents = dict(zip(table.column("set").to_pylist(), table.column("content").to_pylist()))
+        contents = {s: c for s, c in zip(table.column("set").to_pylist(), table.column("content").to_pylist()) if c is not None}
         links: list[tuple[int, int]] = []
-        if contents.get(centre) is not None:
-            core = unpack_sorted(contents.pop(centre))
-            near: list[tuple] = []
-            missed: list[tuple] = []
-            for name in sorted(contents):
-                if contents[name] is None:
-                    continue
-                content = unpack_sorted(contents[name])
-                lost = np.setdiff1d(core, content, assume_unique=True)
-                gained = np.setdiff1d(content, core, assume_unique=True)
-                entry = (name, len(content), lost, gained)
-                if similar(len(core) - len(lost), len(core), len(content)):
-                    links.append((centre, name))
-                    near.append(entry)
-                else:
-                    missed.append(entry)
-            for name, size, lost, gained in missed:
-                for other, other_size, other_lost, other_gained in near:
-                    if 100 * min(size, other_size) < share * max(size, other_size):
-                        continue
-                    overlap = len(core) - len(np.union1d(lost, other_lost)) + len(np.intersect1d(gained, other_gained, assume_unique=True))
-                    if similar(overlap, size, other_size):
-                        links.append((other, name))
-                        break
+        if len(contents) > 1:
+            # without its centre's text, a group is read against any of its sets
+            core = unpack_sorted(contents[centre if centre in contents else min(contents)])
+            names = sorted(contents)
+            links = [(names[i], names[j]) for i, j in _connected(core, [unpack_sorted(contents[n]) for n in names], share)]
         return pa.Table.from_arrays([pa.array([x[i] for x in links], type=pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     return compared
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, share: int) -> DataFrame:
-    """The links among candidate pairs (centre, set)."""
-    groups = pairs.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("groups"))
-    dealt = pairs.join(groups, "centre").select("centre", F.pmod(F.xxhash64("set"), F.col("groups")).alias("part"), "set")
-    cores = groups.select("centre", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("part"), F.col("centre").alias("set"))
-    roles = dealt.unionByName(cores)
+def _connected(core: np.ndarray, sets: list[np.ndarray], share: int) -> list[tuple[int, int]]:
+    """Pairs of places that connect all linked sets."""
+    sizes = np.array([len(s) for s in sets], dtype=np.float32)
+    held = np.zeros((len(sets), len(core)), dtype=np.float32)
+    gained: list[np.ndarray] = []
+    for row, content in zip(held, sets):
+        place = np.minimum(np.searchsorted(core, content), max(len(core) - 1, 0))
+        inside = core[place] == content if len(core) else np.zeros(len(content), dtype=bool)
+        row[place[inside]] = 1.0
+        gained.append(content[~inside])
+    overlap = held @ held.T
+    rows = np.repeat(np.arange(len(sets)), [len(g) for g in gained])
+    tokens, column, times = np.unique(np.concatenate(gained), return_inverse=True, return_counts=True)
+    common = times[column] > 1
+    order = np.argsort(column[common], kind="stable")
+    rows, column = rows[common][order], column[common][order]
+    _, column = np.unique(column, return_inverse=True)
+    width = int(column[-1]) + 1 if len(column) else 0
+    for start in range(0, width, COLUMNS):
+        low, high = np.searchsorted(column, [start, start + COLUMNS])
+        part = np.zeros((len(sets), min(COLUMNS, width - start)), dtype=np.float32)
+        part[rows[low:high], column[low:high] - start] = 1.0
+        overlap += part @ part.T
+    union = sizes[:, None] + sizes[None, :] - overlap
+    near = 100.0 * overlap.astype(np.float64) >= share * union.astype(np.float64)
+    found, waiting = [], np.ones(len(sets), dtype=bool)
+    for first in range(len(sets)):
+        if not waiting[first]:
+            continue
+        waiting[first] = False
+        edge = np.array([first])
+        while len(edge):
+            edge = np.flatnonzero(near[edge].any(axis=0) & waiting)
+            waiting[edge] = False
+            found += [(first, int(i)) for i in edge]
+    return found
+
+
+def _read(roles: DataFrame, classes: DataFrame, texts: DataFrame, width: int, share: int) -> DataFrame:
+    """The connections within groups (centre, part, set)."""
     wanted = roles.select("set").distinct().join(classes.select("set", "rep"), "set").where(F.col("rep").isNotNull())
     contents = _contents(texts, stored(wanted, "jaccard_wanted"), width)
     return roles.join(contents, "set").groupBy("centre", "part").applyInArrow(_star(share), "a long, b long")
 
 
+def _grouped(pairs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members (centre, part, set) and centres (centre, groups) of pairs (centre, set)."""
+    sized = pairs.groupBy("centre").agg(F.count(F.lit(1)).alias("sets")).join(classes.select(F.col("set").alias("centre"), "n"), "centre")
+    room = F.least(F.lit(GROUP), F.greatest(F.lit(min(50, GROUP)), F.floor(F.lit(GROUP_CELLS) / F.col("n"))))
+    centres = sized.select("centre", F.ceil(F.col("sets") / room).alias("groups"))
+    members = pairs.join(centres, "centre").select("centre", F.pmod(F.xxhash64("set"), F.col("groups")).alias("part"), "set")
+    return members, centres
+
+
+def _with_centres(members: DataFrame) -> DataFrame:
+    return members.unionByName(members.select("centre", "part", F.col("centre").alias("set")).distinct())
+
+
+def _across(members: DataFrame, centres: DataFrame, labels: DataFrame) -> DataFrame:
+    """Groups (centre, part, set) in which the sets left apart from a centre of several groups meet all its sets."""
+    several = centres.where(F.col("groups") > 1)
+    label = lambda name: labels.select(F.col("node").alias(name), F.col("component").alias(name + "_component"))
+    placed = (
+        members.join(several, "centre")
+        .join(label("set"), "set", "left")
+        .join(label("centre"), "centre", "left")
+        .withColumn("apart", F.coalesce("set_component", "set") != F.coalesce("centre_component", "centre"))
+    )
+    chunks = placed.groupBy("centre").agg(F.ceil(F.count_if("apart") / GROUP).alias("chunks")).where(F.col("chunks") > 0)
+    placed = placed.join(chunks, "centre")
+    chunk = F.pmod(F.xxhash64("set", F.lit(1)), F.col("chunks"))
+    everywhere = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    key = lambda: (F.col("part") * F.col("chunks") + F.col("chunk")).alias("part")
+    resident = placed.select("centre", "part", "chunks", "set", F.explode(everywhere("chunks")).alias("chunk")).select("centre", key(), "set")
+    visiting = placed.where("apart").select("centre", "chunks", "set", chunk.alias("chunk"), F.explode(everywhere("groups")).alias("part")).select("centre", key(), "set")
+    return resident.unionByName(visiting).distinct()
+
+
 def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = stored(_sets(texts, token_classes(texts, width), width, share), "jaccard_sets")
+    cells = token_classes(texts, width)
     classes = stored(
-        sets.where(F.col("set").isNotNull())
+        _sets(texts, width, share, cells)
+        .where(F.col("set").isNotNull())
         .groupBy("set")
         .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n"), F.first("tokens").alias("tokens")),
         "jaccard_classes",
@@ -198,52 +255,60 @@ def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame
     entries = classes.select("set", "n", "copies", F.posexplode("tokens").alias("pos", "token"))
     split = F.pow(F.lit(2.0), F.greatest(F.col("token").bitwiseAND(63) - SPLIT_CLASS, F.lit(0))).cast("long")
     # the list's centre is its first row; a list of one row has nothing to compare
-    order = Window.partitionBy("token", "part").orderBy(F.desc("copies"), "set")
-    shown = F.struct("set", "n", "pos")
+    part = F.when(split > 1, F.xxhash64("token", F.pmod(F.xxhash64("set"), split))).otherwise(F.col("token"))
+    order = Window.partitionBy("list").orderBy(F.desc("copies"), "set")
+    first = Window.partitionBy("list").orderBy(F.desc("copies"), "set").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     listed = stored(
-        entries.withColumn("part", F.pmod(F.xxhash64("set"), split))
-        .select("token", "part", "set", "n", "pos", "copies")
-        .withColumn("centre", F.first(shown).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        entries.select("token", part.alias("list"), "set", "n", "pos", "copies")
+        .withColumn("centre", F.first(F.struct("set", "n", "pos")).over(first))
         .withColumn("place", F.row_number().over(order))
+        .withColumn("more", (F.col("place") > 2) | F.lead("place").over(order).isNotNull())
         .where((F.col("place") > 1) | (F.col("token").bitwiseAND(63) > SPLIT_CLASS))
-        .select("token", "set", "n", "pos", "centre"),
+        .select("token", "set", "n", "pos", "centre", "more"),
         "jaccard_lists",
     )
-    near = listed.where(
-        (F.col("set") != F.col("centre.set")) & _possible(F.col("n"), F.col("pos"), F.col("centre.n"), F.col("centre.pos"), share)
-    )
-    tried = stored(near.select(F.col("centre.set").alias("centre"), "set").distinct(), "jaccard_tried")
-    first = stored(_verified(tried, classes, texts, width, share), "jaccard_links")
-    labels = components(first)
+    # a set of a longer list joins the centre's group if their sizes fit; a list of two is just that pair
+    fits = _sizes_fit(F.col("n"), F.col("centre.n"), share)
+    room = _enough(_most(F.col("n"), F.col("pos"), F.col("centre.n"), F.col("centre.pos")), F.col("n"), F.col("centre.n"), share)
+    listed = listed.withColumn("inside", (F.col("set") == F.col("centre.set")) | (fits & (F.col("more") | room)))
+    pairs = listed.where(F.col("inside") & (F.col("set") != F.col("centre.set"))).select(F.col("centre.set").alias("centre"), "set").distinct()
+    members, centres = _grouped(stored(pairs, "jaccard_pairs"), classes)
+    links = stored(_read(_with_centres(members), classes, texts, width, share), "jaccard_links")
+    labels = components(links)
+    across = stored(_across(members, centres, labels), "jaccard_across")
+    if not across.isEmpty():
+        links = links.unionByName(stored(_read(_with_centres(across), classes, texts, width, share), "jaccard_links"))
+        labels = components(links)
 
     # all entries of lists with more than one set, with the component that each is in by now
-    heads = listed.select("token", F.col("centre.set").alias("set"), F.col("centre.n").alias("n"), F.col("centre.pos").alias("pos"))
-    everyone = listed.select("token", "set", "n", "pos").unionByName(heads).distinct()
+    heads = listed.select("token", F.col("centre.set").alias("set"), F.col("centre.n").alias("n"), F.col("centre.pos").alias("pos"), F.col("centre.set").alias("centre"), F.lit(True).alias("inside"))
+    everyone = listed.select("token", "set", "n", "pos", F.col("centre.set").alias("centre"), "inside").unionByName(heads).distinct()
     labelled = stored(
         everyone.join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set")),
         "jaccard_labelled",
     )
-    mixed = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
+    outside = labelled.groupBy("token").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.bool_and("inside").alias("all_inside"), F.min("centre").alias("one"), F.max("centre").alias("other")
+    )
+    mixed = outside.where("low < high and (not all_inside or one < other)").select("token")
     left = labelled.join(mixed, "token")
-    right = left.select("token", *[F.col(c).alias("other_" + c) for c in ("set", "n", "pos", "component")])
+    right = left.select("token", *[F.col(c).alias("other_" + c) for c in ("set", "n", "pos", "component", "centre", "inside")])
+    apart = ~F.col("inside") | ~F.col("other_inside") | (F.col("centre") != F.col("other_centre"))
     rest = left.join(right, "token").where(
-        (F.col("set") < F.col("other_set"))
-        & (F.col("component") != F.col("other_component"))
-        & _possible(F.col("n"), F.col("pos"), F.col("other_n"), F.col("other_pos"), share)
-    )
-    pairs = rest.select(F.col("set").alias("centre"), F.col("other_set").alias("set")).distinct()
-    untried = (
-        pairs.join(tried, ["centre", "set"], "left_anti")
-        .join(tried.select(F.col("set").alias("centre"), F.col("centre").alias("set")), ["centre", "set"], "left_anti")
+        (F.col("set") < F.col("other_set")) & (F.col("component") != F.col("other_component")) & apart & _sizes_fit(F.col("n"), F.col("other_n"), share)
     )
-    second = _verified(stored(untried, "jaccard_untried"), classes, texts, width, share)
-    labels = components(stored(first.unionByName(second), "jaccard_links"))
+    most = F.min(_most(F.col("n"), F.col("pos"), F.col("other_n"), F.col("other_pos"))).alias("most")
+    shared = rest.groupBy(F.col("set").alias("centre"), F.col("other_set").alias("set"), "n", "other_n").agg(most)
+    last = shared.where(_enough(F.col("most"), F.col("n"), F.col("other_n"), share)).select("centre", "set")
+    members, _ = _grouped(stored(last, "jaccard_last"), classes)
+    links = stored(links.unionByName(_read(_with_centres(members), classes, texts, width, share)), "jaccard_links")
+    labels = components(links)
     named = labels.join(classes.select(F.col("set").alias("node"), "rep"), "node")
     smallest = named.groupBy("component").agg(F.min("rep").alias("least"))
     known = named.join(smallest, "component").select(F.col("node").alias("set"), F.col("least"))
     own = stored(classes.select("set", "rep").join(known, "set", "left").select("set", F.coalesce("least", "rep").alias("component_id")), "jaccard_named")
     return (
-        sets.select("doc_id", "n_shingles", "set")
+        _sets(texts, width, share)
         .join(own, "set", "left")
         .select("doc_id", "n_shingles", F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
     )
