@@ -6,9 +6,11 @@ sum of hashes of (page, number of occurrences), which any number of tasks may ad
 valid if it stands on most of the host's pages. The class of tokens that stand once on each page is the
 template's frame; the others nest into it by their containers. What is left between template tokens
 are slots, each named by the innermost container in a valid class. A slot is main text if nothing
-around it is a menu, a footer or the like, its text is mostly no links and not the same on every
-page, and it is inside the frame's article where the frame has one.
+around it is a menu, a footer or the like, its text is mostly no links, and it is inside the frame's
+article where the frame has one. Where it has none, slots of the same text on every page are left out,
+unless no others have text.
 
+Tokens and texts are counted over the distinct pages of a host, so copies of a page change nothing.
 Per host only tokens of most of its pages are gathered, so a template is no longer than a page, and a
 host may have any number of pages. Pages without a host share one. Null and empty pages have an
 empty text; tags that are not closed end with what is around them.
@@ -32,6 +34,8 @@ LINKS = 0.5
 SAME = 0.1
 #: Templates of at most so many hosts are broadcast; beyond, hosts are split into `SALTS` parts and joined.
 BROADCAST_ROWS = 20_000
+#: Hashes of repeated pages are broadcast up to so many; beyond, all pages are shuffled to find the distinct ones.
+REPEATED_ROWS = 500_000
 SALTS = 64
 
 _PIECE = re.compile(
@@ -165,6 +169,18 @@ def _hosted(pages: DataFrame) -> DataFrame:
     )
 
 
+def _distinct(hosted: DataFrame) -> DataFrame:
+    """(host, page, html): one row of each distinct page of a host; only pages with copies are shuffled."""
+    hashed = hosted.select("host", F.xxhash64("host", "html").alias("page"), "html")
+    repeated = hashed.groupBy("page").agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+    repeated = stored(repeated.select(F.col("page").alias("__repeated")), "template_repeated")
+    if repeated.count() > REPEATED_ROWS:
+        return hashed.dropDuplicates(["page"])
+    marked = hashed.join(F.broadcast(repeated), F.col("page") == F.col("__repeated"), "left")
+    copies = marked.where(F.col("__repeated").isNotNull()).dropDuplicates(["page"])
+    return marked.where(F.col("__repeated").isNull()).unionByName(copies).drop("__repeated")
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """(host, tokens, main): the containers in each host's template, and those whose slots are main text."""
     ship(pages.sparkSession)
@@ -176,16 +192,17 @@ def templates(pages: DataFrame) -> DataFrame:
                 part = batch.slice(start, 500)
                 rows = [
                     (host, page, token, *values)
-                    for host, page, text in zip(part.column("host").to_pylist(), part.column("__page").to_pylist(), part.column("html").to_pylist())
+                    for host, page, text in zip(part.column("host").to_pylist(), part.column("page").to_pylist(), part.column("html").to_pylist())
                     for token, values in page_tokens(text).items()
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t.type) for c, t in zip(zip(*rows), schema)] if rows else [pa.array([], type=t.type) for t in schema], schema=schema)
 
     hosted = _hosted(pages)
-    seen = hosted.select("host", "__page", "html").mapInArrow(
+    seen = _distinct(hosted).mapInArrow(
         tokens, "host string, page long, token string, n long, chars long, linked long, digest long"
     )
-    sizes = stored(hosted.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")), "template_hosts")
+    each = hosted.select("host", F.xxhash64("host", "html").alias("page")).distinct()
+    sizes = stored(each.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")), "template_hosts")
     if sizes.count() <= BROADCAST_ROWS:
         sizes = F.broadcast(sizes)
     # the sum of hashes stands for the occurrence vector; decimals keep it from overflowing
@@ -234,14 +251,13 @@ def main_slots(tokens: dict[str, tuple[bool, dict]]) -> set[str]:
             continue
         if stats["chars"] and stats["linked"] >= LINKS * stats["chars"]:
             continue
-        if stats["filled"] >= 10 and stats["texts"] <= SAME * stats["filled"]:
-            continue
         good[token] = (frame, stats)
     for tag in ("article", "main"):
         inside = {t for t in good if any(e.split(".", 1)[0] == tag for e in t.split("/"))}
         if any(good[t][0] for t in inside):
             return inside
-    return set(good)
+    differing = {t for t, (_, stats) in good.items() if stats["filled"] < 10 or stats["texts"] > SAME * stats["filled"]}
+    return differing if any(good[t][1]["chars"] for t in differing) else set(good)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -202,6 +202,16 @@ def test_template_without_article(spark):
     assert got[7] == "Head 7\n\nFirst 7 <x>\n\nSecond link 7 and more text"
 
 
+def test_copied_pages(spark):
+    """Copies of a page, and one article on pages that differ around it, are extracted as one page is."""
+    article = "<article><h1>Head</h1><p>Some text</p></article>"
+    rows = [(n, "https://same.example/", f"<html><body>{article}</body></html>") for n in range(20)]
+    rows += [(100 + n, f"https://near.example/{n}", f"<html><body><div>Visit {n}</div>{article}</body></html>") for n in range(20)]
+    rows += [(200 + n, f"https://plain.example/{n}", f"<html><head><title>{n}</title></head><body><div><p>Head<p>Some text</div></body></html>") for n in range(20)]
+    got = html_template.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == 60 and {r["text"] for r in got} == {"Head\n\nSome text"}
+
+
 # --- op6 -----------------------------------------------------------------------------------
 
 
