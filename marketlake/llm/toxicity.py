@@ -1,8 +1,9 @@
 """Toxicity by noisy-channel restoration.
 
 A disguised word (symbols for letters, drawn-out letters, letters set apart by spaces or points) is a
-lattice of letters that its characters may stand for. The Viterbi path under a character trigram
-model, counted over all documents, is the restored word. Documents are scored by a logistic
+lattice of letters that its characters may stand for, in which a word may end at a gap. The Viterbi
+path under a character trigram model, counted over all documents, holds the restored words; what all
+surviving paths begin with is written out as the pass goes on, so no length is too long. Documents are scored by a logistic
 model on restored words and their beginnings.
 
 The model learns from labelled rows whose crc32(doc_id) mod 5 is not 0, at most `SAMPLE_ROWS` of them,
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+from os.path import commonprefix
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,7 +32,8 @@ from marketlake.llm.words import filled, slices
 
 SAMPLE_ROWS = 6_000
 SUPPORT = 3
-RUN = 40
+#: Symbols after which the pass writes out what is settled.
+SETTLE = 64
 FEATURES = 400
 RIDGE = 0.2
 BEGINNINGS = range(3, 8)
@@ -43,10 +46,15 @@ STANDS_FOR = {
 #: Between letters these may stand for nothing.
 BETWEEN = set(".-_*~'`´,:;/\\^= ")
 SWAP, DROP, REPEAT, SKIP_SYMBOL, SKIP_LETTER = -1.0, -0.7, -1.5, -3.0, -9.0
+#: These may end a word as well, at this cost.
+GAPS = set(".-_,:;/\\= ")
+END = -1.0
 
 _SIGNS = re.compile(r"[^\W\d_][^\w\s]+[^\W_]|[^\W_][^\w\s]+[^\W\d_]|[^\W\d_][\d_]|[\d_][^\W\d_]|(.)\1\1|^[@$][^\W\d_]")
 _ENDS = re.compile(r"^[^\w@$]+|[^\w]+$|[@$]+(?=[^\w]|$)")
 _SPACED = re.compile("1{3,}")
+_GLUED = re.compile(r"[^\W\d_]{2,}[-._,;:/\\=]+(?=[^\W\d_]{2})")
+_GAP = re.compile(r"[-._,;:/\\=]+")
 
 LETTERS = 28  # 0: outside a word, 1 to 26: a to z, 27: any other
 _FOLD = np.full(256, 27, dtype=np.int64)
@@ -106,20 +114,25 @@ class Restorer:
         else:
             found = [(letter, SWAP) for letter in STANDS_FOR.get(symbol, "")]
             found.append(("", DROP if symbol in BETWEEN else SKIP_LETTER if found else SKIP_SYMBOL))
+            if symbol in GAPS:
+                found.append((" ", END))
         if symbol == before:
             found.append(("", REPEAT if symbol.isalpha() else DROP))
         return found
 
     def decode(self, word: str) -> str:
-        """The letters that most likely stand behind a word."""
+        """The letters that most likely stand behind a word, with a space between words."""
         model = self.model
+        settled: list[str] = []
         paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
         before = ""
-        for symbol in word:
+        for at, symbol in enumerate(word, 1):
             new: dict[tuple[int, int], tuple[float, str]] = {}
             for letter, cost in self.options(symbol, before):
-                code = folded(letter) if letter else 0
+                code = folded(letter) if letter and letter != " " else 0
                 for (a, b), (score, text) in paths.items():
+                    if letter == " " and not b:
+                        continue
                     if letter:
                         key, value = (b, code), (score + cost + model[a, b, code], text + letter)
                     else:
@@ -127,32 +140,37 @@ class Restorer:
                     if key not in new or value > new[key]:
                         new[key] = value
             paths, before = new, symbol
-        return max((score + model[a, b, 0], text) for (a, b), (score, text) in paths.items())[1]
+            if at % SETTLE == 0:
+                same = commonprefix([text for _, text in paths.values()])
+                settled.append(same)
+                paths = {key: (score, text[len(same) :]) for key, (score, text) in paths.items()}
+        settled.append(max((score + (model[a, b, 0] if b else 0.0), text) for (a, b), (score, text) in paths.items())[1])
+        return "".join(settled).strip()
 
     def restore(self, word: str) -> str:
-        """A lower-case word without its outer marks, and without its disguise."""
+        """A lower-case word without its outer marks, and without its disguise; gaps in it may part words."""
         found = self.known.get(word)
         if found is None:
             bare = _ENDS.sub("", word)
-            found = self.decode(bare) if _SIGNS.search(bare) and any(c.isalpha() for c in bare) and len(bare) <= 40 else bare
+            found = self.decode(bare) if _SIGNS.search(bare) and any(c.isalpha() for c in bare) else bare
             if len(self.known) >= 300_000:
                 self.known.clear()
             if len(word) <= 64:
                 self.known[word] = found
         return found
 
-    def _apart(self, letters: list[str]) -> Iterator[str]:
-        """What letters set apart spell, `RUN` at a time where there are very many."""
-        for start in range(0, len(letters), RUN):
-            yield self.decode(_ENDS.sub("", " ".join(letters[start : start + RUN])))
-
     def words(self, text: str) -> set[str]:
-        """The distinct restored words of a text; letters set apart by spaces are one word as well."""
+        """The distinct restored words of a text, those of letters set apart by spaces as well."""
         parts = text.lower().split()
-        found = set(map(self.restore, set(parts)))
+        found: set[str] = set()
+        for part in set(parts):
+            found.update(self.restore(part).split() or [""])
+            if _GLUED.search(part):
+                # whichever gaps the path closed, what stands between gaps may be a word
+                found.update(w for piece in _GAP.split(part) if len(piece) > 1 for w in self.restore(piece).split())
         single = ["1" if len(p) == 1 or (len(p) == 2 and not p[1].isalnum()) else "0" for p in parts]
         for run in _SPACED.finditer("".join(single)):
-            found.update(self._apart(parts[run.start() : run.end()]))
+            found.update(self.decode(_ENDS.sub("", " ".join(parts[run.start() : run.end()]))).split() or [""])
         return found
 
 

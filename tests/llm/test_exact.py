@@ -304,6 +304,18 @@ def test_restoration(spark, sf_dir):
     assert restorer.words("the i d i o t. Ended,") == {"the", "i", "d", "o", "t", "idiot", "ended"}
 
 
+def test_restoration_of_several_words_and_long_tokens(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    restorer = toxicity.Restorer(toxicity.letter_model(toxicity.letter_counts(docs)))
+    assert {"you", "are", "a", "moron"} <= restorer.words("you are a m o r o n")
+    assert {"idiot", "moron"} <= restorer.words("an i d i o t m o r o n.")
+    assert "idiot" in restorer.words("x y z " * 13 + "i d i o t")
+    assert restorer.restore("idi" + "o" * 56 + "t") == "idiot"
+    assert {"moron", "idiot", "trash", "clown"} <= restorer.words("you.moron.go.away.you.idiot.and.take.your.trash.with.you.clown")
+    assert "moron" in restorer.words("m" + ".m" * 40 + ".o.r.o.n")
+    assert restorer.restore("x" * 100_000) == "x"
+
+
 def test_held_out_accuracy(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = toxicity.score_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), labels).join(labels, "doc_id").collect()
