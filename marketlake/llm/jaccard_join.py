@@ -1,27 +1,28 @@
-"""Exact n-gram Jaccard join: groups of documents linked by similar shingle sets.
+"""Exact n-gram Jaccard join: groups and numbers of documents linked by similar shingle sets.
 
 Equal sets are one class, so copies never meet in pairs. Two different sets are similar only if they
-share a token among their first ones in a common order (prefix filter), in lists indexed
-by token, size and position; entries whose size or position rules a pair out are skipped. The order puts
-tokens that many documents hold last, by a count in a table of fixed size over all documents.
-
-Answers are derived from each other (set-relation skipping). Every list has a centre, the set with most
-copies, and all sets of fitting size in a centre's lists are read once, as their differences from
-the centre; from these the overlaps of all of them with each other follow by two matrix products. What a
-group finds connected is passed on as a tree, not as all its links. A centre with very many sets
-has several groups; then the sets that its groups left apart from it meet all other groups as well. A last
-round takes the pairs of a list that no centre's group held together and that are still in different
-components, if the tokens that they share leave room for a link.
+share a token among their first ones in a common order (prefix filter) and their sizes are of the same
+level or of neighbouring ones, powers of 100 / `share`. Lists are those of a token and two neighbouring
+levels; a list of two sets counts only if their sizes and the token's positions leave room for a link. The order
+puts tokens that many documents hold last, by a count in a table of fixed size over all documents.
+
+Every list has a centre, the set with most copies, and the lists of a centre are one group. All sets of a
+group are compared with each other in a task: they are read once, as their differences from
+the centre, and two matrix products give all their overlaps. The sets of a large group are dealt into
+parts, and every two parts meet in a block. So any two sets that may be linked meet, and of the groups
+that hold both the one of the smallest centre counts their link. Blocks return the number of linked
+rows per set, and a forest that connects what they link, not the links themselves.
 
 `share` is in hundredths: sets link when 100 * overlap >= share * union. Rows without words have
 an empty set, link with nothing and are their own component. Null ids: such a row shares the component
 of its equal sets; a class that only has null ids links with no other, and its component is
-null. Rows are told apart by their sets, so repeated ids do no harm. Sets, tokens and shingles are
+null. `n_links` is the number of other rows that a row is linked with, its copies included. Rows are told apart by their sets, so repeated ids do no harm. Sets, tokens and shingles are
 64-bit hashes; overlaps are counted on 40 bits of them.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +42,7 @@ WIDTH = 4
 SHARE = 85
 CELLS = 1 << 20
 CHUNK = 1 << 12
-#: Lists of tokens from this class on are split.
+#: Entries of tokens above this class are not shuffled.
 SPLIT_CLASS = 8
 #: Sets of one group, and cells of its table of differences.
 GROUP = 2_000
@@ -146,36 +147,40 @@ def _enough(overlap: Column, n: Column, other_n: Column, share: int) -> Column:
     return (100 + share) * overlap >= share * (n + other_n)
 
 
-def _star(share: int):
-    """Connect the sets of a group, from their differences to its centre."""
+def _block(share: int):
+    """Count the links that a block's centre owns, and connect what they link."""
 
     def compared(table: pa.Table) -> pa.Table:
-        centre = table.column("centre")[0].as_py()
-        contents = {s: c for s, c in zip(table.column("set").to_pylist(), table.column("content").to_pylist()) if c is not None}
-        links: list[tuple[int, int]] = []
-        if len(contents) > 1:
-            # without its centre's text, a group is read against any of its sets
-            core = unpack_sorted(contents[centre if centre in contents else min(contents)])
-            names = sorted(contents)
-            links = [(names[i], names[j]) for i, j in _connected(core, [unpack_sorted(contents[n]) for n in names], share)]
-        return pa.Table.from_arrays([pa.array([x[i] for x in links], type=pa.int64()) for i in (0, 1)], names=["a", "b"])
+        centre, low, high = (table.column(c)[0].as_py() for c in ("centre", "low", "high"))
+        rows = {r["set"]: r for r in table.to_pylist()}
+        names = sorted(rows)
+        links: list[tuple[int, int, int]] = []
+        if len(names) > 1:
+            # without its centre's text, a block is read against any of its sets
+            core = unpack_sorted(rows[centre if centre in rows else names[0]]["content"])
+            near = _near(core, [unpack_sorted(rows[n]["content"]) for n in names], share)
+            np.fill_diagonal(near, False)
+            if low != high:
+                side = np.array([rows[n]["side"] for n in names])
+                near &= side[:, None] != side[None, :]
+            at = np.flatnonzero(near.any(axis=0))
+            if len(at):
+                near = near[np.ix_(at, at)]
+                smaller = [[c for c in rows[names[i]]["centres"] if c < centre] for i in at]
+                owners = np.array([c for of_set in smaller for c in of_set], dtype=np.int64)
+                near &= _shared(np.repeat(np.arange(len(at)), [len(of_set) for of_set in smaller]), owners, len(at)) == 0
+                copies = np.array([rows[names[i]]["copies"] for i in at], dtype=np.float64)
+                links = [(names[i], names[i], int(n)) for i, n in zip(at, near.astype(np.float64) @ copies) if n]
+                links += [(names[at[i]], names[at[j]], 0) for i, j in _forest(near)]
+        return pa.Table.from_arrays([pa.array([x[i] for x in links], type=pa.int64()) for i in range(3)], names=["a", "b", "n"])
 
     return compared
 
 
-def _connected(core: np.ndarray, sets: list[np.ndarray], share: int) -> list[tuple[int, int]]:
-    """Pairs of places that connect all linked sets."""
-    sizes = np.array([len(s) for s in sets], dtype=np.float32)
-    held = np.zeros((len(sets), len(core)), dtype=np.float32)
-    gained: list[np.ndarray] = []
-    for row, content in zip(held, sets):
-        place = np.minimum(np.searchsorted(core, content), max(len(core) - 1, 0))
-        inside = core[place] == content if len(core) else np.zeros(len(content), dtype=bool)
-        row[place[inside]] = 1.0
-        gained.append(content[~inside])
-    overlap = held @ held.T
-    rows = np.repeat(np.arange(len(sets)), [len(g) for g in gained])
-    tokens, column, times = np.unique(np.concatenate(gained), return_inverse=True, return_counts=True)
+def _shared(rows: np.ndarray, tokens: np.ndarray, n: int) -> np.ndarray:
+    """How many tokens every two of `n` rows share."""
+    overlap = np.zeros((n, n), dtype=np.float32)
+    _, column, times = np.unique(tokens, return_inverse=True, return_counts=True)
     common = times[column] > 1
     order = np.argsort(column[common], kind="stable")
     rows, column = rows[common][order], column[common][order]
@@ -183,13 +188,32 @@ def _connected(core: np.ndarray, sets: list[np.ndarray], share: int) -> list[tup
     width = int(column[-1]) + 1 if len(column) else 0
     for start in range(0, width, COLUMNS):
         low, high = np.searchsorted(column, [start, start + COLUMNS])
-        part = np.zeros((len(sets), min(COLUMNS, width - start)), dtype=np.float32)
+        part = np.zeros((n, min(COLUMNS, width - start)), dtype=np.float32)
         part[rows[low:high], column[low:high] - start] = 1.0
         overlap += part @ part.T
+    return overlap
+
+
+def _near(core: np.ndarray, sets: list[np.ndarray], share: int) -> np.ndarray:
+    """Which sets are linked."""
+    sizes = np.array([len(s) for s in sets], dtype=np.float32)
+    held = np.zeros((len(sets), len(core)), dtype=np.float32)
+    gained: list[np.ndarray] = []
+    for row, content in zip(held, sets):
+        place = np.minimum(np.searchsorted(core, content), max(len(core) - 1, 0))
+        inside = core[place] == content if len(core) else np.zeros(len(content), dtype=bool)
+        row[place[inside]] = 1.0
+        gained.append(content[~inside])
+    overlap = held @ held.T
+    overlap += _shared(np.repeat(np.arange(len(sets)), [len(g) for g in gained]), np.concatenate(gained), len(sets))
     union = sizes[:, None] + sizes[None, :] - overlap
-    near = 100.0 * overlap.astype(np.float64) >= share * union.astype(np.float64)
-    found, waiting = [], np.ones(len(sets), dtype=bool)
-    for first in range(len(sets)):
+    return 100.0 * overlap.astype(np.float64) >= share * union.astype(np.float64)
+
+
+def _forest(near: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of places that connect all linked sets."""
+    found, waiting = [], np.ones(len(near), dtype=bool)
+    for first in range(len(near)):
         if not waiting[first]:
             continue
         waiting[first] = False
@@ -201,48 +225,52 @@ def _connected(core: np.ndarray, sets: list[np.ndarray], share: int) -> list[tup
     return found
 
 
-def _read(roles: DataFrame, classes: DataFrame, texts: DataFrame, width: int, share: int) -> DataFrame:
-    """The connections within groups (centre, part, set)."""
-    wanted = roles.select("set").distinct().join(classes.select("set", "rep"), "set").where(F.col("rep").isNotNull())
-    contents = _contents(texts, stored(wanted, "jaccard_wanted"), width)
-    return roles.join(contents, "set").groupBy("centre", "part").applyInArrow(_star(share), "a long, b long")
+def _bounded(frame: DataFrame) -> DataFrame:
+    return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
 
 
-def _grouped(pairs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members (centre, part, set) and centres (centre, groups) of pairs (centre, set)."""
+def _listed(classes: DataFrame, share: int) -> DataFrame:
+    """(centre, set) of every set in a list with others, the centre included."""
+    # a little less than whole levels, so that rounding cannot set linked sizes two levels apart
+    level = F.floor(F.log(F.col("n").cast("double")) / (math.log(100 / share) + 1e-9))
+    entries = classes.select("set", "n", "copies", F.posexplode("tokens").alias("pos", "token"))
+    both = F.explode(F.array(level, level + 1)).alias("level")
+    row = F.struct("copies", "set", "n", "pos")
+    often = F.col("token").bitwiseAND(63) > SPLIT_CLASS
+
+    def kept(lists: DataFrame) -> DataFrame:
+        ours, theirs = ("top.n", "top.pos"), ("low.n", "low.pos")
+        room = _enough(_most(*map(F.col, ours + theirs)), F.col("top.n"), F.col("low.n"), share)
+        fits = _sizes_fit(F.col("top.n"), F.col("low.n"), share) & room
+        return lists.where((F.col("sets") > 2) | ((F.col("sets") == 2) & fits))
+
+    # short lists move once, as they are
+    alone, of_list = Window.partitionBy("token"), Window.partitionBy("token", "level")
+    short = entries.where(~often).withColumn("sets", F.count(F.lit(1)).over(alone)).where(F.col("sets") > 1).select("*", both)
+    short = short.withColumn("sets", F.count(F.lit(1)).over(of_list)).where(F.col("sets") > 1)
+    short = kept(short.withColumn("top", F.max(row).over(of_list)).withColumn("low", F.min(row).over(of_list)))
+    # long ones, which are few, are only counted
+    long = entries.where(often).select("*", both)
+    lists = long.groupBy("token", "level").agg(F.count(F.lit(1)).alias("sets"), F.max(row).alias("top"), F.min(row).alias("low"))
+    lists = stored(kept(lists).select("token", "level", F.col("top.set").alias("centre")), "jaccard_lists")
+    found = long.select("token", "level", "set").join(_bounded(lists), ["token", "level"])
+    return short.select(F.col("top.set").alias("centre"), "set").unionByName(found.select("centre", "set")).distinct()
+
+
+def _blocks(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(centre, low, high, side, set): groups as blocks of two parts, or of one part with itself."""
     sized = pairs.groupBy("centre").agg(F.count(F.lit(1)).alias("sets")).join(classes.select(F.col("set").alias("centre"), "n"), "centre")
     room = F.least(F.lit(GROUP), F.greatest(F.lit(min(50, GROUP)), F.floor(F.lit(GROUP_CELLS) / F.col("n"))))
-    centres = sized.select("centre", F.ceil(F.col("sets") / room).alias("groups"))
-    members = pairs.join(centres, "centre").select("centre", F.pmod(F.xxhash64("set"), F.col("groups")).alias("part"), "set")
-    return members, centres
-
-
-def _with_centres(members: DataFrame) -> DataFrame:
-    return members.unionByName(members.select("centre", "part", F.col("centre").alias("set")).distinct())
-
-
-def _across(members: DataFrame, centres: DataFrame, labels: DataFrame) -> DataFrame:
-    """Groups (centre, part, set) in which the sets left apart from a centre of several groups meet all its sets."""
-    several = centres.where(F.col("groups") > 1)
-    label = lambda name: labels.select(F.col("node").alias(name), F.col("component").alias(name + "_component"))
-    placed = (
-        members.join(several, "centre")
-        .join(label("set"), "set", "left")
-        .join(label("centre"), "centre", "left")
-        .withColumn("apart", F.coalesce("set_component", "set") != F.coalesce("centre_component", "centre"))
-    )
-    chunks = placed.groupBy("centre").agg(F.ceil(F.count_if("apart") / GROUP).alias("chunks")).where(F.col("chunks") > 0)
-    placed = placed.join(chunks, "centre")
-    chunk = F.pmod(F.xxhash64("set", F.lit(1)), F.col("chunks"))
-    everywhere = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
-    key = lambda: (F.col("part") * F.col("chunks") + F.col("chunk")).alias("part")
-    resident = placed.select("centre", "part", "chunks", "set", F.explode(everywhere("chunks")).alias("chunk")).select("centre", key(), "set")
-    visiting = placed.where("apart").select("centre", "chunks", "set", chunk.alias("chunk"), F.explode(everywhere("groups")).alias("part")).select("centre", key(), "set")
-    return resident.unionByName(visiting).distinct()
+    # a block of two parts has no more sets than a whole group may have
+    groups = F.when(F.col("sets") <= room, F.lit(1)).otherwise(F.ceil(2 * F.col("sets") / room)).cast("long")
+    centres = stored(sized.select("centre", groups.alias("groups")), "jaccard_centres")
+    dealt = pairs.join(_bounded(centres), "centre").withColumn("side", F.pmod(F.xxhash64("set"), F.col("groups")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)))
+    return dealt.select("centre", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "set")
 
 
 def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
+    """doc_id, n_shingles, component_id and n_links of every row."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     cells = token_classes(texts, width)
     classes = stored(
@@ -252,65 +280,29 @@ def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame
         .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n"), F.first("tokens").alias("tokens")),
         "jaccard_classes",
     )
-    entries = classes.select("set", "n", "copies", F.posexplode("tokens").alias("pos", "token"))
-    split = F.pow(F.lit(2.0), F.greatest(F.col("token").bitwiseAND(63) - SPLIT_CLASS, F.lit(0))).cast("long")
-    # the list's centre is its first row; a list of one row has nothing to compare
-    part = F.when(split > 1, F.xxhash64("token", F.pmod(F.xxhash64("set"), split))).otherwise(F.col("token"))
-    order = Window.partitionBy("list").orderBy(F.desc("copies"), "set")
-    first = Window.partitionBy("list").orderBy(F.desc("copies"), "set").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    listed = stored(
-        entries.select("token", part.alias("list"), "set", "n", "pos", "copies")
-        .withColumn("centre", F.first(F.struct("set", "n", "pos")).over(first))
-        .withColumn("place", F.row_number().over(order))
-        .withColumn("more", (F.col("place") > 2) | F.lead("place").over(order).isNotNull())
-        .where((F.col("place") > 1) | (F.col("token").bitwiseAND(63) > SPLIT_CLASS))
-        .select("token", "set", "n", "pos", "centre", "more"),
-        "jaccard_lists",
-    )
-    # a set of a longer list joins the centre's group if their sizes fit; a list of two is just that pair
-    fits = _sizes_fit(F.col("n"), F.col("centre.n"), share)
-    room = _enough(_most(F.col("n"), F.col("pos"), F.col("centre.n"), F.col("centre.pos")), F.col("n"), F.col("centre.n"), share)
-    listed = listed.withColumn("inside", (F.col("set") == F.col("centre.set")) | (fits & (F.col("more") | room)))
-    pairs = listed.where(F.col("inside") & (F.col("set") != F.col("centre.set"))).select(F.col("centre.set").alias("centre"), "set").distinct()
-    members, centres = _grouped(stored(pairs, "jaccard_pairs"), classes)
-    links = stored(_read(_with_centres(members), classes, texts, width, share), "jaccard_links")
-    labels = components(links)
-    across = stored(_across(members, centres, labels), "jaccard_across")
-    if not across.isEmpty():
-        links = links.unionByName(stored(_read(_with_centres(across), classes, texts, width, share), "jaccard_links"))
-        labels = components(links)
-
-    # all entries of lists with more than one set, with the component that each is in by now
-    heads = listed.select("token", F.col("centre.set").alias("set"), F.col("centre.n").alias("n"), F.col("centre.pos").alias("pos"), F.col("centre.set").alias("centre"), F.lit(True).alias("inside"))
-    everyone = listed.select("token", "set", "n", "pos", F.col("centre.set").alias("centre"), "inside").unionByName(heads).distinct()
-    labelled = stored(
-        everyone.join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set")),
-        "jaccard_labelled",
-    )
-    outside = labelled.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.bool_and("inside").alias("all_inside"), F.min("centre").alias("one"), F.max("centre").alias("other")
-    )
-    mixed = outside.where("low < high and (not all_inside or one < other)").select("token")
-    left = labelled.join(mixed, "token")
-    right = left.select("token", *[F.col(c).alias("other_" + c) for c in ("set", "n", "pos", "component", "centre", "inside")])
-    apart = ~F.col("inside") | ~F.col("other_inside") | (F.col("centre") != F.col("other_centre"))
-    rest = left.join(right, "token").where(
-        (F.col("set") < F.col("other_set")) & (F.col("component") != F.col("other_component")) & apart & _sizes_fit(F.col("n"), F.col("other_n"), share)
-    )
-    most = F.min(_most(F.col("n"), F.col("pos"), F.col("other_n"), F.col("other_pos"))).alias("most")
-    shared = rest.groupBy(F.col("set").alias("centre"), F.col("other_set").alias("set"), "n", "other_n").agg(most)
-    last = shared.where(_enough(F.col("most"), F.col("n"), F.col("other_n"), share)).select("centre", "set")
-    members, _ = _grouped(stored(last, "jaccard_last"), classes)
-    links = stored(links.unionByName(_read(_with_centres(members), classes, texts, width, share)), "jaccard_links")
-    labels = components(links)
+    pairs = stored(_listed(classes, share), "jaccard_pairs")
+    wanted = pairs.groupBy("set").agg(F.collect_set("centre").alias("centres"))
+    wanted = stored(wanted.join(classes.select("set", "rep", "copies"), "set").where(F.col("rep").isNotNull()), "jaccard_wanted")
+    contents = _contents(texts, wanted.select("set", "rep"), width).join(wanted.drop("rep"), "set")
+    blocks = stored(_blocks(pairs, classes), "jaccard_blocks").join(contents, "set")
+    links = stored(blocks.groupBy("centre", "low", "high").applyInArrow(_block(share), "a long, b long, n long"), "jaccard_links")
+    labels = components(links.where("a != b").select("a", "b"))
+    counts = links.where("a = b").groupBy(F.col("a").alias("set")).agg(F.sum("n").alias("others"))
     named = labels.join(classes.select(F.col("set").alias("node"), "rep"), "node")
     smallest = named.groupBy("component").agg(F.min("rep").alias("least"))
     known = named.join(smallest, "component").select(F.col("node").alias("set"), F.col("least"))
-    own = stored(classes.select("set", "rep").join(known, "set", "left").select("set", F.coalesce("least", "rep").alias("component_id")), "jaccard_named")
+    own = classes.select("set", "rep", "copies").join(known, "set", "left").join(counts, "set", "left")
+    n_links = (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
+    own = stored(own.select("set", F.coalesce("least", "rep").alias("component_id"), n_links), "jaccard_named")
     return (
         _sets(texts, width, share)
         .join(own, "set", "left")
-        .select("doc_id", "n_shingles", F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        .select(
+            "doc_id",
+            "n_shingles",
+            F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        )
     )
 
 

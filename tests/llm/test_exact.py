@@ -168,6 +168,27 @@ def test_jaccard_join(spark, monkeypatch, width, share, seed, group):
     assert kept == set(expected.values())
 
 
+@pytest.mark.parametrize(("width", "share", "group"), [(4, 85, 2000), (2, 80, 4), (1, 100, 3)])
+def test_number_of_links(spark, monkeypatch, width, share, group):
+    """Every link between rows counts once, also within components and in groups of several blocks."""
+    monkeypatch.setattr(jaccard_join, "GROUP", group)
+    random.seed(width)
+    words = [f"w{i}" for i in range(3000)]
+    docs = []
+    for size in [3, 20, 40, 41, 80] * 5:
+        text = random.choices(words, k=size)
+        for n in range(12):
+            docs.append(" ".join(text))
+            if n % 3:
+                text = [*text[: n % 5], random.choice(words), *text[n % 5 + 1 :]][: size - n % 2]
+    docs += ["", docs[30]]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    sets = [shingles(t, width, lower=True) for t in docs]
+    near = lambda a, b: bool(a) and 100 * len(a & b) >= share * len(a | b)
+    expected = {i: sum(near(a, b) for j, b in enumerate(sets) if j != i) for i, a in enumerate(sets)}
+    assert {r["doc_id"]: r["n_links"] for r in jaccard_join.linked(frame, width, share).collect()} == expected
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 7), (200, 201), (5, 5)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
