@@ -3,7 +3,8 @@
 Equal sets are one class, so copies never meet in pairs. Two different sets are similar only if they
 share a token among their first ones in a common order (prefix filter) and their sizes are of the same
 level or of neighbouring ones, powers of 100 / `share`. Lists are those of a token and two neighbouring
-levels; a list of two sets counts only if their sizes and the token's positions leave room for a link. The order
+levels; a set of a short list joins only if it may be linked with another there, by their sizes and positions, if
+the token is the first that they share: any linked sets meet in the list of that one. The order
 puts tokens that many documents hold last, by a count in a table of fixed size over all documents.
 
 Every list has a centre, the set with most copies, and the lists of a centre are one group. All sets of a
@@ -44,6 +45,8 @@ CELLS = 1 << 20
 CHUNK = 1 << 12
 #: Entries of tokens above this class are not shuffled.
 SPLIT_CLASS = 8
+#: In lists of at most so many sets each set is tried against the others before it joins a group.
+BESIDE = 32
 #: Sets of one group, and cells of its table of differences.
 GROUP = 2_000
 GROUP_CELLS = 20_000_000
@@ -139,8 +142,8 @@ def _sizes_fit(n: Column, other_n: Column, share: int) -> Column:
 
 
 def _most(n: Column, pos: Column, other_n: Column, other_pos: Column) -> Column:
-    """The largest overlap of two sets that share a token at these positions."""
-    return F.least(pos, other_pos) + F.least(n - pos, other_n - other_pos)
+    """The largest overlap of two sets whose first shared token is at these positions."""
+    return F.least(n - pos, other_n - other_pos)
 
 
 def _enough(overlap: Column, n: Column, other_n: Column, share: int) -> Column:
@@ -249,6 +252,14 @@ def _listed(classes: DataFrame, share: int) -> DataFrame:
     short = entries.where(~often).withColumn("sets", F.count(F.lit(1)).over(alone)).where(F.col("sets") > 1).select("*", both)
     short = short.withColumn("sets", F.count(F.lit(1)).over(of_list)).where(F.col("sets") > 1)
     short = kept(short.withColumn("top", F.max(row).over(of_list)).withColumn("low", F.min(row).over(of_list)))
+    # of other lists a set needs one with which this may be the first shared token
+    beside = F.when(F.col("sets") <= BESIDE, F.collect_list(F.struct("set", "n", "pos")).over(of_list))
+
+    def may_link(other: Column) -> Column:
+        most = _most(F.col("n"), F.col("pos"), other["n"], other["pos"])
+        return (other["set"] != F.col("set")) & _sizes_fit(F.col("n"), other["n"], share) & _enough(most, F.col("n"), other["n"], share)
+
+    short = short.withColumn("beside", beside).where(F.col("beside").isNull() | F.exists("beside", may_link))
     # long ones, which are few, are only counted
     long = entries.where(often).select("*", both)
     lists = long.groupBy("token", "level").agg(F.count(F.lit(1)).alias("sets"), F.max(row).alias("top"), F.min(row).alias("low"))
