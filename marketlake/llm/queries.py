@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import bpe, decontaminate, fingerprint, html_template, jaccard_join, lm_trie, personal_data, reply_trees, token_count, toxicity
+from marketlake.llm import bpe, decontaminate, fingerprint, html_template, jaccard_join, lm_trie, personal_data, reply_trees, sentence_piece, token_count, toxicity, turn_repair
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,14 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reply_trees.conversation_digests(given.unionByName(odd))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.damaged_and_repaired(_table(spark, sf_dir, "conversations"))
+
+
+def op13_sentence_piece_round_trip(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    return sentence_piece.round_trip(_table(spark, sf_dir, "documents"), model or _vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -76,6 +84,8 @@ QUERIES = {
         op8_bpe_round_trip,
         op9_toxicity,
         op10_chat_formatting,
+        op11_conversation_repair,
+        op13_sentence_piece_round_trip,
     )
 }
 
@@ -104,7 +114,90 @@ LEAKS_SQL = f"""
     group by doc_id, item_id having count(*) >= ceil(max(n) * 0.8 - 1e-9)
 """
 
+#: crc32 of an ASCII text, a bit at a time: the first of each byte's eight steps takes the byte in.
+CRC32 = """xor(4294967295, list_reduce(
+        list_prepend(4294967295::bigint, flatten(list_transform(range(1, len({s}) + 1), lambda i: list_prepend(ord({s}[i])::bigint, [0, 0, 0, 0, 0, 0, 0]::bigint[])))),
+        lambda c, e: xor(xor(c, e) >> 1, 3988292384 * (xor(c, e) & 1))))"""
+
+#: Rows are read one by one: the cheapest edits for each last role so far, with up to two rows put in before each.
+REPAIR_SQL = f"""
+    with recursive given as (
+        select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+               coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as said
+        from conversations
+    ), fated as (
+        select *, {CRC32.format(s="said")} % 20 as fate from given
+    ), hurt as (
+        select conv_id, turn, case when fate = 4 then 'user' else role end as role,
+               case fate when 1 then '' when 2 then translate(text, '.!?', '') else text end as text
+        from fated, range(0, 2) as copies(copy) where fate <> 0 and (copy = 0 or fate = 3)
+    ), placed as (
+        select *, row_number() over (partition by conv_id order by turn nulls first, role, md5(text)) as place,
+               rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as trimmed
+        from hurt
+    ), coded as (
+        select *, role[1:1] as initial, count(*) over (partition by conv_id) as n,
+               lag(role[1:1]) over (partition by conv_id order by place) as before,
+               row_number() over (partition by conv_id, role, text order by place) > 1 as again,
+               case when trimmed = '' then 'blank' when again then 'duplicate' when trimmed[-1:] not in ('.', '!', '?') then 'truncated' else '' end as fault
+        from placed
+    ), moves as (
+        select * from (values ('', 'u', 1), ('', 'a', 2), ('s', 'u', 1), ('s', 'a', 2), ('u', 'a', 1), ('a', 'u', 1), ('u', 'u', 2), ('a', 'a', 2)) t(p, q, puts)
+        union all select * from (values ('', '', 0), ('s', 's', 0), ('u', 'u', 0), ('a', 'a', 0)) t(p, q, puts)
+    ), steps as (
+        select c.conv_id, c.place, e.p, e.q, e.edit, e.cost + case when fault = 'truncated' and e.edit <> 'D' then 1 else 0 end as cost
+        from coded c, (
+            select p, p as q, 'D' as edit, 3 as cost from (values (''), ('s'), ('u'), ('a')) t(p)
+            union all select p, q, edit, case edit when 'K' then 0 else 2 end
+            from (values ('', 'u'), ('s', 'u'), ('a', 'u'), ('u', 'a')) t(p, q), (values ('K'), ('R')) k(edit)
+            union all select '', 's', 'K', 0
+        ) e
+        where (e.edit = 'D' or c.fault not in ('blank', 'duplicate')) and (e.edit <> 'K' or c.initial = e.q)
+    ), walk as (
+        select distinct conv_id, 0::bigint as place, '' as st, 0::bigint as cost, '' as audit from coded
+        union all
+        select conv_id, place, st, unnest(least_cell, recursive := true) from (
+            select w.conv_id, w.place + 1 as place, s.q as st,
+                   min({{'cost': (w.cost + 2 * m.puts + s.cost)::bigint, 'audit': w.audit || repeat('I', m.puts) || s.edit}}) as least_cell
+            from walk w join moves m on m.p = w.st join steps s on s.conv_id is not distinct from w.conv_id and s.place = w.place + 1 and s.p = m.q
+            group by all
+        )
+    ), ended as (
+        select w.conv_id, min({{'cost': (w.cost + 2 * m.puts)::bigint, 'audit': w.audit || repeat('I', m.puts)}}) as best
+        from walk w join moves m on m.p = w.st join (select distinct conv_id, n from coded) c on c.conv_id is not distinct from w.conv_id and c.n = w.place
+        where m.q = 'a' or (m.q = '' and w.st = '') group by w.conv_id
+    ), edits as (
+        select conv_id, best.audit as audit, i, best.audit[i:i] as edit, (length(best.audit) - length(replace(best.audit, 'D', ''))) as dropped
+        from ended, unnest(range(1, length(best.audit) + 1)) as t(i)
+    ), numbered as (
+        select *, sum(case when edit <> 'D' then 1 else 0 end) over (partition by conv_id order by i) - 1 as slot,
+               sum(case when edit <> 'I' then 1 else 0 end) over (partition by conv_id order by i) as place
+        from edits
+    ), lines as (
+        select x.conv_id, x.i,
+               case when edit = 'K' then c.role when (slot + (length(audit) - dropped)) % 2 = 0 then 'user' else 'assistant' end
+               || ':' || case when edit = 'I' then '' else c.text end as line
+        from numbered x left join coded c on c.conv_id is not distinct from x.conv_id and c.place = x.place and x.edit <> 'I'
+        where edit <> 'D'
+    ), said as (
+        select conv_id, string_agg(line, chr(10) order by i) as whole from lines group by conv_id
+    ), counted as (
+        select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count_if(fault = 'blank') as blank,
+               count_if(fault = 'duplicate') as duplicate, count_if(fault = 'truncated') as truncated,
+               count_if(place > 1 and before || initial not in ('su', 'ua', 'au')) as illegal
+        from coded group by conv_id
+    )
+    select i.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+           coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal,
+           coalesce(best.cost, 0)::bigint as cost, coalesce(best.audit, '') as audit, sha256(coalesce(whole, '')) as repaired_sha256
+    from (select distinct conv_id from conversations) i
+    left join counted c on c.conv_id is not distinct from i.conv_id
+    left join ended e on e.conv_id is not distinct from i.conv_id
+    left join said d on d.conv_id is not distinct from i.conv_id
+"""
+
 ORACLE: dict[str, str] = {
+    "op11_conversation_repair": REPAIR_SQL,
     "op4_benchmark_decontamination": LEAKS_SQL,
     "op10_chat_formatting": f"""
         with given as (
