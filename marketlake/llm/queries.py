@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import bpe, decontaminate, fingerprint, html_template, jaccard_join, lm_trie, personal_data, reply_trees, sentence_piece, token_count, toxicity, turn_repair
+from marketlake.llm import bpe, decontaminate, fingerprint, html_template, jaccard_join, lm_trie, personal_data, phrases, reply_trees, sentence_piece, token_count, toxicity, turn_repair
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.damaged_and_repaired(_table(spark, sf_dir, "conversations"))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_sentence_piece_round_trip(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
     return sentence_piece.round_trip(_table(spark, sf_dir, "documents"), model or _vocabulary("piece_bpe_32k.model"))
 
@@ -85,6 +89,7 @@ QUERIES = {
         op9_toxicity,
         op10_chat_formatting,
         op11_conversation_repair,
+        op12_phrase_collocations,
         op13_sentence_piece_round_trip,
     )
 }
@@ -196,7 +201,45 @@ REPAIR_SQL = f"""
     left join said d on d.conv_id is not distinct from i.conv_id
 """
 
+PHRASES_SQL = """
+    with pieces as (
+        select coalesce(lang, 'und') as lang,
+               unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece
+        from documents
+    ), words as (
+        select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from pieces
+    ), counted as (
+        select lang, phrase, count(*) as f from (
+            select lang, unnest(flatten(list_transform([1, 2, 3, 4], lambda n: list_transform(range(1, greatest(len(w) - n + 2, 1)), lambda i: w[i:i+n-1])))) as phrase from words
+        ) group by all
+    ), totals as (
+        select lang, sum(f) as n from counted where len(phrase) = 1 group by lang
+    ), frequent as (
+        select * from counted where f >= 30 and len(phrase) > 1
+    ), cuts as (
+        select c.lang, c.phrase, c.f as a, k, l.f as l, r.f as r, (2000000::hugeint * c.f) // (l.f + r.f) as score
+        from (select *, unnest(range(1, len(phrase))) as k from frequent) c
+        join counted l on l.lang = c.lang and l.phrase = c.phrase[1:k]
+        join counted r on r.lang = c.lang and r.phrase = c.phrase[k+1:]
+    ), lowest as (
+        select lang, phrase, a, l, r, score from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
+    ), inner_phrases as (
+        select lang, unnest(flatten(list_transform(range(2, len(phrase)), lambda n: list_transform(range(1, len(phrase) - n + 2), lambda i: phrase[i:i+n-1])))) as phrase, f
+        from frequent where len(phrase) > 2
+    ), longer as (
+        select lang, phrase, max(f) as longer from inner_phrases group by all
+    ), kept as (
+        select b.lang, array_to_string(b.phrase, ' ') as phrase, a, l, r, score
+        from lowest b left join longer g on g.lang = b.lang and g.phrase = b.phrase
+        where g.longer is null or 100::hugeint * g.longer < 80::hugeint * a
+    )
+    select lang, rank, phrase, a, l, r, n::bigint as n, score::bigint as score from (
+        select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept
+    ) join totals using (lang) where rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
+    "op12_phrase_collocations": PHRASES_SQL,
     "op11_conversation_repair": REPAIR_SQL,
     "op4_benchmark_decontamination": LEAKS_SQL,
     "op10_chat_formatting": f"""
