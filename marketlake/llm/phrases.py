@@ -9,9 +9,9 @@ at the same word (`quicksort`). Parts below the least count are abandoned.
 words, one word more at a time. First words: counted by name (`_words`). First two: counted by a hash of
 both (`_pairs`), which may take two pairs for one and so never counts too few. What is frequent is marked in a
 bitmap of fixed size (`BITS`) that every task gets; a bit too many costs a few rows more, never a phrase. At
-last the suffixes that begin with frequent pairs move to the task of their first two words, equal ones of a
-chunk as one row, and are sorted there. Pairs that hold more than a task's share are dealt out by
-their further words as well; their parts are added up afterwards.
+last the suffixes that begin with frequent pairs move to the task of their first word, equal ones of a chunk
+once and those of one task's bucket together, and are sorted there. A word that holds more than its share of a task
+is dealt out by the second word, such a pair by all words; only the parts of pairs are added up afterwards.
 
 **Names.** A word is a 64-bit hash of language and word. If two words that matter share one, all is done anew
 with another seed, so counts are exact.
@@ -50,6 +50,9 @@ PAIR_BITS = 41
 #: Words of the corpus for each task that sorts suffixes.
 SHARD_WORDS = 2_000_000
 
+#: Buckets of suffixes for each such task, so that tasks get about the same.
+BUCKETS = 8
+
 _BLANK, _BREAK = 1, 2
 _CLASS = np.zeros(256, dtype=np.uint8)
 _CLASS[[0x20, 0x09]] = _BLANK
@@ -219,13 +222,27 @@ def _pairs(docs: DataFrame, seed: int, words, least: int) -> DataFrame:
     return counts.where(F.col("f") >= least)
 
 
-def _suffixes(docs: DataFrame, seed: int, words, pairs, heavy: dict[int, int]) -> DataFrame:
-    """w1 to w4 (0 behind the end), times, and deal: -1, or for a heavy pair a number by its further words."""
-    heavy_names = np.array(sorted(heavy), dtype=np.uint64)
-    heavy_parts = np.array([heavy[n] for n in sorted(heavy)], dtype=np.uint64)
+def _suffixes(docs: DataFrame, seed: int, words, pairs, heavy_words: dict[int, int], heavy_pairs: dict[int, int], buckets: int) -> DataFrame:
+    """bucket, part, lead, rest, times: a chunk's suffixes that go to a bucket, as their first words, their further words
+    (three each, 0 behind the end) and how often each occurs.
+
+    The first word gives the bucket; for a heavy word, with the second; for a heavy pair, with all words: only then is
+    what reaches a bucket a `part` of a pair.
+    """
+
+    def looked_up(heavy: dict[int, int]):
+        names = np.array([*sorted(heavy), (1 << 64) - 1], dtype=np.uint64)
+        parts = np.array([*(heavy[n] for n in sorted(heavy)), 1], dtype=np.uint64)
+
+        def parts_of(keys: np.ndarray) -> np.ndarray:
+            at = np.searchsorted(names, keys)
+            return np.where(names[at] == keys, parts[at], np.uint64(1))
+
+        return parts_of
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word_bits, pair_bits = words.value, pairs.value
+        word_parts, pair_parts = looked_up(heavy_words), looked_up(heavy_pairs)
         held: list[np.ndarray] = []
         size = 0
 
@@ -234,20 +251,26 @@ def _suffixes(docs: DataFrame, seed: int, words, pairs, heavy: dict[int, int]) -
             whole = read[:, 0]
             for n in range(1, DEPTH):
                 whole = mix(whole * _PAIR + read[:, n])
-            times = np.ones(len(read), dtype=np.int64)
             order = np.lexsort((whole, read[:, 1], read[:, 0]))
             read = read[order]
             first = np.flatnonzero(np.append(True, (read[1:] != read[:-1]).any(axis=1)))
             times = np.diff(np.append(first, len(read)))
             read, whole = read[first], whole[order][first]
-            deal = np.full(len(read), -1, dtype=np.int32)
-            if len(heavy_names):
-                lead = mix(read[:, 0] * _PAIR + read[:, 1]) >> np.uint64(64 - PAIR_BITS)
-                at = np.minimum(np.searchsorted(heavy_names, lead), len(heavy_names) - 1)
-                hit = heavy_names[at] == lead
-                deal[hit] = (whole % heavy_parts[at])[hit]
-            columns = [pa.array(np.ascontiguousarray(read[:, n]).view(np.int64)) for n in range(DEPTH)]
-            return pa.RecordBatch.from_arrays([*columns, pa.array(times), pa.array(deal)], names=[*_W, "times", "deal"])
+            deal = mix(read[:, 1]) % word_parts(read[:, 0])
+            parts = pair_parts(mix(read[:, 0] * _PAIR + read[:, 1]) >> np.uint64(64 - PAIR_BITS))
+            part = parts > 1
+            deal = np.where(part, whole % parts + (deal << np.uint64(32)), deal)
+            bucket = (mix(read[:, 0] + deal * _PAIR) % np.uint64(buckets)).astype(np.int64)
+            order = np.lexsort((part, bucket))
+            read, times, bucket, part = read[order], times[order], bucket[order], part[order]
+            leads = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])))
+            bounds = np.append(leads, len(read)).astype(np.int32)
+
+            def lists(values: np.ndarray, width: int) -> pa.Array:
+                return pa.ListArray.from_arrays(pa.array(bounds * np.int32(width)), pa.array(np.ascontiguousarray(values).view(np.int64).ravel()))
+
+            columns = [pa.array(bucket[leads]), pa.array(part[leads]), lists(read[:, 0], 1), lists(read[:, 1:], DEPTH - 1), lists(times, 1)]
+            return pa.RecordBatch.from_arrays(columns, names=["bucket", "part", "lead", "rest", "times"])
 
         for text, _, _ in _texts(batches, seed):
             at = _leads(text, word_bits)
@@ -271,10 +294,7 @@ def _suffixes(docs: DataFrame, seed: int, words, pairs, heavy: dict[int, int]) -
         if held:
             yield merged()
 
-    return _read(docs).mapInArrow(routed, ", ".join(f"{w} long" for w in _W) + ", times long, deal int")
-
-
-_W = tuple(f"w{n}" for n in range(1, DEPTH + 1))
+    return _read(docs).mapInArrow(routed, "bucket long, part boolean, lead array<long>, rest array<long>, times array<long>")
 
 
 def quicksort(read: np.ndarray, times: np.ndarray, least: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -323,21 +343,27 @@ def _sorted(suffixes: DataFrame, shards: int, least: int) -> DataFrame:
     """phrase (names of its words) and a: the frequent phrases of two to four words with their counts."""
 
     def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
-        if not table.num_rows:
+        held = []
+        for batch in batches:
+            _, part, lead, rest, times = batch.columns
+            sizes = np.diff(times.offsets.to_numpy())
+            words = [lead.flatten().to_numpy().view(np.uint64)[:, None], rest.flatten().to_numpy().view(np.uint64).reshape(-1, DEPTH - 1)]
+            part = np.repeat(part.to_numpy(zero_copy_only=False).astype(bool), sizes)
+            held.append((np.concatenate(words, axis=1), times.flatten().to_numpy(), part))
+        if not held:
             return
-        whole = [c.to_numpy() for c in table.columns]
-        del table
-        for dealt in (False, True):
-            kept = (whole[DEPTH + 1] >= 0) == dealt
-            read = np.stack([w[kept].view(np.uint64) for w in whole[:DEPTH]], axis=1)
+        whole, times, dealt = (np.concatenate(c) for c in zip(*held))
+        del held
+        for part in (False, True):
+            kept = dealt == part
+            read = whole[kept]
             # of a heavy pair only some suffixes are here, so nothing of it is abandoned yet
-            for depth, at, counts in quicksort(read, whole[DEPTH][kept], 1 if dealt else least):
+            for depth, at, counts in quicksort(read, times[kept], 1 if part else least):
                 names = np.ascontiguousarray(read[at][:, :depth]).view(np.int64).ravel()
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(names) + 1, depth, dtype=np.int32)), pa.array(names))
                 yield pa.RecordBatch.from_arrays([lists, pa.array(counts)], names=["phrase", "a"])
 
-    here = suffixes.repartition(shards, "w1", "w2", "deal").mapInArrow(phrases, "phrase array<long>, a long")
+    here = suffixes.repartition(shards, "bucket").mapInArrow(phrases, "phrase array<long>, a long")
     return here.groupBy("phrase").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
 
 
@@ -359,10 +385,13 @@ def candidates(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFram
     pairs = stored(_pairs(docs, seed, word_bits, least), "phrase_pairs")
     pair_bits = context.broadcast(_bitmap(pairs))
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_words // SHARD_WORDS))
-    # at most four times as many pairs as shards can hold a fourth of a shard's words
+    # at most four times as many words or pairs as shards hold more than a fourth of a shard's share
     limit = max(1, n_words // (4 * shards), 16 * least)
-    heavy = {r["name"]: -(-r["f"] // limit) for r in pairs.where(F.col("f") > limit).collect()}
-    suffixes = _suffixes(docs, seed, word_bits, pair_bits, heavy)
+    heavy_words, heavy_pairs = (
+        {r["name"] % (1 << 64): -(-r["f"] // limit) for r in names.where(F.col("f") > limit).select("name", "f").collect()}
+        for names in (words.where("word <> ''"), pairs)
+    )
+    suffixes = _suffixes(docs, seed, word_bits, pair_bits, heavy_words, heavy_pairs, BUCKETS * shards)
     return words, stored(_sorted(suffixes, shards, least), "phrases")
 
 
