@@ -15,6 +15,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def same_place(spark: SparkSession, one: str, other: str) -> bool:
+    """Whether two paths, with or without their scheme, name the same place."""
+
+    def full(path: str) -> tuple[str, str, str]:
+        fs, target = _open(spark, path)
+        uri = fs.makeQualified(target).toUri()
+        return uri.getScheme() or "", uri.getAuthority() or "", uri.getPath().rstrip("/")
+
+    return full(one) == full(other)
+
+
 def names_in(spark: SparkSession, folder: str) -> list[str]:
     """Names of the entries of a folder, none when it does not exist."""
     fs, target = _open(spark, folder)
@@ -27,6 +38,27 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(target, True).close()
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, whole."""
+    fs, target = _open(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in place at once: written under another name, then renamed."""
+    fs, target = _open(spark, path)
+    _, part = _open(spark, f"{path}.part")
+    stream = fs.create(part, True)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+    if not fs.rename(part, target):
+        raise OSError(f"can't put {path} in place")
+
+
 def delete_at_end(spark: SparkSession, folder: str) -> None:
     """Remove a folder when this application's file systems are closed."""
     fs, target = _open(spark, folder)

@@ -6,12 +6,13 @@ Rows are always matched to a table by column name, never by position.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from marketlake import files, schemas
-from marketlake.operators.snapshots import Snapshots
+from marketlake.operators.buckets import BucketedTable
 
 
 def create_table(
@@ -22,8 +23,11 @@ def create_table(
     location: str | None = None,
 ) -> str:
     """Create a parquet table if it is missing. With a location it is external, and an
-    application with a fresh catalog takes up the rows that are there."""
+    application with a fresh catalog takes up the rows that are there. A table of that name
+    somewhere else is refused: its rows are not ours to read or replace."""
     if spark.catalog.tableExists(name):
+        if location and not files.same_place(spark, _location(spark, name), location):
+            raise ValueError(f"table {name} lies in {_location(spark, name)}, not in {location}")
         return name
     layout = f" PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
     place = f" LOCATION '{location}'" if location else ""
@@ -34,15 +38,44 @@ def create_table(
     return name
 
 
-class Lake:
-    """The three layers under ``root``. ``prefix`` sets databases of several lakes apart."""
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    return rows.first()["data_type"]
+
+
+LAYERS = tuple(dict.fromkeys(name.split(".")[0] for name in schemas.TABLES))
 
-    def __init__(self, spark: SparkSession, root: str, prefix: str = ""):
-        self.spark, self.root, self.prefix = spark, root.rstrip("/"), prefix
+
+class Lake:
+    """The three layers under ``root``. Their databases are called raw, stg and marts where the
+    catalog has none of these names, or has them in this root; a further lake of the catalog gets
+    a prefix that follows from its root, so no lake sees the tables of another. With an explicit
+    ``prefix``, databases of these names in another place are refused."""
+
+    def __init__(self, spark: SparkSession, root: str, prefix: str | None = None):
+        self.spark, self.root = spark, root.rstrip("/")
+        own = f"lake_{hashlib.sha256(self.root.encode()).hexdigest()[:12]}_"
+        if prefix is None:
+            prefix = "" if self._free("") and not self._taken(own) else own
+        if not self._free(prefix):
+            raise ValueError(f"databases {prefix}{LAYERS[0]} and others belong to another lake than {self.root}")
+        self.prefix = prefix
+
+    def _taken(self, prefix: str) -> bool:
+        return any(self.spark.catalog.databaseExists(prefix + layer) for layer in LAYERS)
+
+    def _free(self, prefix: str) -> bool:
+        """Whether all databases under a prefix are missing or lie in this root."""
+        catalog = self.spark.catalog
+        return all(
+            files.same_place(self.spark, catalog.getDatabase(prefix + layer).locationUri, f"{self.root}/{layer}")
+            for layer in LAYERS
+            if catalog.databaseExists(prefix + layer)
+        )
 
     def create(self) -> Lake:
         """Create every layer and table that is not there yet."""
-        for layer in dict.fromkeys(name.split(".")[0] for name in schemas.TABLES):
+        for layer in LAYERS:
             self.spark.sql(
                 f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer} LOCATION '{self.root}/{layer}'"
             )
@@ -64,10 +97,10 @@ class Lake:
             )
             self.spark.sql(f"CREATE VIEW {self.name(table)} AS SELECT {columns} WHERE false")
 
-    def live(self, table: str, ds: str) -> Snapshots:
-        """One session's snapshots of a live table; its view has the table's name."""
+    def live(self, table: str, ds: str) -> BucketedTable:
+        """One session's versions of a live table; its view has the table's name."""
         path = f"{self.root}/live/{table}/session={ds}"
-        return Snapshots(self.spark, path, schemas.LIVE_TABLES[table], view=self.name(table))
+        return BucketedTable(self.spark, path, schemas.LIVE_TABLES[table], view=self.name(table))
 
     def name(self, table: str) -> str:
         return self.prefix + table

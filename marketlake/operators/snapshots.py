@@ -80,6 +80,17 @@ class Snapshots:
         self._drop_old(version)
         return written
 
+    def change(
+        self,
+        version: int,
+        source: DataFrame,
+        rows: Callable[[DataFrame], DataFrame],
+        check: Callable[[DataFrame], object] | None = None,
+    ) -> DataFrame:
+        """The next version: ``rows`` gives what becomes of the stored rows. The whole table is
+        read and written, whatever the source touches."""
+        return self.write(version, rows(self.read(before=version)), check)
+
     def show_newest(self) -> bool:
         """Point the view at the newest version, if there is one: for a fresh catalog."""
         published = self._published()

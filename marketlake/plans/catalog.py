@@ -14,6 +14,7 @@ from marketlake.functions.times import in_session, micros_text, wall_clock_to_ut
 from marketlake.functions.casting import typed
 from marketlake.operators import loads, quality
 from marketlake.operators.baselines import rolling_averages, trailing_baselines
+from marketlake.operators.buckets import BucketedTable
 from marketlake.operators.cleaning import drop_incomplete, one_per_key
 from marketlake.operators.history import append_day, cumulative_prices, dim_daily
 from marketlake.operators.latest import latest_per_key, ranked_latest, session_bars
@@ -304,6 +305,27 @@ def merge_upsert_(spark, d):
     return _upserted(spark, d)
 
 
+@query
+def merge_upsert_bucketed(spark, d):
+    """The same two batches into a bucketed table: each rewrites only the buckets it touches."""
+    table = BucketedTable(spark, fresh_path(spark, "buckets"), schemas.CURRENT_DAY)
+    table.write(live.SEED_VERSION, s.base(spark, d))
+    feed = s.feed(spark, d)
+    for version, records in enumerate((feed.where(F.hour("last_updated_ts") < 12), feed)):
+        latest = latest_per_key(records, CURRENT_KEYS, "last_updated_ts")
+        table.change(version, latest, lambda rows, latest=latest: merge_upsert(rows, latest, CURRENT_KEYS))
+    return table.read()
+
+
+@query
+def merge_update_bucketed(spark, d):
+    """The update-only merge into a bucketed table."""
+    table = BucketedTable(spark, fresh_path(spark, "buckets"), schemas.CURRENT_DAY)
+    table.write(live.SEED_VERSION, s.base(spark, d))
+    prices = latest_per_key(s.feed(spark, d), ["ticker"], "last_updated_ts").select("ticker", "last_price", "last_updated_ts")
+    return table.change(0, prices, lambda rows: merge_update(rows, prices, ["ticker"]))
+
+
 #: Landing files of one micro-batch; a rate that does not depend on how many have landed.
 FILES_PER_BATCH = 10
 

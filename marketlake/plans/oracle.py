@@ -263,6 +263,7 @@ BODIES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM base b LEFT JOIN snap p ON p.ticker = b.ticker""",
     ),
     "merge_upsert": (("upserted",), "SELECT * FROM upserted"),
+    "merge_upsert_bucketed": (("upserted",), "SELECT * FROM upserted"),
     "stream_current_day": (("upserted",), "SELECT * FROM upserted"),
     "stream_current_day_metrics": (
         ("longbase", "moves", "tickers"),
@@ -459,6 +460,11 @@ def _written_out(text: str) -> str:
     return re.sub(r"\{mean:([^}]*)\}", _MEAN, text.replace("{moves}", _MOVES))
 
 
+#: Other ways to the same rows.
+SAME_ROWS = {"merge_update_bucketed": "merge_update_only"}
+BODIES.update({key: BODIES[of] for key, of in SAME_ROWS.items()})
+
+
 def statements() -> dict[str, str]:
     out = {}
     for key, (uses, body) in BODIES.items():

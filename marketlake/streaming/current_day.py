@@ -1,8 +1,8 @@
 """Near-real-time upkeep of the current-day tables with Structured Streaming.
 
-Every micro-batch becomes one merge into a new snapshot whose version is the batch id, so
-a batch that is replayed after a failure starts from the same rows and gives the same
-table. State is one row per key and lives in the snapshot: no watermark is needed.
+Every micro-batch becomes one merge into a new version of the table whose number is the batch
+id, so a batch that is replayed after a failure starts from the same rows and gives the same
+table. A bucketed table rewrites only what the batch touches, a snapshot table all of it.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marketlake import schemas
 from marketlake.functions.times import in_session
+from marketlake.operators.buckets import BucketedTable
 from marketlake.operators.latest import latest_per_key
 from marketlake.operators.merge import merge_upsert
 from marketlake.operators.quality import current_day_sanity, require
@@ -71,7 +72,7 @@ def _start(
 
 def start_upserts(
     records: DataFrame,
-    table: Snapshots,
+    table: Snapshots | BucketedTable,
     checkpoint: str,
     newer_only: bool = False,
     min_rows: int | None = None,
@@ -86,26 +87,27 @@ def start_upserts(
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         latest = latest_per_key(batch, keys, ts)
-        target = table.read(before=batch_id)
 
         def enough(merged: DataFrame) -> None:
             day = batch.agg(F.max("trade_date")).scalar()
             require(current_day_sanity(merged, day, min_rows))
 
-        merged = merge_upsert(target, latest, keys, newer_only=ts if newer_only else None)
-        table.write(batch_id, merged, check=None if min_rows is None else enough)
+        def merged(target: DataFrame) -> DataFrame:
+            return merge_upsert(target, latest, keys, newer_only=ts if newer_only else None)
+
+        table.change(batch_id, batch, merged, check=None if min_rows is None else enough)
 
     return _start(records, upsert, checkpoint, interval)
 
 
 def start_metrics(
-    documents: DataFrame, table: Snapshots, checkpoint: str, interval: str | None = None
+    documents: DataFrame, table: Snapshots | BucketedTable, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
     """Update prices and metrics of known tickers from payload documents."""
 
     def update(batch: DataFrame, batch_id: int) -> None:
         prices = latest_per_key(explode_bars(batch), ["ticker"], "last_updated_ts")
-        table.write(batch_id, refresh_metrics(table.read(before=batch_id), prices))
+        table.change(batch_id, prices, lambda target: refresh_metrics(target, prices))
 
     return _start(documents, update, checkpoint, interval)
 

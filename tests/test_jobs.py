@@ -35,7 +35,7 @@ def test_from_files_to_live_tables(spark):
     inline.current_day_values(spark, [record]).write.parquet(f"{root}/records")
     for _ in range(2):
         jobs.main(["prices", *common, "--landing", f"{root}/records", "--ds", TODAY.isoformat(), "--min-rows", "1"])
-    served = spark.table(jobs.PRICES)
+    served = lake.table(jobs.PRICES)
     assert served.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.CURRENT_DAY]
     assert {(r.ticker, r.trade_date, r.last_price) for r in served.collect()} == {
         ("A", SECOND, 10.0), ("B", FIRST, 4.0), ("A", TODAY, 12.0),
@@ -44,8 +44,8 @@ def test_from_files_to_live_tables(spark):
     document = '{"bars": {"A": {"c": 12, "t": "2024-01-08T15:00:00Z"}}}'
     spark.createDataFrame([(document,)], "value string").write.text(f"{root}/documents")
     jobs.main(["metrics", *common, "--landing", f"{root}/documents", "--ds", TODAY.isoformat()])
-    rows = {r.ticker: r for r in spark.table(jobs.METRICS).collect()}
+    rows = {r.ticker: r for r in lake.table(jobs.METRICS).collect()}
     assert rows["A"].m_price_change_last_day_pct == 20.0 and rows["A"].last_updated_datetime == at
     assert rows["A"].close_price_avg_last_90_days == 9.0 and rows["A"].market_cap_description == "Mega Cap"
     assert rows["B"].current_price is None and rows["B"].market_cap_description == "Not Provided"
-    assert spark.table(jobs.METRICS).where(F.col("current_price").isNotNull()).count() == 1
+    assert lake.table(jobs.METRICS).where(F.col("current_price").isNotNull()).count() == 1

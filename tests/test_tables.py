@@ -157,3 +157,18 @@ def test_snapshots_keep_a_few_versions_and_ignore_unfinished_ones(spark):
 def test_shared_dir_follows_the_session(spark):
     assert fresh_path(spark, "x").startswith(shared_dir(spark))
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
+
+
+def test_two_lakes_of_one_catalog_stay_apart(spark):
+    one, other = (Lake(spark, fresh_path(spark, "lake")).create() for _ in range(2))
+    row = spark.createDataFrame([("A", 1.0, 1.0, 1.0, 1.0, 5, dt.date(2024, 1, 5))], "ticker string, open_price double, high_price double, low_price double, close_price double, volume long, trade_date date")
+    loads.append(row, one.name("stg.fact_daily_stock_price"), by=("trade_date",))
+    assert one.prefix != other.prefix
+    assert one.table("stg.fact_daily_stock_price").count() == 1
+    assert other.table("stg.fact_daily_stock_price").count() == 0
+    again = Lake(spark, one.root).create()
+    assert again.prefix == one.prefix and again.table("stg.fact_daily_stock_price").count() == 1
+    with pytest.raises(ValueError, match="another lake"):
+        Lake(spark, fresh_path(spark, "lake"), prefix=one.prefix)
+    with pytest.raises(ValueError, match="lies in"):
+        loads.create_table(spark, one.name("stg.fact_daily_stock_price"), schemas.FACT, ("trade_date",), other.root)
