@@ -25,6 +25,7 @@ from marketlake.plans import daily, marts, metrics, reports, standins as s
 from marketlake.session import fresh_path, fresh_table
 from marketlake.sources import csv_files, inline, pages, payloads, wide
 from marketlake.streaming import current_day as live
+from marketlake.streaming.keyed_state import start_keyed_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -345,6 +346,19 @@ def stream_current_day(spark, d):
     return table.read()
 
 
+@query
+def stream_keyed_state(spark, d):
+    """The same files through Spark's keyed state: one record per key, newest in event time."""
+    landing, state, checkpoint = (fresh_path(spark, n) for n in ("landing", "state", "checkpoint"))
+    s.feed(spark, d).withColumn("hour", F.hour("last_updated_ts")).hint("rebalance", "hour").write.partitionBy(
+        "hour"
+    ).parquet(landing)
+    table = BucketedTable(spark, state, schemas.CURRENT_DAY)
+    table.write(live.SEED_VERSION, s.base(spark, d))
+    start_keyed_state(live.price_records(spark, landing, FILES_PER_BATCH), table, checkpoint).awaitTermination()
+    return table.read()
+
+
 @query
 def stream_current_day_metrics(spark, d):
     """LONGFEED as payload documents, merged into the seeded metrics table."""
