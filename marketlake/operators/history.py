@@ -39,6 +39,23 @@ def append_day(dim: DataFrame, day: DataFrame) -> DataFrame:
     )
 
 
+def append_days(dim: DataFrame, bars: DataFrame) -> DataFrame:
+    """The same for any number of later dates: their bars alone are aggregated, and each
+    ticker's row is joined with what they add."""
+    added = dim_daily(bars)
+    both = dim.alias("d").join(added.alias("a"), "ticker", "full_outer")
+    none = F.array().cast("array<double>")
+    new = F.col("a.last_updated").isNotNull()
+    return both.select(
+        "ticker",
+        F.concat(F.coalesce("d.price_history", none), F.coalesce("a.price_history", none)).alias("price_history"),
+        F.when(new, F.col("a.latest_price")).otherwise(F.col("d.latest_price")).alias("latest_price"),
+        F.least("d.historic_low", "a.historic_low").alias("historic_low"),
+        F.greatest("d.historic_high", "a.historic_high").alias("historic_high"),
+        F.coalesce("a.last_updated", "d.last_updated").alias("last_updated"),
+    )
+
+
 def dim_daily(fact: DataFrame) -> DataFrame:
     """History, latest close, range and last date, all in one pass and one sort."""
     return fact.groupBy("ticker").agg(

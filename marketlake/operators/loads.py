@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from marketlake import files, schemas
 from marketlake.operators.buckets import BucketedTable
+from marketlake.operators.snapshots import Snapshots
 
 
 def create_table(
@@ -82,20 +83,39 @@ class Lake:
         for name, (schema, partitioned_by) in schemas.TABLES.items():
             location = f"{self.root}/{name.replace('.', '/')}"
             create_table(self.spark, self.name(name), schema, partitioned_by, location)
+        for name, schema in schemas.MARTS.items():
+            self._no_table(name)
+            if not self.mart(name).show_newest():
+                self._show_nothing(name, schema)
+        for name, (of, schema) in schemas.PROJECTIONS.items():
+            self._no_table(name)
+            columns = ", ".join(schema.fieldNames())
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(name)} AS SELECT {columns} FROM {self.name(of)}")
         for name in schemas.LIVE_TABLES:
             if not self.spark.catalog.tableExists(self.name(name)):
                 self._show_last_session(name)
         return self
 
+    def _no_table(self, name: str) -> None:
+        """A table of an earlier layout leaves its name to a view; its files stay."""
+        catalog = self.spark.catalog
+        if catalog.tableExists(self.name(name)) and catalog.getTable(self.name(name)).tableType != "VIEW":
+            self.spark.sql(f"DROP TABLE {self.name(name)}")
+
+    def _show_nothing(self, name: str, schema: T.StructType) -> None:
+        columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in schema)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(name)} AS SELECT {columns} WHERE false")
+
+    def mart(self, name: str) -> Snapshots:
+        """The versions of a mart; its view has the mart's name."""
+        return Snapshots(self.spark, f"{self.root}/versions/{name}", schemas.MARTS[name], view=self.name(name))
+
     def _show_last_session(self, table: str) -> None:
         """The view of a live table: its newest session's rows, before the first one no rows."""
         sessions = files.names_in(self.spark, f"{self.root}/live/{table}")
         days = sorted(n.removeprefix("session=") for n in sessions if n.startswith("session="))
         if not any(self.live(table, day).show_newest() for day in reversed(days)):
-            columns = ", ".join(
-                f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in schemas.LIVE_TABLES[table]
-            )
-            self.spark.sql(f"CREATE VIEW {self.name(table)} AS SELECT {columns} WHERE false")
+            self._show_nothing(table, schemas.LIVE_TABLES[table])
 
     def live(self, table: str, ds: str) -> BucketedTable:
         """One session's versions of a live table; its view has the table's name."""

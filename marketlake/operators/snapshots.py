@@ -19,6 +19,7 @@ from marketlake import files
 
 _FOLDER = re.compile(r"version=(-?\d+)\.(\d+)$")
 _MARKER = "_PUBLISHED"
+_NOTE = "_NOTE"
 
 
 class Snapshots:
@@ -64,19 +65,34 @@ class Snapshots:
     def _rows(self, version: int, attempt: int) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self._folder(version, attempt))
 
+    def note(self) -> str | None:
+        """What was written beside the newest version's rows, if anything."""
+        published = self._published()
+        if not published:
+            return None
+        path = f"{self._folder(max(published), published[max(published)])}/{_NOTE}"
+        return files.read_text(self.spark, path) if files.exists(self.spark, path) else None
+
     def write(
-        self, version: int, rows: DataFrame, check: Callable[[DataFrame], object] | None = None
+        self,
+        version: int,
+        rows: DataFrame,
+        check: Callable[[DataFrame], object] | None = None,
+        note: str | None = None,
     ) -> DataFrame:
-        """Write a further attempt at a version, check it, and only then publish it."""
+        """Write a further attempt at a version, check it, and only then publish it. A ``note``
+        becomes visible with the rows or not at all."""
         attempt = 1 + max((a for v, a in self._attempts() if v == version), default=-1)
         folder = self._folder(version, attempt)
         rows.select(*self.schema.fieldNames()).write.parquet(folder)
         written = self._rows(version, attempt)
         if check is not None:
             check(written)
+        if note is not None:
+            files.write_text(self.spark, f"{folder}/{_NOTE}", note)
         files.touch(self.spark, f"{folder}/{_MARKER}")
         if self.view:
-            show(self.spark, self.view, folder)
+            self.show_newest()
         self._drop_old(version)
         return written
 

@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, functions as F
 
-from marketlake import schemas
 from marketlake.operators import loads
 from marketlake.operators.cleaning import one_per_key
-from marketlake.operators.history import append_day, dim_daily
+from marketlake.operators.history import append_days, dim_daily
 from marketlake.operators.loads import Lake
 from marketlake.operators.quality import quality_report, require, row_counts
-from marketlake.session import fresh_path
 from marketlake.sources.csv_files import read_bars, read_details
 
 RAW = "raw.staging_daily_stock_price"
@@ -59,28 +58,48 @@ def load_details(lake: Lake, path: str) -> int:
 
 def rebuild_marts(lake: Lake) -> None:
     """Both per-ticker marts. The history is aggregated from the fact once; the cumulative
-    table is a projection of the daily dimension, so it needs no second shuffle."""
-    _publish_marts(lake, dim_daily(lake.table(FACT)))
-
-
-def update_marts(lake: Lake, day: dt.date) -> None:
-    """Both marts after a load of ``day``: one more date is appended; a date that is not
-    later than all others, a correction, makes them anew."""
-    dim = lake.table(DIM)
-    newest = dim.agg(F.max("last_updated")).first()[0]
-    if newest is None or newest >= day:
-        rebuild_marts(lake)
-        return
-    bars = lake.table(FACT).where(F.col("trade_date") == F.lit(day))
-    path = fresh_path(lake.spark, "dim_daily")  # the table can't be read while it is replaced
-    append_day(dim, bars).write.parquet(path)
-    _publish_marts(lake, lake.spark.read.schema(schemas.DIM_DAILY).parquet(path))
-
-
-def _publish_marts(lake: Lake, dim: DataFrame) -> None:
-    loads.overwrite(dim, lake.name(DIM))
-    history = lake.table(DIM).select("ticker", "price_history", "last_updated")
-    loads.overwrite(history, lake.name(CUMULATIVE))
+    table is a projection of the daily dimension, a view that needs no rows of its own."""
+    _publish_marts(lake, dim_daily(lake.table(FACT)), fact_dates(lake))
+
+
+def fact_dates(lake: Lake) -> dict[str, int]:
+    """Bars of every date of the fact. No column is read but the partition's, and one number
+    for each trading date comes back."""
+    dates = lake.table(FACT).where("trade_date IS NOT NULL").groupBy("trade_date").agg(F.count(F.lit(1)).alias("bars"))
+    return {r["trade_date"].isoformat(): r["bars"] for r in dates.collect()}
+
+
+def folded_dates(lake: Lake) -> dict[str, int]:
+    """The ledger of the marts: the dates that they were made of, and each one's bars then.
+    It is published with the rows, so a run that dies leaves both or neither."""
+    return json.loads(lake.mart(DIM).note() or "{}")
+
+
+def update_marts(lake: Lake, day: dt.date | None = None) -> list[str]:
+    """Bring both marts up to the fact and return the dates that were folded in.
+
+    Whatever earlier runs have loaded and not folded in is in the fact and not in the ledger.
+    Dates later than all folded ones are appended, together; a date that was folded in and has
+    changed since (by its number of bars, or as ``day``, the date just loaded again), that has
+    gone, or that belongs between others makes the marts anew.
+    """
+    known, there = folded_dates(lake), fact_dates(lake)
+    changed = {date for date, bars in known.items() if there.get(date) != bars}
+    if day is not None and day.isoformat() in known:
+        changed.add(day.isoformat())
+    missing = sorted(set(there) - set(known))
+    if not known or changed or (missing and missing[0] < max(known)):
+        _publish_marts(lake, dim_daily(lake.table(FACT)), there)
+        return sorted(changed | set(missing))
+    if missing:
+        bars = lake.table(FACT).where(F.col("trade_date") > F.lit(dt.date.fromisoformat(max(known))))
+        _publish_marts(lake, append_days(lake.mart(DIM).read(), bars), there)
+    return missing
+
+
+def _publish_marts(lake: Lake, dim: DataFrame, dates: dict[str, int]) -> None:
+    mart = lake.mart(DIM)
+    mart.write(max(mart.versions(), default=-1) + 1, dim, note=json.dumps(dates, sort_keys=True))
 
 
 def rejected_rows(lake: Lake, landing: str, ds: str | None = None) -> DataFrame:

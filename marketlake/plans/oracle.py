@@ -461,7 +461,7 @@ def _written_out(text: str) -> str:
 
 
 #: Other ways to the same rows.
-SAME_ROWS = {"merge_update_bucketed": "merge_update_only", "stream_keyed_state": "merge_upsert"}
+SAME_ROWS = {"dim_daily_caught_up": "dim_daily", "merge_update_bucketed": "merge_update_only", "stream_keyed_state": "merge_upsert"}
 BODIES.update({key: BODIES[of] for key, of in SAME_ROWS.items()})
 
 

@@ -61,11 +61,15 @@ METRICS = _schema(
 TABLES = {
     "raw.staging_daily_stock_price": (STAGING, ("snapshot_date",)),
     "stg.fact_daily_stock_price": (FACT, ("trade_date",)),
-    "marts.cumulative_stock_price": (CUMULATIVE, ()),
-    "marts.dim_daily_stock_price": (DIM_DAILY, ()),
     "marts.dim_ticker_details": (DETAILS, ()),
 }
 
+# Marts that are replaced as a whole, with a ledger of what they were made of: versions behind a view.
+MARTS = {"marts.dim_daily_stock_price": DIM_DAILY}
+
+# Views: name -> (mart that they are a projection of, columns).
+PROJECTIONS = {"marts.cumulative_stock_price": ("marts.dim_daily_stock_price", CUMULATIVE)}
+
 # Tables that micro-batches rewrite: kept as snapshots and served through a view.
 LIVE_TABLES = {
     "marts.current_day_stock_price": CURRENT_DAY,
