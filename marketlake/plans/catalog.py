@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -20,6 +21,7 @@ from marketlake.operators.history import append_day, cumulative_prices, dim_dail
 from marketlake.operators.latest import latest_per_key, ranked_latest, session_bars
 from marketlake.operators.loads import Lake
 from marketlake.operators.merge import merge_update, merge_upsert
+from marketlake.operators.running_totals import RunningTotals, baselines_asof
 from marketlake.operators.snapshots import Snapshots
 from marketlake.plans import daily, marts, metrics, reports, standins as s
 from marketlake.session import fresh_path, fresh_table
@@ -422,6 +424,22 @@ def trailing_baselines_short(spark, d):
     return trailing_baselines(s.bars(spark, d), (7, 30), as_of=s.last_day(spark, d))
 
 
+#: Dates in and between the trading dates of LONGBARS.
+AS_OF = (dt.date(1993, 12, 31), dt.date(1995, 6, 17), dt.date(1998, 12, 31))
+
+
+@query
+def baselines_asof_(spark, d):
+    """90- and 365-day baselines as of three dates, each out of the running totals of three dates."""
+    totals = RunningTotals(spark, fresh_path(spark, "totals"))
+    fact = s.stored_longbars(spark, d)
+    totals.fold(fact.where(F.col("trade_date") < F.lit(AS_OF[1])))
+    totals.fold(fact)
+    return reduce(
+        DataFrame.unionByName, (baselines_asof(totals, day).withColumn("as_of", F.lit(day)) for day in AS_OF)
+    )
+
+
 @query
 def rolling_averages_(spark, d):
     return rolling_averages(s.longbars(spark, d))

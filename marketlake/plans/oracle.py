@@ -291,6 +291,14 @@ BODIES: dict[str, tuple[tuple[str, ...], str]] = {
             {mean:CASE WHEN trade_date > as_of - 365 THEN close_price END} AS close_price_avg_last_365_days
         FROM longbars, (SELECT max(trade_date) AS as_of FROM longbars) GROUP BY ticker""",
     ),
+    "baselines_asof": (
+        ("longbars",),
+        """SELECT as_of, ticker, arg_max(close_price, trade_date) AS close_price_last_day,
+            {mean:CASE WHEN trade_date > as_of - 90 THEN close_price END} AS close_price_avg_last_90_days,
+            {mean:CASE WHEN trade_date > as_of - 365 THEN close_price END} AS close_price_avg_last_365_days
+        FROM longbars, (VALUES (DATE '1993-12-31'), (DATE '1995-06-17'), (DATE '1998-12-31')) days(as_of)
+        WHERE trade_date <= as_of GROUP BY as_of, ticker""",
+    ),
     "trailing_baselines_short": (
         ("bars", "edge"),
         """SELECT ticker, arg_max(close_price, trade_date) AS close_price_last_day,
