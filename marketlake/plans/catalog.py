@@ -179,8 +179,10 @@ def normalize_ticker(spark, d):
 
 @query
 def wide_to_long_bars(spark, d):
-    """Places of the wide frames turn back into tickers: 5 x block + place."""
-    return _unblocked(wide.melt_bars(s.wide_frames(spark, d), keep=("block",)))
+    """Frames of 500 symbols a line; their places turn back into tickers: 500 x block + place."""
+    path = fresh_path(spark, "frames")
+    s.land_wide_frames(spark, d, path)
+    return _unblocked(wide.melt_bar_lines(wide.read_lines(spark, path), ("block",)))
 
 
 def _unblocked(rows: DataFrame) -> DataFrame:
@@ -191,8 +193,9 @@ def _unblocked(rows: DataFrame) -> DataFrame:
 @query
 def wide_to_current_day(spark, d):
     """One-minute frames on New York's clock -> the last complete bar of each ticker."""
-    frames = s.intraday_frames(spark, d)
-    records = _unblocked(wide.melt_intraday(frames, "America/New_York", keep=("block",)))
+    path = fresh_path(spark, "frames")
+    s.land_intraday_frames(spark, d, path)
+    records = _unblocked(wide.melt_intraday_lines(wide.read_lines(spark, path), "America/New_York", ("block",)))
     return latest_per_key(records, ["ticker"], "last_updated_ts")
 
 

@@ -126,46 +126,37 @@ def staging_loaded_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("attempt", F.explode(F.array(F.lit(1), F.lit(2)))).drop("attempt")
 
 
-def wide_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """BARS as wide frames: block b holds tickers 500b .. 500b + 499, one row per date with a
-    ``<place>_<Field>`` column for each place, so any number of tickers fits. Volumes are
-    doubles, NaN where a ticker has no bar, as such frames come."""
-    return _blocked(bars(spark, sf_dir).withColumnRenamed("trade_date", "Date"), "Date")
+#: Fields of a wide frame and the columns of bars that they come from.
+_FRAME_FIELDS = {"Open": "open_price", "High": "high_price", "Low": "low_price", "Close": "close_price", "Volume": "volume"}
 
 
-def _blocked(rows: DataFrame, time: str) -> DataFrame:
-    """Bars -> wide frames with one shuffle: a block's bars of one time, at most 500, become a
-    map by place, and every column looks its place up."""
-    number = F.col("ticker").cast("bigint")
-    placed = rows.withColumn("block", F.floor(number / SYMBOLS_PER_FRAME)).withColumn(
-        "place", F.pmod(number, F.lit(SYMBOLS_PER_FRAME))
-    )
-    fields = {
-        "Open": "open_price",
-        "High": "high_price",
-        "Low": "low_price",
-        "Close": "close_price",
-        "Volume": "volume",
-    }
-    bar = F.struct("place", *fields.values())
-    listed = placed.groupBy("block", time).agg(F.array_agg(bar).alias("bars"))
-    places = F.sequence(F.lit(0), F.lit(SYMBOLS_PER_FRAME - 1))
-    by_place = F.map_from_entries(F.transform("bars", lambda b: F.struct(b["place"].cast("int"), b)))
-    framed = listed.select("block", time, by_place.alias("by_place")).select(
-        "block", time, F.transform(places, lambda i: F.try_element_at("by_place", i)).alias("bars")
-    )
+def land_wide_frames(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """BARS as landed wide frames: block b holds tickers 500b .. 500b + 499, one line per date with a
+    ``<place>_<Field>`` column for each place, so any number of tickers fits. A volume is NaN and
+    prices are empty where a ticker has no bar, as such frames come."""
+    _land_blocked(bars(spark, sf_dir).withColumnRenamed("trade_date", "Date"), "Date", path)
 
-    def value(place: int, field: str, column: str) -> Column:
-        found = F.col("bars")[place][column]
-        if field == "Volume":
-            found = F.coalesce(found.cast("double"), F.lit(float("nan")))
-        return found.alias(f"{place}_{field}")
 
-    return framed.select(
-        "block",
+def _land_blocked(rows: DataFrame, time: str, path: str) -> None:
+    """Bars -> lines of wide frames with one shuffle: a block's bars of one time, at most 500, become a
+    map by place, and the line looks every place up. Each block's folder gets its header as well."""
+    number = F.col("ticker").cast("bigint")
+    values = [F.col(c).cast("string") for c in _FRAME_FIELDS.values()]
+    placed = rows.select(
+        F.floor(number / SYMBOLS_PER_FRAME).alias("block"),
         time,
-        *(value(p, field, column) for p in range(SYMBOLS_PER_FRAME) for field, column in fields.items()),
+        F.pmod(number, F.lit(SYMBOLS_PER_FRAME)).cast("int").alias("place"),
+        F.array_join(F.array(*values), ",", "").alias("cells"),
     )
+    places = F.sequence(F.lit(0), F.lit(SYMBOLS_PER_FRAME - 1))
+    listed = placed.groupBy("block", time).agg(F.map_from_entries(F.array_agg(F.struct("place", "cells"))).alias("by_place"))
+    cells = F.transform(places, lambda i: F.coalesce(F.try_element_at("by_place", i), F.lit(",,,,NaN")))
+    lines = listed.select("block", F.concat_ws(",", F.col(time).cast("string"), F.array_join(cells, ",")).alias("value"))
+    names = F.array_join(F.transform(places, lambda i: F.array_join(F.transform(
+        F.array(*map(F.lit, _FRAME_FIELDS)), lambda field: F.concat(i.cast("string"), F.lit("_"), field)), ",")), ",")
+    blocks = rows.select(F.floor(number / SYMBOLS_PER_FRAME).alias("block")).distinct()
+    headers = blocks.select("block", F.concat_ws(",", F.lit(time), names).alias("value"))
+    lines.unionByName(headers).hint("rebalance", "block").write.partitionBy("block").text(path)
 
 
 # --- company details out of customers ----------------------------------------------------
@@ -326,9 +317,8 @@ def current_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_current_day(bars(spark, sf_dir, days=(last_day(spark, sf_dir),)))
 
 
-def intraday_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FEED as wide one-minute frames, blocked like ``wide_frames``; a ticker without a
-    trade in a minute has NULLs there."""
+def land_intraday_frames(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """FEED as landed one-minute frames, blocked like ``land_wide_frames``."""
     ts = F.col("last_updated_ts")
     minute = ts - F.make_dt_interval(secs=F.extract(F.lit("SECOND"), ts))
     bars = feed(spark, sf_dir).groupBy("ticker", minute.alias("Datetime")).agg(
@@ -338,7 +328,7 @@ def intraday_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max_by("last_price", "last_updated_ts").alias("close_price"),
         F.count(F.lit(1)).alias("volume"),
     )
-    return _blocked(bars, "Datetime")
+    _land_blocked(bars, "Datetime", path)
 
 
 def pack_bars(prices: DataFrame, document_keys: list[str], price: str) -> DataFrame:

@@ -275,3 +275,23 @@ def test_first_table_column(spark):
     ]
     df = spark.createDataFrame(html, "page_id int, html string")
     assert [tuple(r) for r in pages.first_table_column(df, "Symbol").collect()] == [(1, "BRK.B")]
+
+
+def test_wide_lines_melt_without_growing_plans(spark):
+    def lines(symbols, *more):
+        header = ",".join(["Date", *(f"{s}_{f}" for s in symbols for f in ("Open", "High", "Low", "Close", "Volume"))])
+        rows = [header, *more]
+        return spark.createDataFrame([(r,) for r in rows], "value string")
+
+    frame = lines(["A", "BRK-B", "x_y"], "2024-01-05,1,2,0.5,1.23456,10,,,,,NaN,3,3,3,3,7.0", "bad,1,1,1,1,1", "2024-01-08,1,1,1,inf,3,4,5,4,4.5,6", "")
+    got = wide.melt_bar_lines(frame.unionByName(frame.limit(1)))
+    assert {(r.ticker, str(r.snapshot_date), r.close, r.volume) for r in got.collect()} == {
+        ("A", "2024-01-05", 1.2346, 10), ("x_y", "2024-01-05", 3.0, 7), ("BRK.B", "2024-01-08", 4.5, 6),
+    }
+    assert wide.melt_bar_lines(frame.limit(0)).count() == 0
+    assert wide.melt_bar_lines(lines([], "2024-01-05,1")).count() == 0
+    sizes = [len(wide.melt_bar_lines(lines([f"S{n}" for n in range(k)]))._jdf.queryExecution().optimizedPlan().toString()) for k in (5, 500)]
+    assert sizes[0] == sizes[1]
+    clock = spark.createDataFrame([("Datetime,A_Open,A_High,A_Low,A_Close,A_Volume",), ("2024-07-05 09:30:00,1,2,1,2,5",)], "value string")
+    row = wide.melt_intraday_lines(clock, "America/New_York").first()
+    assert (str(row.last_updated_ts), str(row.trade_date), row.last_price) == ("2024-07-05 13:30:00", "2024-01-05".replace("-01-", "-07-"), 2.0)
