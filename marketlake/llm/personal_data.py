@@ -58,7 +58,7 @@ def _holds(kind: str, found: str) -> bool:
         return True
     parts = _DIGITS.findall(found)
     if kind == "ip":
-        return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts)
+        return all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in parts)
     digits = "".join(parts)
     if kind == "card":
         return 12 <= len(digits) <= 19 and _luhn(digits)

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.llm.memory import Recent, give_back
 from marketlake.llm.shipping import ship
 from marketlake.llm.stored import stored
 from marketlake.llm.words import filled, slices
@@ -35,6 +36,8 @@ SUPPORT = 3
 #: Symbols after which the pass writes out what is settled.
 SETTLE = 64
 FEATURES = 400
+#: Words that a task remembers, in each of two halves.
+REMEMBERED = 150_000
 RIDGE = 0.2
 BEGINNINGS = range(3, 8)
 
@@ -106,7 +109,7 @@ def letter_model(counts: np.ndarray) -> np.ndarray:
 class Restorer:
     def __init__(self, model: np.ndarray) -> None:
         self.model = model
-        self.known: dict[str, str] = {}
+        self.known = Recent(REMEMBERED)
 
     def options(self, symbol: str, before: str) -> list[tuple[str, float]]:
         if symbol.isalpha():
@@ -149,14 +152,12 @@ class Restorer:
 
     def restore(self, word: str) -> str:
         """A lower-case word without its outer marks, and without its disguise; gaps in it may part words."""
-        found = self.known.get(word)
+        found = self.known.new.get(word) or self.known.get(word)
         if found is None:
             bare = _ENDS.sub("", word)
             found = self.decode(bare) if _SIGNS.search(bare) and any(c.isalpha() for c in bare) else bare
-            if len(self.known) >= 300_000:
-                self.known.clear()
             if len(word) <= 64:
-                self.known[word] = found
+                self.known.put(word, found)
         return found
 
     def words(self, text: str) -> set[str]:
@@ -190,19 +191,19 @@ class Model:
         self.letters, self.weights, self.intercept = letters, weights, intercept
 
     def scorer(self):
-        restorer, weights, known = Restorer(self.letters), self.weights, {}
+        restorer, weights, known = Restorer(self.letters), self.weights, Recent(REMEMBERED)
 
         def score(text: str | None) -> float:
             total = self.intercept
             if text:
                 hits: set[str] = set()
                 for word in restorer.words(text):
-                    found = known.get(word)
+                    found = known.new.get(word)
+                    if found is None:
+                        found = known.get(word)
                     if found is None:
                         found = tuple([f for f in features(word) if f in weights])
-                        if len(known) >= 300_000:
-                            known.clear()
-                        known[word] = found
+                        known.put(word, found)
                     hits.update(found)
                 total += sum([weights[f] for f in sorted(hits)])
             return 1.0 / (1.0 + math.exp(-min(500.0, max(-500.0, total))))
@@ -326,8 +327,12 @@ def toxicity(text: Column, model: Model) -> Column:
     @F.pandas_udf("double")
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         score = model.scorer()
-        for part in texts:
-            yield pd.Series([score(t) for t in part], dtype=float)
+        try:
+            for part in texts:
+                yield pd.Series([score(t) for t in part], dtype=float)
+        finally:
+            del score
+            give_back()
 
     return scored(text)
 

@@ -111,3 +111,18 @@ def test_conversations(spark):
     got = {r["conv_id"]: r for r in reply_trees.conversation_digests(turns).collect()}
     assert {k: v["n_turns"] for k, v in got.items()} == {1: 3, None: 1, 2: 2}
     assert reply_trees.conversation_digests(turns.limit(0)).count() == 0
+
+
+def test_long_numbers_are_no_addresses_and_no_crash():
+    assert personal_data.base_spans("0" * 5000 + ".1.1.1") == [("ip", 0, 5006)]
+    assert [k for k, *_ in personal_data.base_spans("9" * 5000 + ".1.1.1")] == []
+
+
+def test_remembered_results_stay_bounded():
+    from marketlake.llm.memory import Recent
+
+    known = Recent(10)
+    for n in range(1000):
+        known.put(n, str(n))
+        assert known.get(3) in (None, "3") and known.get(n) == str(n)
+    assert len(known.new) + len(known.old) <= 21
