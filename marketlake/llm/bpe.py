@@ -22,7 +22,10 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType
 from marketlake.llm.merge_automaton import MergeAutomaton, path
 from marketlake.llm.shipping import ship
 
-CACHE = 400_000
+#: Words are remembered in halves of so many (and those of one group of texts); parts, which are cheap to make
+#: again from their words, are all forgotten at this number.
+WORDS = 150_000
+PARTS = 50_000
 #: Texts that are prepared together.
 ROWS = 2_000
 
@@ -38,17 +41,26 @@ class Entangled(Exception):
 
 
 class _Store(dict):
-    """What `make` gives for a string, remembered; a full store starts anew."""
+    """What `make` gives for a string, remembered in two halves: the older one goes when the newer is full.
+
+    Halves change between groups of texts only, so nothing that a group needs goes while it is read.
+    """
 
     def __init__(self, make) -> None:
         super().__init__()
         self.make = make
+        self.old: dict[str, tuple[int, ...]] = {}
+
+    def turn(self) -> None:
+        if len(self) >= WORDS:
+            self.old = dict(self)
+            self.clear()
 
     def __missing__(self, key: str) -> tuple[int, ...]:
-        found = self.make(key)
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
         if len(key) <= 64:
-            if len(self) >= CACHE:
-                self.clear()
             self[key] = found
         return found
 
@@ -89,20 +101,25 @@ class ByteBpe:
     def _part(self, lead: str, part: str) -> tuple[int, ...]:
         if not part or part[0].isspace() or part[-1].isspace():
             raise Entangled
-        return tuple([i for word in self.split(lead + part) for i in self.words[word]])
+        words = self.split(lead + part)
+        if len(words) == 1:
+            return self.words[words[0]]  # one object for both stores
+        return tuple([i for word in words for i in self.words[word]])
 
     def prepare(self, texts: list[str | None]) -> None:
         """Encode the new words of many texts in one pass, in order, so that common beginnings are read once."""
+        self.words.turn()
+        for store in (self.spaced, self.bare):
+            if len(store) >= PARTS:
+                store.clear()
         parts: set[str] = set()
         for text in texts:
             if text:
                 parts.update(text.split(" "))
         parts.difference_update(self.spaced)
         new = {word for part in parts for word in self.split(" " + part)}
-        new.difference_update(self.words)
+        new.difference_update(self.words, self.words.old)
         spelled = {word.encode("utf-8").decode("latin-1"): word for word in new if len(word) <= 64}
-        if len(self.words) + len(spelled) > CACHE:
-            self.words.clear()
         ids, words = self.ids, self.words
 
         def keep(symbols: str, lasts: list, counts: list[int]) -> None:
