@@ -10,17 +10,20 @@ document of fewer shingles than the item's share is no candidate. Candidates are
 the shingles' words. The search therefore misses nothing.
 
 Shingles that many items share come last in the sketches, so a phrase that all items begin with
-does not make every document a candidate. Items of fewer words than a shingle, null and empty texts
-match nothing. Rows of one doc_id are one document each, of which the fullest match is
+does not make every document a candidate. An item of fewer words than a shingle is one run of all its
+words, and a document leaks it that holds the run. Items without words, null and empty texts match nothing. Rows of one doc_id are one document each, of which the fullest match is
 reported; null ids are an id like any other.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from marketlake.llm.rows import row_key, unused
 from marketlake.llm.stored import stored
 
 WIDTH = 5
@@ -40,18 +43,25 @@ def _runs(column: str, width: int, of) -> Column:
     return F.when(F.size(column) >= width, made)
 
 
+def _shingles(width: Column, widths) -> Column:
+    """The distinct shingles of `__words`, of a width among `widths`."""
+    made = [F.when(width == w, F.array_distinct(_runs("__words", w, lambda *words: F.concat_ws(" ", *words)))) for w in widths]
+    return F.coalesce(*made, F.array().cast("array<string>"))
+
+
 def _bounded(frame: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(frame) if rows <= BROADCAST_ROWS else frame
 
 
 def _items(benchmark: DataFrame, width: int) -> DataFrame:
-    """(item, item_id, shingles): distinct items by id and text that have shingles."""
+    """(item, item_id, width, shingles): distinct items by id and text that have words, and the words of a shingle of theirs."""
+    size = F.size("__words")
     return (
         benchmark.select("item_id", F.col("text").alias("__text"))
         .distinct()
         .select(F.xxhash64("item_id", "__text").alias("item"), "item_id", words(F.col("__text")).alias("__words"))
-        .select("item", "item_id", F.array_distinct(_runs("__words", width, lambda *w: F.concat_ws(" ", *w))).alias("shingles"))
-        .where(F.size("shingles") > 0)
+        .where(size > 0)
+        .select("item", "item_id", F.least(size, F.lit(width)).alias("width"), _shingles(F.least(size, F.lit(width)), range(1, width + 1)).alias("shingles"))
     )
 
 
@@ -65,6 +75,7 @@ def _sketches(items: DataFrame, threshold: float) -> DataFrame:
         (F.floor(upper * (1 - threshold) + 1e-9) + 1).alias("length"),
         F.explode("shingles").alias("shingle"),
     )
+    # nulls leave a hash as it is, so shorter shingles hash as their words alone
     hashed = spread.withColumn("hash", F.xxhash64(*[F.get(F.split("shingle", " "), F.lit(j)) for j in range(WIDTH)]))
     common = hashed.groupBy("hash").agg(F.count(F.lit(1)).alias("items"))
     order = Window.partitionBy("item").orderBy("items", "hash")
@@ -81,11 +92,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     items = stored(_items(benchmark, WIDTH), "decontaminate_items")
     sketches = stored(_sketches(items, threshold), "decontaminate_sketches")
     n_items, n_sketches = items.count(), sketches.count()
+    widths = [r["width"] for r in items.select("width").distinct().orderBy("width").collect()] or [WIDTH]
     texts = docs.select("doc_id", F.col("text").alias("__text"))
-    probes = (
-        texts.select("doc_id", words(F.col("__text")).alias("__words"))
-        .where(F.size("__words") >= WIDTH)
-        .select("doc_id", (F.size("__words") - WIDTH + 1).alias("n"), F.explode(_runs("__words", WIDTH, F.xxhash64)).alias("hash"))
+    worded = texts.select("doc_id", words(F.col("__text")).alias("__words"))
+    probes = reduce(
+        DataFrame.unionAll,
+        [
+            worded.where(F.size("__words") >= w)
+            .select("doc_id", (F.size("__words") - w + 1).alias("n"), F.explode(_runs("__words", w, F.xxhash64)).alias("hash"))
+            for w in widths
+        ],
     )
     found = (
         probes.join(_bounded(sketches, n_sketches), "hash")
@@ -97,11 +113,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     candidates = stored(found, "decontaminate_candidates")
     n_candidates = candidates.count()
     pairs = texts.join(_bounded(candidates, n_candidates), F.col("doc_id").eqNullSafe(F.col("__doc")))
-    shingles = F.array_distinct(_runs("__words", WIDTH, lambda *w: F.concat_ws(" ", *w)))
     return (
         pairs.select("doc_id", "item", words(F.col("__text")).alias("__words"))
-        .select("doc_id", "item", shingles.alias("held"))
         .join(_bounded(items, n_items), "item")
+        .select("doc_id", "item_id", "shingles", _shingles(F.col("width"), widths).alias("held"))
         .select("doc_id", "item_id", F.size(F.array_intersect("held", "shingles")).cast("long").alias("shared"), F.size("shingles").cast("long").alias("n_item"))
         .where(F.col("shared") >= F.ceil(F.col("n_item") * threshold - 1e-9))
         .groupBy("doc_id", "item_id")
@@ -111,6 +126,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that leak no item, with all their columns."""
-    bad = stored(leaks(docs, benchmark, threshold).select(F.col("doc_id").alias("__doc")).distinct(), "decontaminate_leaks")
-    return docs.join(_bounded(bad, bad.count()), docs["doc_id"].eqNullSafe(bad["__doc"]), "left_anti")
+    """The documents that leak no item, with all their columns; rows are decided by id and text."""
+    key = unused(docs.columns, "row_key")
+    keyed = docs.withColumn(key, row_key("doc_id", "text"))
+    found = leaks(keyed.select(F.col(key).alias("doc_id"), "text"), benchmark, threshold)
+    bad = stored(found.select(F.col("doc_id").alias(key + "_")).distinct(), "decontaminate_leaks")
+    return keyed.join(_bounded(bad, bad.count()), F.col(key) == F.col(key + "_"), "left_anti").select(*docs.columns)

@@ -35,6 +35,7 @@ from pyspark.sql.window import Window
 
 from marketlake.llm.components import components
 from marketlake.llm.packed import pack, pack_sorted, unpack, unpack_sorted
+from marketlake.llm.rows import row_key, unused
 from marketlake.llm.shipping import ship
 from marketlake.llm.stored import stored
 from marketlake.llm.words import filled, shingle_sets
@@ -318,13 +319,22 @@ def linked(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame:
-    """One document of every component, the one of smallest id, with all its columns; rows without an id stay.
+    """One row of every component, of the smallest doc_id, with all its columns; rows without words stay.
 
-    Of rows that repeat an id, all stay or go together.
+    Rows are decided by id and text: a null id comes after all others, of rows that repeat both one stays, and
+    of two texts under one id each is decided by itself.
     """
-    gone = stored(
-        linked(docs, width, share).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__doc")).distinct(), "jaccard_gone"
-    )
-    if gone.count() <= BROADCAST_ROWS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, docs["doc_id"] == gone["__doc"], "left_anti")
+    key = unused(docs.columns, "row_key")
+    keyed = docs.withColumn(key, row_key("doc_id", "text"))
+    keys = keyed.select(F.col(key).alias("doc_id"), "text")
+    found = linked(keys, width, share).where(F.col("n_shingles") > 0).groupBy("doc_id").agg(F.first("component_id").alias("component"), F.count(F.lit(1)).alias("rows"))
+    found = stored(found.select(F.col("doc_id").alias("key"), "component", "rows"), "jaccard_rows")
+    ids = keyed.select(F.col(key).alias("key"), F.col("doc_id").cast("long").alias("id")).distinct()
+    first = F.min(F.struct(F.col("id").isNull(), "id", "key"))["key"]
+    chosen = found.join(ids, "key").groupBy("component").agg(first.alias("key"))
+    gone = stored(found.join(chosen, "key", "left_anti").select(F.col("key").alias(key + "_")), "jaccard_gone")
+    left = keyed.join(_bounded(gone), F.col(key) == F.col(key + "_"), "left_anti")
+    repeated = stored(found.where("rows > 1").join(chosen, "key", "left_semi").select(F.col("key").alias(key + "_")), "jaccard_repeated")
+    marked = left.join(_bounded(repeated), F.col(key) == F.col(key + "_"), "left")
+    once = marked.where(F.col(key + "_").isNotNull()).dropDuplicates([key])
+    return marked.where(F.col(key + "_").isNull()).unionByName(once).select(*docs.columns)

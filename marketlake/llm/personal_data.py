@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.llm.rows import row_key, unused
 from marketlake.llm.shipping import ship
 from marketlake.llm.stored import stored
 
@@ -121,11 +122,6 @@ def occurrences(text: str | None) -> list[tuple[str | None, int, int, str, list[
 _OCCURRENCES = "array<struct<kind:string,start:int,end:int,word:string,contexts:array<string>>>"
 
 
-def _row_key(doc_id: str, text: str) -> Column:
-    """Rows of one id and one text are one."""
-    return F.xxhash64(F.col(doc_id), F.coalesce(F.col(text), F.lit("")))
-
-
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, row_key, found): the occurrences of every row."""
     ship(docs.sparkSession)
@@ -135,7 +131,7 @@ def scan(docs: DataFrame) -> DataFrame:
         names = ("kind", "start", "end", "word", "contexts")
         return pd.Series([[dict(zip(names, o)) for o in occurrences(t)] for t in texts], dtype=object)
 
-    return docs.select("doc_id", _row_key("doc_id", "text").alias("row_key"), found(F.col("text")).alias("found"))
+    return docs.select("doc_id", row_key("doc_id", "text").alias("row_key"), found(F.col("text")).alias("found"))
 
 
 def _few(frame: DataFrame) -> DataFrame:
@@ -216,13 +212,6 @@ def redacted_text(text: str, added: list | None) -> str:
     return "".join([*out, text[at:]]) if out else text
 
 
-def _unused(names: list[str], name: str) -> str:
-    """A column name that no column begins with."""
-    while any(n.startswith(name) for n in names):
-        name = "_" + name
-    return name
-
-
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with all their columns, their texts without personal data; null texts stay.
 
@@ -235,9 +224,9 @@ def redact(docs: DataFrame) -> DataFrame:
         return pd.Series([t if t is None else redacted_text(t, s) for t, s in zip(texts, spans)], dtype=object)
 
     names = docs.columns
-    key, other = (_unused(names, c) for c in ("row_key", "added"))
+    key, other = (unused(names, c) for c in ("row_key", "added"))
     found = added.select(F.col("row_key").alias(key + "_"), F.col("added").alias(other))
-    joined = docs.withColumn(key, _row_key("doc_id", "text")).join(_few(found), F.col(key) == F.col(key + "_"), "left")
+    joined = docs.withColumn(key, row_key("doc_id", "text")).join(_few(found), F.col(key) == F.col(key + "_"), "left")
     new = joined.withColumn("text", redacted(F.col("text"), F.col(other)))
     if "n_chars" in names:
         kind = docs.schema["n_chars"].dataType

@@ -1,9 +1,10 @@
 """Nulls in any column, empty and very long texts, ties, repeated rows, empty tables, clashing names."""
 
+import duckdb
 import pytest
 
 import corpus_pipeline
-from marketlake.llm import bpe, decontaminate, fingerprint, html_template, jaccard_join, lm_trie, personal_data, reply_trees, token_count, toxicity
+from marketlake.llm import bpe, decontaminate, fingerprint, html_template, jaccard_join, lm_trie, personal_data, queries, reply_trees, token_count, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, key string, part int, row_key string, added string, __doc long, token string"
 
@@ -113,6 +114,30 @@ def test_conversations(spark):
     assert reply_trees.conversation_digests(turns.limit(0)).count() == 0
 
 
+def test_short_items(spark):
+    """Items of one to four words match as whole runs of words, and only as such."""
+    docs = spark.createDataFrame([(1, "Indeed: France is Paris!"), (2, "France isn't Paris"), (3, "paris"), (4, None), (5, "a b c d, e")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "France is Paris"), (2, "Paris"), (3, "b c d e"), (4, "c e"), (5, "?!")], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["shared"], r["n_item"], r["containment"]) for r in decontaminate.leaks(docs, items).collect()}
+    assert {g[:2] for g in got} == {(1, 1), (1, 2), (2, 2), (3, 2), (5, 3)} and {g[2:] for g in got} == {(1, 1, 1.0)}
+    with_sql = duckdb.connect()
+    for name, frame in (("documents", docs), ("benchmark", items)):
+        with_sql.register(name, frame.toPandas())
+    assert got == set(with_sql.execute(queries.LEAKS_SQL).fetchall())
+
+
+def test_decisions_are_per_row(spark):
+    """One row of each group stays, whatever ids repeat or are null; a clean text under the id of another stays."""
+    text, other = "one two three four five six seven", "quite another text that nobody else has written"
+    rows = [(1, text), (2, text), (2, other), (None, text), (1, text), (None, None), (3, ""), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(map(tuple, jaccard_join.one_of_each(docs).collect()), key=str)
+    assert kept == sorted([(1, text), (2, other), (None, None), (3, ""), (3, "")], key=str)
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    left = sorted(map(tuple, decontaminate.clean(docs, items).collect()), key=str)
+    assert left == sorted([(2, other), (None, None), (3, ""), (3, "")], key=str)
+
+
 def test_long_numbers_are_no_addresses_and_no_crash():
     assert personal_data.base_spans("0" * 5000 + ".1.1.1") == [("ip", 0, 5006)]
     assert [k for k, *_ in personal_data.base_spans("9" * 5000 + ".1.1.1")] == []
