@@ -6,7 +6,7 @@ sum of hashes of (page, number of occurrences), which any number of tasks may ad
 valid if it stands on most of the host's pages. The class of tokens that stand once on each page is the
 template's frame; the others nest into it by their containers. What is left between template tokens
 are slots, each named by the innermost container in a valid class. A slot is main text if nothing
-around it is a menu, a footer or the like, its text is mostly no links, and it is inside the frame's
+around it is a menu, a footer or the like, its text outside an article is mostly no links, and it is inside the frame's
 article where the frame has one. Where it has none, slots of the same text on every page are left out,
 unless no others have text.
 
@@ -40,9 +40,11 @@ SALTS = 64
 
 _PIECE = re.compile(
     r"<!--.*?(?:-->|$)|<(script|style|noscript|template|textarea|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|$)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>",
     re.S | re.I,
 )
+#: A comment or an element without text that nothing closes: it reaches to the end of the page.
+_OPEN = re.compile(r"<!--(?!.*-->\Z)|<(script|style|noscript|template|textarea|svg|iframe)\b(?!.*</\1\s*>\Z)", re.S | re.I)
 _CLASS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 CONTAINERS = set(
@@ -57,6 +59,8 @@ NO_TEXT_WORDS = set(
     "sidebar widget related share social cookie cookies consent notice alert popup modal newsletter subscribe signup login "
     "search footer header masthead copyright comment comments respond replies disqus pagination pager toolbar skip".split()
 )
+#: Containers of the whole page or of the article: their classes tell of what is around the text. A header in an article is its heading.
+WHOLE_TAGS = set("html body article main".split())
 _WORD = re.compile(r"[a-z]+")
 
 
@@ -67,9 +71,14 @@ def _named(tag: str, attributes: str) -> str:
 
 def excluded(path: str) -> bool:
     """Whether a container around a slot holds no main text."""
+    article = False
     for element in path.split("/"):
         tag, *words = element.split(".")
-        if tag in NO_TEXT_TAGS or not NO_TEXT_WORDS.isdisjoint(words):
+        if tag in WHOLE_TAGS:
+            article = article or tag == "article"
+        elif tag == "header" and article:
+            continue
+        elif tag in NO_TEXT_TAGS or not NO_TEXT_WORDS.isdisjoint(words):
             return True
     return False
 
@@ -79,11 +88,15 @@ def walk(page: str | None) -> Iterator[tuple[str, str, str, bool]]:
     stack: list[str] = []
     path, links, at = "", 0, 0
     page = page or ""
-    for m in _PIECE.finditer(page):
+    # behind the last > there is no tag, however many are opened
+    last = page.rfind(">") + 1
+    for m in _PIECE.finditer(page, 0, last):
         if m.start() > at:
             yield "text", path, page[at : m.start()], links > 0
         at = m.end()
         tag = m[3]
+        if at == last and tag is None and _OPEN.match(m[0]):
+            at = len(page)
         if tag is None:
             continue
         tag = tag.lower()
@@ -108,8 +121,9 @@ def walk(page: str | None) -> Iterator[tuple[str, str, str, bool]]:
         if tag in CONTAINERS and not m[4].endswith("/"):
             stack.append(name)
             path = "/".join(stack)
-    if at < len(page):
-        yield "text", path, page[at:], links > 0
+    rest = page[at:].partition("<!--")[0]
+    if rest:
+        yield "text", path, rest, links > 0
 
 
 def page_tokens(page: str | None) -> dict[str, list]:
@@ -249,7 +263,8 @@ def main_slots(tokens: dict[str, tuple[bool, dict]]) -> set[str]:
     for token, (frame, stats) in tokens.items():
         if token.rpartition("/")[2].split(".", 1)[0] not in CONTAINERS or excluded(token):
             continue
-        if stats["chars"] and stats["linked"] >= LINKS * stats["chars"]:
+        whole = any(e.split(".", 1)[0] in ("article", "main") for e in token.split("/"))
+        if not whole and stats["chars"] and stats["linked"] >= LINKS * stats["chars"]:
             continue
         good[token] = (frame, stats)
     for tag in ("article", "main"):

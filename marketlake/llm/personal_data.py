@@ -13,6 +13,8 @@ Null and empty texts hold nothing. Added spans never overlap the seeds' spans or
 from __future__ import annotations
 
 import re
+import string
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -23,10 +25,12 @@ from marketlake.llm.shipping import ship
 from marketlake.llm.stored import stored
 
 KINDS = ["email", "ip", "card", "phone"]
-#: Fixed patterns of the kinds.
+#: Fixed patterns of the kinds; runs are read once, so that time grows with the length of a text. For emails see `_emails`.
+_LOCAL = string.ascii_letters + string.digits + "._%+-"
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 PATTERNS = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    # a match never begins inside a run of digits: from its beginning there is one as well
+    "ip": re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)"),
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
@@ -40,7 +44,7 @@ BROADCAST_ROWS = 200_000
 
 _MAYBE = re.compile("[0-9@]")
 _DIGITS = re.compile("[0-9]+")
-_IDENTIFIER = re.compile(r"[^\s\"'<>()\[\]{},;]*[0-9@][^\s\"'<>()\[\]{},;]*")
+_RUN = re.compile(r"[^\s\"'<>()\[\]{},;]++")
 _TRIM = ".:!?#$%&*|=+-"
 
 
@@ -54,9 +58,19 @@ def _luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _emails(text: str) -> Iterator[tuple[str, int, int]]:
+    """Matches of `[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+`, looked for outwards from each @."""
+    free, at = 0, text.find("@")
+    while at >= 0:
+        start = free + len(text[free:at].rstrip(_LOCAL))
+        domain = _DOMAIN.match(text, at + 1) if start < at else None
+        if domain:
+            yield "email", start, domain.end()
+        free = domain.end() if domain else at + 1
+        at = text.find("@", free)
+
+
 def _holds(kind: str, found: str) -> bool:
-    if kind == "email":
-        return True
     parts = _DIGITS.findall(found)
     if kind == "ip":
         return all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in parts)
@@ -70,10 +84,11 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
     """(kind, start, end) of the fixed patterns, by start and then by kind."""
     if not text or not _MAYBE.search(text):
         return []
-    marks = {"email": "@", "ip": ".", "phone": "+"}
-    spans = [
+    marks = {"ip": ".", "phone": "+"}
+    spans = list(_emails(text))
+    spans += [
         (kind, m.start(), m.end())
-        for kind in KINDS
+        for kind in PATTERNS
         if marks.get(kind, "") in text
         for m in PATTERNS[kind].finditer(text)
         if _holds(kind, m.group())
@@ -102,8 +117,10 @@ def occurrences(text: str | None) -> list[tuple[str | None, int, int, str, list[
     if not text or not _MAYBE.search(text):
         return found
     at = 0
-    for m in _IDENTIFIER.finditer(text):
+    for m in _RUN.finditer(text):
         start, end = m.start(), m.end()
+        if not _MAYBE.search(text, start, end):
+            continue
         while start < end and text[start] in _TRIM:
             start += 1
         while end > start and text[end - 1] in _TRIM:

@@ -1,5 +1,9 @@
 """Nulls in any column, empty and very long texts, ties, repeated rows, empty tables, clashing names."""
 
+import random
+import re
+import time
+
 import duckdb
 import pytest
 
@@ -151,3 +155,42 @@ def test_remembered_results_stay_bounded():
         known.put(n, str(n))
         assert known.get(3) in (None, "3") and known.get(n) == str(n)
     assert len(known.new) + len(known.old) <= 21
+
+
+def test_base_spans_equal_the_patterns():
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    random.seed(6)
+    for _ in range(20_000):
+        text = "".join(random.choices("ab@@..1290_- +", k=random.randint(1, 40)))
+        spans = personal_data.base_spans(text)
+        assert [s[1:] for s in spans if s[0] == "email"] == [m.span() for m in email.finditer(text)]
+        holds = [m.span() for m in ip.finditer(text) if all(int(p) <= 255 for p in m.group().split("."))]
+        assert [s[1:] for s in spans if s[0] == "ip"] == holds
+
+
+@pytest.mark.parametrize("text", ["x" * 1_000_000 + "@", "1" * 1_000_000 + ".", "a@" * 300_000, "1." * 300_000, "x" * 1_000_000 + " 1", "<a b " * 200_000])
+def test_time_grows_with_the_text(text):
+    began = time.process_time()
+    personal_data.occurrences(text)
+    html_template.page_tokens(text)
+    assert time.process_time() - began < 20
+
+
+def test_articles_stay_whole(spark):
+    """Classes of the page and of the article, links inside an article and its own header take no text away."""
+    made = {
+        "body": ("<body class='single has-sidebar'><nav>menu</nav><article><h1>T{n}</h1><p>text {n}</p></article></body>", "T{n}\n\ntext {n}"),
+        "class": ("<body><article class='post share-enabled'><p>text {n}</p></article></body>", "text {n}"),
+        "links": ("<body><article><h1>T{n}</h1><ul><li>l{n} item</li></ul><p><a href='/'>linked paragraph {n}</a></p></article></body>", "T{n}\n\nl{n} item\n\nlinked paragraph {n}"),
+        "header": ("<body><header>site</header><article><header><h1>T{n}</h1></header><p>text {n}</p></article></body>", "T{n}\n\ntext {n}"),
+    }
+    rows = [(i, f"http://{host}.example/{i}", page.replace("{n}", str(i))) for host, (page, _) in made.items() for i in range(9)]
+    for r in html_template.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
+        host = r["url"].split("/")[2].split(".")[0]
+        assert r["text"] == made[host][1].replace("{n}", str(r["page_id"])), host
+
+
+@pytest.mark.parametrize("end", ["<script>var a = 1", "<!-- a <b> c", "<!-- a", "<style>p", "<script>a</script>", "<!-- a -->", "<script>if (a > 1) b"])
+def test_what_nothing_closes_is_no_text(end):
+    assert "".join(v for kind, _, v, _ in html_template.walk("<p>text</p>" + end) if kind == "text") == "text"
