@@ -13,7 +13,7 @@ from marketlake.functions.market_cap import market_cap_class
 from marketlake.functions.symbols import canonical_symbol
 from marketlake.functions.times import in_session, micros_text, wall_clock_to_utc
 from marketlake.functions.casting import typed
-from marketlake.operators import loads, quality
+from marketlake.operators import loads, quality, trading_hours
 from marketlake.operators.baselines import rolling_averages, trailing_baselines
 from marketlake.operators.buckets import BucketedTable
 from marketlake.operators.cleaning import drop_incomplete, one_per_key
@@ -248,6 +248,24 @@ def page_table_symbols(spark, d):
     return found.select("page_id", canonical_symbol(F.col("value")).alias("ticker"))
 
 
+@query
+def session_exchange(spark, d):
+    """Events in New York's trading hours, with fixed holidays and a short Christmas Eve, and their minute of the session."""
+    events = s.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    bounds = events.agg(F.date_sub(F.to_date(F.min("ts")), 1).alias("first"), F.to_date(F.max("ts")).alias("last"))
+    days = trading_hours.days_between(bounds, F.col("first"), F.col("last"))
+    day = F.date_format("trade_date", "MM-dd")
+    short = F.when(day == "12-24", F.lit("09:30")), F.when(day == "12-24", F.lit("13:00"))
+    other = days.where(day.isin("01-01", "07-04", "12-24", "12-25") & (F.weekday("trade_date") < 5)).select(
+        "trade_date", short[0].alias("opens"), short[1].alias("closes")
+    )
+    hours = trading_hours.trading_hours(days, other)
+    kept = trading_hours.within_hours(events, "ts", hours)
+    local = F.convert_timezone(F.lit("UTC"), F.lit(trading_hours.ZONE), F.col("ts"))
+    minute = (F.hour(local) * 60 + F.minute(local) - 570).alias("session_minute")
+    return kept.select("event_id", micros_text(F.col("ts")).alias("ts_text"), minute)
+
+
 @query
 def session_utc(spark, d):
     ts = F.col("ts")

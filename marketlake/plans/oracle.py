@@ -230,6 +230,19 @@ BODIES: dict[str, tuple[tuple[str, ...], str]] = {
         (),
         """SELECT c_custkey // 500 AS page_id, CAST(c_custkey AS VARCHAR) AS ticker FROM customer""",
     ),
+    # summer time by its rule: from the second Sunday of March to the first of November
+    "session_exchange": (
+        (),
+        """WITH years AS (SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, year(ts) AS y FROM events),
+        turns AS (SELECT *, make_date(y, 3, 8) + CAST((7 - isodow(make_date(y, 3, 8))) AS INTEGER) AS summer,
+            make_date(y, 11, 1) + CAST((7 - isodow(make_date(y, 11, 1))) AS INTEGER) AS winter FROM years),
+        clocks AS (SELECT event_id, ts, CASE WHEN ts >= summer + INTERVAL 7 HOUR AND ts < winter + INTERVAL 6 HOUR
+            THEN ts - INTERVAL 4 HOUR ELSE ts - INTERVAL 5 HOUR END AS local FROM turns),
+        minutes AS (SELECT *, hour(local) * 60 + minute(local) - 570 AS session_minute, strftime(local, '%m-%d') AS day FROM clocks)
+        SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts_text, CAST(session_minute AS INTEGER) AS session_minute
+        FROM minutes WHERE isodow(local) <= 5 AND day NOT IN ('01-01', '07-04', '12-25')
+            AND session_minute >= 0 AND session_minute < CASE WHEN day = '12-24' THEN 210 ELSE 390 END""",
+    ),
     "session_utc": (
         (),
         """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts_text,
