@@ -94,6 +94,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--session-hours", action="store_true", help="leave out records from outside the session")
     parser.add_argument("--ds", help="run date, yyyy-MM-dd")
     parser.add_argument("--lag-days", type=int, default=0, help="load the date this many days before --ds")
+    parser.add_argument("--rejects", help="folder for the lines of a daily file that name no bar")
     parser.add_argument("--strict", action="store_true", help="fail when a quality check fails")
     parser.add_argument("--newer-only", action="store_true", help="older records never replace newer ones")
     parser.add_argument("--min-rows", type=int, default=400, help="fewest rows of the day after a batch")
@@ -109,7 +110,7 @@ def main(arguments: list[str] | None = None) -> None:
     elif args.job == "details":
         daily.load_details(lake, args.landing)
     elif args.job == "day":
-        daily.load_day(lake, args.landing, args.ds, args.lag_days)
+        daily.load_day(lake, args.landing, args.ds, args.lag_days, args.rejects)
         daily.update_marts(lake, loads.target_day(args.ds, args.lag_days))
         daily.counts(lake).show(truncate=False)
         daily.check(lake, args.strict, args.landing, args.ds).show(truncate=False)

@@ -25,7 +25,7 @@ from marketlake.operators.running_totals import RunningTotals, baselines_asof
 from marketlake.operators.snapshots import Snapshots
 from marketlake.plans import daily, marts, metrics, reports, standins as s
 from marketlake.session import fresh_path, fresh_table
-from marketlake.sources import csv_files, inline, pages, payloads, wide
+from marketlake.sources import csv_files, inline, pages, payloads, quarantine, wide
 from marketlake.streaming import current_day as live
 from marketlake.streaming.keyed_state import start_keyed_state
 
@@ -145,6 +145,24 @@ def csv_daily_roundtrip(spark, d):
     return csv_files.read_bars(spark, root, LOAD_DAY.isoformat())
 
 
+@query
+def csv_quarantine(spark, d):
+    """A landed history with spoiled lines: accepted and rejected lines by the ticker they begin with and the reason."""
+    root = fresh_path(spark, "landing")
+    columns = s.staging(spark, d).columns
+    day = F.dayofmonth("snapshot_date")
+    texts = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns}
+    texts["ticker"] = F.when(day != 7, texts["ticker"]).otherwise("")
+    texts["snapshot_date"] = F.when(day != 13, texts["snapshot_date"]).otherwise("n/a")
+    line = F.concat_ws(",", *texts.values())
+    spoiled = F.when(day == 20, F.substring_index(line, ",", 6)).when(day == 21, F.concat(line, F.lit(",more"))).otherwise(line)
+    lines = s.staging(spark, d).select(spoiled.alias(",".join(columns)))
+    lines.write.option("header", True).option("quote", "").option("sep", "\u0001").csv(csv_files.bars_path(root, None))
+    checked = quarantine.checked_bars(spark, root)
+    found = checked.select(F.substring_index("line", ",", 1).alias("ticker"), F.coalesce("reason", F.lit("accepted")).alias("reason"))
+    return found.groupBy("ticker", "reason").agg(F.count(F.lit(1)).alias("lines"))
+
+
 @query
 def csv_history_roundtrip(spark, d):
     root = fresh_path(spark, "landing")

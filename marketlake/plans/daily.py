@@ -12,6 +12,7 @@ from marketlake.operators.cleaning import one_per_key
 from marketlake.operators.history import append_days, dim_daily
 from marketlake.operators.loads import Lake
 from marketlake.operators.quality import quality_report, require, row_counts
+from marketlake.sources import quarantine
 from marketlake.sources.csv_files import read_bars, read_details
 
 RAW = "raw.staging_daily_stock_price"
@@ -38,13 +39,19 @@ def load_history(lake: Lake, landing: str) -> int:
     return rows
 
 
-def load_day(lake: Lake, landing: str, ds: str, lag_days: int = 0) -> int:
+def load_day(lake: Lake, landing: str, ds: str, lag_days: int = 0, rejects: str | None = None) -> int:
     """Replace the dates of the file of ``ds`` in raw, then the target date of the fact.
 
     A retry or a corrected file takes the place of what an earlier one brought. Rows that a
-    file repeats are reduced to one per bar on the way to the fact.
+    file repeats are reduced to one per bar on the way to the fact. With a folder of ``rejects``
+    lines that name no bar, or have too few or too many fields, go there with their reason.
     """
-    bars = _dated(read_bars(lake.spark, landing, ds))
+    if rejects is None:
+        bars = _dated(read_bars(lake.spark, landing, ds))
+    else:
+        checked = quarantine.checked_bars(lake.spark, landing, ds)
+        quarantine.rejected(checked).write.mode("overwrite").parquet(f"{rejects}/ds={ds}")
+        bars = quarantine.accepted(checked)
     rows = loads.overwrite_partitions(bars, lake.name(RAW), by=("snapshot_date",))
     day = loads.target_day(ds, lag_days)
     unique = one_per_key(lake.table(RAW).where(F.col("snapshot_date") == F.lit(day)), BAR_KEY)

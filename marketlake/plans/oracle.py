@@ -156,6 +156,14 @@ BODIES: dict[str, tuple[tuple[str, ...], str]] = {
     "append_staging": (("staging",), "SELECT * FROM staging"),
     "ctas_details": (("tickers",), "SELECT * FROM tickers"),
     "csv_daily_roundtrip": (("staging",), "SELECT * FROM staging WHERE snapshot_date = DATE '2024-01-15'"),
+    "csv_quarantine": (
+        ("staging",),
+        """SELECT coalesce(CASE WHEN day(snapshot_date) <> 7 THEN ticker END, '') AS ticker,
+            CASE WHEN day(snapshot_date) IN (20, 21) THEN 'malformed line' WHEN day(snapshot_date) = 7 THEN 'no ticker'
+                WHEN day(snapshot_date) = 13 THEN 'unreadable date' ELSE 'accepted' END AS reason,
+            count(*) AS lines
+        FROM staging GROUP BY ALL""",
+    ),
     "csv_history_roundtrip": (("staging",), "SELECT * FROM staging"),
     "csv_details_roundtrip": (("tickers",), "SELECT * FROM tickers"),
     "typed_cast": (
