@@ -248,7 +248,7 @@ def test_blocks_use_little_memory():
     near = 100 * both >= 85 * (sizes[:20, None] + sizes - both)
     counted = {r["a"]: r["n"] for r in found.to_pylist() if r["a"] == r["b"]}
     assert [counted.get(i, 0) for i in range(20)] == [int(row.sum()) - 1 for row in near]
-    assert peak < 70e6
+    assert peak < 50e6
 
 
 def test_components(spark):
