@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
+from marketlake.llm.memory import give_back
 from marketlake.llm.merge_automaton import MergeAutomaton, path
 from marketlake.llm.shipping import ship
 
@@ -28,6 +29,8 @@ WORDS = 150_000
 PARTS = 50_000
 #: Texts that are prepared together.
 ROWS = 2_000
+#: The same for `encode_documents`, a stage beside others: less is remembered, and some words are read again.
+STAGE_ROWS, STAGE_WORDS = 500, 50_000
 
 #: Fixed: the pattern by which byte-level vocabularies split text.
 PATTERN = (
@@ -51,8 +54,8 @@ class _Store(dict):
         self.make = make
         self.old: dict[str, tuple[int, ...]] = {}
 
-    def turn(self) -> None:
-        if len(self) >= WORDS:
+    def turn(self, size: int) -> None:
+        if len(self) >= size:
             self.old = dict(self)
             self.clear()
 
@@ -106,9 +109,12 @@ class ByteBpe:
             return self.words[words[0]]  # one object for both stores
         return tuple([i for word in words for i in self.words[word]])
 
-    def prepare(self, texts: list[str | None]) -> None:
-        """Encode the new words of many texts in one pass, in order, so that common beginnings are read once."""
-        self.words.turn()
+    def prepare(self, texts: list[str | None], size: int = WORDS) -> None:
+        """Encode the new words of many texts in one pass, in order, so that common beginnings are read once.
+
+        Words are remembered in halves of `size`.
+        """
+        self.words.turn(size)
         for store in (self.spaced, self.bare):
             if len(store) >= PARTS:
                 store.clear()
@@ -160,20 +166,30 @@ def tokenizer(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
+def encoded_batches(batches: Iterator[pa.RecordBatch], vocabulary: str, text: str, kept: list[str]) -> Iterator[pa.RecordBatch]:
+    """The kept columns and `ids` of a task's rows; the tokenizer goes when the task ends, with all it remembers."""
+    bpe = tokenizer(vocabulary)
+    try:
+        for batch in batches:
+            for start in range(0, batch.num_rows, STAGE_ROWS):
+                part = batch.slice(start, STAGE_ROWS)
+                texts = part.column(text).to_pylist()
+                bpe.prepare(texts, STAGE_WORDS)
+                ids = pa.array([bpe.encode(t) if t else [] for t in texts], type=pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), ids], names=[*kept, "ids"])
+    finally:
+        bpe = batch = part = texts = ids = None
+        tokenizer.cache_clear()
+        give_back()
+
+
 def encode_documents(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
     """All columns of `docs` but the text, and `ids`, the text's token ids; nothing is shuffled."""
     ship(docs.sparkSession)
     kept = [c for c in docs.columns if c not in (text, "ids")]
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = tokenizer(vocabulary)
-        for batch in batches:
-            for start in range(0, batch.num_rows, ROWS):
-                part = batch.slice(start, ROWS)
-                texts = part.column(text).to_pylist()
-                bpe.prepare(texts)
-                ids = pa.array([bpe.encode(t) if t else [] for t in texts], type=pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), ids], names=[*kept, "ids"])
+        return encoded_batches(batches, vocabulary, text, kept)
 
     schema = docs.select(*kept).schema.add("ids", ArrayType(IntegerType()))
     return docs.select(*kept, text).mapInArrow(encoded, schema)

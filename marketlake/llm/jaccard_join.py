@@ -44,7 +44,7 @@ from marketlake.llm.packed import pack, pack_sorted, unpack, unpack_sorted
 from marketlake.llm.rows import row_key, unused
 from marketlake.llm.shipping import ship
 from marketlake.llm.stored import stored
-from marketlake.llm.words import filled, shingle_sets
+from marketlake.llm.words import filled, forget, shingle_sets
 
 WIDTH = 4
 SHARE = 85
@@ -84,7 +84,8 @@ def token_classes(texts: DataFrame, width: int = WIDTH) -> np.ndarray:
                 np.add.at(total, _cells(shingles), 1)
         parts = total.reshape(-1, CHUNK)
         yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), type=pa.int32()), pa.array([pack(p) for p in parts])], names=["chunk", "counts"])
-        del total, parts
+        batch = shingles = total = parts = None
+        forget()
         give_back()
 
     def added(table: pa.Table) -> pa.Table:
@@ -141,6 +142,8 @@ def _sets(texts: DataFrame, width: int, share: int, classes: np.ndarray | None =
                 columns["tokens"] = pa.array(tokens, type=pa.list_(pa.int64()))
                 columns["sketch"] = pa.array(sketches, type=pa.binary())
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+        batch = shingles = columns = sizes = ids = tokens = sketches = None
+        forget()
         give_back()
 
     return texts.mapInArrow(made, "doc_id long, n_shingles long, set long" + ("" if classes is None else ", tokens array<long>, sketch binary"))
@@ -159,6 +162,8 @@ def _contents(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                     sets.append(expected)
                     contents.append(pack_sorted(np.unique(shingles >> np.uint64(_DROP))))
             yield pa.RecordBatch.from_arrays([pa.array(sets, type=pa.int64()), pa.array(contents, type=pa.binary())], names=["set", "content"])
+        batch = shingles = sets = contents = None
+        forget()
         give_back()
 
     return chosen.select("wanted", "text").mapInArrow(made, "set long, content binary")

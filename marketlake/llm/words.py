@@ -48,6 +48,15 @@ class _Powers:
         if len(cls.up) > 4 * SLICE_BYTES:
             cls.up, cls.down = cls.up[:SLICE_BYTES].copy(), cls.down[:SLICE_BYTES].copy()
 
+    @classmethod
+    def clear(cls) -> None:
+        cls.up, cls.down = np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)
+
+
+def forget() -> None:
+    """Give back what hashing keeps, 16 bytes for each byte of a slice; for the end of a task."""
+    _Powers.clear()
+
 
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread hashes over all 64 bits."""

@@ -349,6 +349,43 @@ def test_encoded_documents_decode(spark, texts):
     assert {r["doc_id"]: r["text"] for r in back.collect()} == texts
 
 
+def test_workers_forget_the_words_of_an_encoded_task(spark):
+    """Python workers go on to other stages: what one keeps of a task would count as memory of theirs."""
+    path = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
+    docs = spark.range(2_000, numPartitions=2).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(0, 20), k -> sha1(string(id * 21 + k)))) AS text")
+    assert bpe.encode_documents(docs, path).where("size(ids) > 21").count() == 2_000
+
+    def kept(batches):
+        own = bpe.tokenizer(path)
+        n = sum(len(s) + len(s.old) for s in (own.words, own.spaced, own.bare)) + len(own.automaton._arcs)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([n] * batch.num_rows, type=pa.int64())], names=["n"])
+
+    assert spark.range(64, numPartitions=16).mapInArrow(kept, "n long").agg({"n": "max"}).first()[0] == 0
+
+
+def test_encoding_a_task_uses_little_memory():
+    """12,000 texts of words that never come again: groups of texts are small, and so is what is remembered."""
+    path = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
+    texts = [" ".join(f"{i:x}q{k}" for k in range(20)) for i in range(12_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    tracemalloc.start()
+    rows = sum(out.num_rows for out in bpe.encoded_batches(iter([batch]), path, "text", ["doc_id"]))
+    left, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert rows == len(texts) and left < 1e6 and peak < 80e6, (left, peak)
+
+
+def test_hashing_keeps_nothing_after_a_task():
+    from marketlake.llm import words
+
+    column = words.filled(pa.array(["One two three four five"]))
+    first = [s.tolist() for s in words.shingle_sets(column, 4)]
+    words.forget()
+    assert words._Powers.up.nbytes + words._Powers.down.nbytes == 16
+    assert [s.tolist() for s in words.shingle_sets(column, 4)] == first
+
+
 def test_automaton_against_plain_merging():
     random.seed(8)
     for _ in range(60):
