@@ -23,14 +23,13 @@ from marketlake.llm.memory import give_back
 from marketlake.llm.merge_automaton import MergeAutomaton, path
 from marketlake.llm.shipping import ship
 
-#: Words are remembered in halves of so many (and those of one group of texts); parts, which are cheap to make
-#: again from their words, are all forgotten at this number.
-WORDS = 150_000
-PARTS = 50_000
+#: Words and parts of texts are remembered in halves of so many (and those of one group of texts).
+WORDS = 300_000
+PARTS = 200_000
 #: Texts that are prepared together.
-ROWS = 2_000
+ROWS = 4_000
 #: The same for `encode_documents`, a stage beside others: less is remembered, and some words are read again.
-STAGE_ROWS, STAGE_WORDS = 500, 50_000
+STAGE_ROWS, STAGE_WORDS, STAGE_PARTS = 500, 50_000, 25_000
 
 #: Fixed: the pattern by which byte-level vocabularies split text.
 PATTERN = (
@@ -39,6 +38,10 @@ PATTERN = (
 )
 
 
+#: Fixed: marks that the pattern parts from the letters before them.
+MARKS = frozenset(",.;:!?")
+
+
 class Entangled(Exception):
     """A part of a text that can't be split apart from its neighbours."""
 
@@ -68,6 +71,13 @@ class _Store(dict):
         return found
 
 
+class _Labels(dict):
+    """The bytes of ids; ids outside the vocabulary have none."""
+
+    def __missing__(self, key: int) -> bytes:
+        return b""
+
+
 def _byte_letters() -> dict[str, int]:
     """The printable stand-ins of vocabulary files: bytes that print stand for themselves, others follow from 256."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -88,8 +98,8 @@ class ByteBpe:
         ranks = {pair: n for n, pair in enumerate(pairs)}
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
         self.ids = {spelled(p): i for p, i in file["model"]["vocab"].items() if p not in self.special}
-        self.labels = {i: p.encode("latin-1") for p, i in self.ids.items()}
-        self.labels |= {i: s.encode("utf-8") for s, i in self.special.items()}
+        self.labels = _Labels((i, p.encode("latin-1")) for p, i in self.ids.items())
+        self.labels.update((i, s.encode("utf-8")) for s, i in self.special.items())
         self.automaton = MergeAutomaton(map(chr, range(256)), pairs, lambda a, b: ranks.get((a, b)))
         self.split = regex.compile(PATTERN).findall
         longest = sorted(self.special, key=len, reverse=True)
@@ -109,21 +119,31 @@ class ByteBpe:
             return self.words[words[0]]  # one object for both stores
         return tuple([i for word in words for i in self.words[word]])
 
-    def prepare(self, texts: list[str | None], size: int = WORDS) -> None:
+    def _behind_space(self, part: str) -> tuple[str, ...]:
+        """The words of a part behind a space; the pattern is spared for plain letters, also before one mark."""
+        if part.isascii():
+            if part.isalpha():
+                return (" " + part,)
+            if part[-1:] in MARKS and part[:-1].isalpha():
+                return (" " + part[:-1], part[-1])
+        return tuple(self.split(" " + part))
+
+    def prepare(self, texts: list[str | None], size: int = WORDS, n_parts: int = PARTS) -> None:
         """Encode the new words of many texts in one pass, in order, so that common beginnings are read once.
 
-        Words are remembered in halves of `size`.
+        Words are remembered in halves of `size`, parts in halves of `n_parts`; a new part is split once.
         """
         self.words.turn(size)
-        for store in (self.spaced, self.bare):
-            if len(store) >= PARTS:
-                store.clear()
+        self.spaced.turn(n_parts)
+        if len(self.bare) >= n_parts:
+            self.bare.clear()
         parts: set[str] = set()
         for text in texts:
             if text:
                 parts.update(text.split(" "))
-        parts.difference_update(self.spaced)
-        new = {word for part in parts for word in self.split(" " + part)}
+        parts.difference_update(self.spaced, self.spaced.old)
+        split = {part: self._behind_space(part) for part in parts}
+        new = set(chain.from_iterable(split.values()))
         new.difference_update(self.words, self.words.old)
         spelled = {word.encode("utf-8").decode("latin-1"): word for word in new if len(word) <= 64}
         ids, words = self.ids, self.words
@@ -132,6 +152,10 @@ class ByteBpe:
             words[spelled[symbols]] = tuple([ids[p] for p in path(symbols, lasts)])
 
         self.automaton.read_sorted(sorted(spelled), keep)
+        spaced = self.spaced
+        for part, whole in split.items():
+            if 0 < len(part) <= 64 and not (part[0].isspace() or part[-1].isspace()):
+                spaced[part] = words[whole[0]] if len(whole) == 1 else tuple(chain.from_iterable(map(words.__getitem__, whole)))
 
     def _plain(self, text: str) -> list[int]:
         if not text:
@@ -157,8 +181,7 @@ class ByteBpe:
         return out
 
     def decode(self, ids: list[int]) -> str:
-        labels = self.labels
-        return b"".join([labels[i] for i in ids if i in labels]).decode("utf-8", errors="replace")
+        return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", errors="replace")
 
 
 @lru_cache(maxsize=2)
@@ -174,7 +197,7 @@ def encoded_batches(batches: Iterator[pa.RecordBatch], vocabulary: str, text: st
             for start in range(0, batch.num_rows, STAGE_ROWS):
                 part = batch.slice(start, STAGE_ROWS)
                 texts = part.column(text).to_pylist()
-                bpe.prepare(texts, STAGE_WORDS)
+                bpe.prepare(texts, STAGE_WORDS, STAGE_PARTS)
                 ids = pa.array([bpe.encode(t) if t else [] for t in texts], type=pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), ids], names=[*kept, "ids"])
     finally:
@@ -203,8 +226,8 @@ def decode_documents(tokens: DataFrame, vocabulary: str) -> DataFrame:
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = tokenizer(vocabulary).decode
         for batch in batches:
-            for start in range(0, batch.num_rows, ROWS):
-                part = batch.slice(start, ROWS)
+            for start in range(0, batch.num_rows, STAGE_ROWS):
+                part = batch.slice(start, STAGE_ROWS)
                 texts = pa.array([decode(ids or []) for ids in part.column("ids").to_pylist()], type=pa.string())
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), texts], names=[*kept, "text"])
 
@@ -226,7 +249,7 @@ def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
                     bpe.prepare(texts[at : at + ROWS])
                 ids = bpe.encode(text) if text else []
                 counts.append(len(ids))
-                ids_sha.append(hashlib.sha256(",".join([digit[i] for i in ids]).encode("ascii")).hexdigest())
+                ids_sha.append(hashlib.sha256(",".join(map(digit.__getitem__, ids)).encode("ascii")).hexdigest())
                 text_sha.append(hashlib.sha256(bpe.decode(ids).encode("utf-8")).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, type=pa.int64()), pa.array(ids_sha, type=pa.string()), pa.array(text_sha, type=pa.string())],

@@ -28,6 +28,14 @@ MAX_ARCS = 1_000_000
 APART = None
 
 
+class _Rows(dict):
+    """For every arc, which arcs the state behind it has, as far as known."""
+
+    def __missing__(self, left: str) -> dict[str, bool]:
+        row = self[left] = {}
+        return row
+
+
 class MergeAutomaton:
     """`symbols` are single characters; `merges` are ordered; `rank_of` ranks any pair, None if it never merges.
 
@@ -53,7 +61,7 @@ class MergeAutomaton:
         """Empty tables for the merges so far."""
         self.prefixes = {piece[:n] for piece in self.time for n in range(len(piece))}
         self.longest = max(map(len, self.time), default=1)
-        self._arcs: dict[tuple[str, str], bool] = {}
+        self._arcs, self._n_arcs = _Rows(), 0
         self._ids: dict[tuple, int] = {}
         self._states: list[tuple[str, tuple, tuple]] = []
         self.table: list[dict[str, tuple[int, str | None, int]]] = []
@@ -93,12 +101,13 @@ class MergeAutomaton:
 
     def follows(self, left: str, right: str) -> bool:
         """Whether the state behind the left arc has the right arc."""
-        key = (left, right)
-        known = self._arcs.get(key)
+        known = self._arcs[left].get(right)
         if known is None:
-            if len(self._arcs) >= MAX_ARCS:
+            if self._n_arcs >= MAX_ARCS:
                 self._arcs.clear()
-            known = self._arcs[key] = self._meet(left, right, float("inf"))
+                self._n_arcs = 0
+            known = self._arcs[left][right] = self._meet(left, right, float("inf"))
+            self._n_arcs += 1
         return known
 
     def _state(self, suffix: str, lasts: tuple, counts: tuple) -> int:
@@ -177,7 +186,7 @@ class MergeAutomaton:
                     last = lasts[start]
                     if last is APART:
                         break
-                    known = arcs.get((last, arc))
+                    known = arcs[last].get(arc)
                     if known or (known is None and follows(last, arc)):
                         break
                 start -= 1

@@ -14,12 +14,13 @@ from __future__ import annotations
 
 import re
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.llm.memory import give_back
 from marketlake.llm.rows import row_key, unused
 from marketlake.llm.shipping import ship
 from marketlake.llm.stored import stored
@@ -41,6 +42,8 @@ SURE = 0.75
 ACCEPT = 0.75
 #: A counted side of at most so many rows is broadcast.
 BROADCAST_ROWS = 200_000
+#: Texts that a task holds as strings at once.
+ROWS = 500
 
 _MAYBE = re.compile("[0-9@]")
 _DIGITS = re.compile("[0-9]+")
@@ -137,18 +140,40 @@ def occurrences(text: str | None) -> list[tuple[str | None, int, int, str, list[
 
 
 _OCCURRENCES = "array<struct<kind:string,start:int,end:int,word:string,contexts:array<string>>>"
+_FOUND = pa.list_(
+    pa.struct({"kind": pa.string(), "start": pa.int32(), "end": pa.int32(), "word": pa.string(), "contexts": pa.list_(pa.string())})
+)
+
+
+def _sliced(batches: Iterator[pa.RecordBatch], made: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What is made of a task's rows, `ROWS` at a time; what is freed goes back to the system when the task ends."""
+    try:
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS):
+                yield made(batch.slice(start, ROWS))
+    finally:
+        batch = None
+        give_back()
+
+
+def scanned_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The columns of a task's rows but the last, its texts, and what is found in them."""
+    names = ("kind", "start", "end", "word", "contexts")
+
+    def scanned(part: pa.RecordBatch) -> pa.RecordBatch:
+        *columns, texts = part.columns
+        found = [[dict(zip(names, o)) for o in occurrences(t)] for t in texts.to_pylist()]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(found, type=_FOUND)], names=[*part.schema.names[:-1], "found"])
+
+    return _sliced(batches, scanned)
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, row_key, found): the occurrences of every row."""
     ship(docs.sparkSession)
-
-    @F.pandas_udf(_OCCURRENCES)
-    def found(texts: pd.Series) -> pd.Series:
-        names = ("kind", "start", "end", "word", "contexts")
-        return pd.Series([[dict(zip(names, o)) for o in occurrences(t)] for t in texts], dtype=object)
-
-    return docs.select("doc_id", row_key("doc_id", "text").alias("row_key"), found(F.col("text")).alias("found"))
+    keyed = docs.select("doc_id", row_key("doc_id", "text").alias("row_key"), "text")
+    schema = keyed.withColumn("text", F.lit(None).cast(_OCCURRENCES)).withColumnRenamed("text", "found").schema
+    return keyed.mapInArrow(scanned_batches, schema)
 
 
 def _few(frame: DataFrame) -> DataFrame:
@@ -229,6 +254,18 @@ def redacted_text(text: str, added: list | None) -> str:
     return "".join([*out, text[at:]]) if out else text
 
 
+def redacted_batches(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """The columns of a task's rows but the last, the added spans; the texts, at place `text`, name personal data by its kind."""
+
+    def redacted(part: pa.RecordBatch) -> pa.RecordBatch:
+        *columns, added = part.columns
+        pairs = zip(columns[text].to_pylist(), added.to_pylist())
+        columns[text] = pa.array([t if t is None else redacted_text(t, s) for t, s in pairs], type=pa.string())
+        return pa.RecordBatch.from_arrays(columns, names=part.schema.names[:-1])
+
+    return _sliced(batches, redacted)
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with all their columns, their texts without personal data; null texts stay.
 
@@ -236,15 +273,12 @@ def redact(docs: DataFrame) -> DataFrame:
     """
     added = stored(_listed(discovered(stored(scan(docs), "pii_scan"))), "pii_added")
 
-    @F.pandas_udf("string")
-    def redacted(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([t if t is None else redacted_text(t, s) for t, s in zip(texts, spans)], dtype=object)
-
     names = docs.columns
+    place = names.index("text")
     key, other = (unused(names, c) for c in ("row_key", "added"))
     found = added.select(F.col("row_key").alias(key + "_"), F.col("added").alias(other))
     joined = docs.withColumn(key, row_key("doc_id", "text")).join(_few(found), F.col(key) == F.col(key + "_"), "left")
-    new = joined.withColumn("text", redacted(F.col("text"), F.col(other)))
+    new = joined.select(*names, other).mapInArrow(lambda batches: redacted_batches(batches, place), docs.schema)
     if "n_chars" in names:
         kind = docs.schema["n_chars"].dataType
         new = new.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind)))

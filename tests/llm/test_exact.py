@@ -315,6 +315,27 @@ def test_contexts_find_unseen_identifiers(spark):
     assert out[50] == "Please call Eve. His phone number: [PHONE] thanks" and out[51] == unseen[1][1]
 
 
+def test_personal_data_of_a_task_uses_little_memory():
+    """Texts become strings some at a time, beside a batch of 40 MB."""
+    n = 8_000
+    texts = pa.array([f"mail a{i}@b.example " + "x" * 5_000 for i in range(n)])
+    spans = pa.nulls(n, pa.list_(pa.struct({"start": pa.int32(), "end": pa.int32(), "kind": pa.string()})))
+    scan = lambda b: personal_data.scanned_batches(b)
+    redact = lambda b: personal_data.redacted_batches(b, 1)
+    for made, columns, names in ((scan, [texts], ["text"]), (redact, [texts, spans], ["text", "added"])):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(n)), *columns], names=["doc_id", *names])
+        before = pa.total_allocated_bytes()
+        tracemalloc.start()
+        rows = held = 0
+        for out in made(iter([batch])):
+            rows += out.num_rows
+            held = max(held, pa.total_allocated_bytes() - before)
+        out = None
+        left, peak = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert rows == n and left < 1e6 and peak < 8e6 and held < 16e6, (left, peak, held)
+
+
 # --- op7 and op8 ---------------------------------------------------------------------------
 
 
@@ -386,6 +407,27 @@ def test_hashing_keeps_nothing_after_a_task():
     assert [s.tolist() for s in words.shingle_sets(column, 4)] == first
 
 
+def test_new_parts_are_split_once_and_remembered():
+    path = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
+    own, asked = bpe.ByteBpe(path), []
+    plain = own.split
+    own.split = lambda text: asked.append(text) or plain(text)
+    groups = [[" ".join(["start", *(f"é{i}" for i in range(n, n + 900))])] for n in range(0, 2700, 300)]
+    for texts in groups:
+        own.prepare(texts, 2_000, 1_000)
+        assert own.decode(own.encode(texts[0])) == texts[0]
+    lead = [text for text in asked if text.startswith(" ")]
+    assert len(lead) == len(set(lead)) == 3_300
+
+
+def test_split_by_letters_is_the_pattern():
+    path = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
+    own = bpe.tokenizer(path)
+    ends = ["", *map(chr, range(0x21, 0x7F)), "..", "é", "'s"]
+    for part in [a + b for a in ("", "word", "it's", "é", "a1", "_", "I'", "'") for b in ends]:
+        assert list(own._behind_space(part)) == own.split(" " + part), part
+
+
 def test_automaton_against_plain_merging():
     random.seed(8)
     for _ in range(60):
