@@ -29,7 +29,7 @@ PARTS = 200_000
 #: Texts that are prepared together.
 ROWS = 4_000
 #: The same for `encode_documents`, a stage beside others: less is remembered, and some words are read again.
-STAGE_ROWS, STAGE_WORDS, STAGE_PARTS = 500, 50_000, 25_000
+STAGE_ROWS, STAGE_WORDS, STAGE_PARTS = 250, 25_000, 15_000
 
 #: Fixed: the pattern by which byte-level vocabularies split text.
 PATTERN = (

@@ -20,6 +20,7 @@ filled in when first met, up to `max_states` states; words that lead beyond are
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import cached_property
 
 MAX_STATES = 20_000
 MAX_ARCS = 1_000_000
@@ -59,7 +60,7 @@ class MergeAutomaton:
 
     def close(self) -> None:
         """Empty tables for the merges so far."""
-        self.prefixes = {piece[:n] for piece in self.time for n in range(len(piece))}
+        self.__dict__.pop("prefixes", None)
         self.longest = max(map(len, self.time), default=1)
         self._arcs, self._n_arcs = _Rows(), 0
         self._ids: dict[tuple, int] = {}
@@ -67,6 +68,11 @@ class MergeAutomaton:
         self.table: list[dict[str, tuple[int, str | None, int]]] = []
         self._state("", (APART,), (0,))
 
+    @cached_property
+    def prefixes(self) -> set[str]:
+        """The beginnings of pieces; reading by arcs does without them."""
+        return {piece[:n] for piece in self.time for n in range(len(piece))}
+
     def add(self, a: str, b: str) -> None:
         """The merge's arc, if its parts can stand beside each other until then."""
         piece = a + b
